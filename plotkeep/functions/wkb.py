@@ -11,6 +11,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plotkeep.functions.geometry import PARTS
 
@@ -107,13 +108,13 @@ def from_wkb(values: pa.Array) -> pa.Array:
     return decode_batch(values)
 
 
-@F.arrow_udf(returnType="binary")
+@F.arrow_udf(returnType=T.BinaryType())
 def to_wkb(values: pa.Array) -> pa.Array:
     """Little-endian ISO WKB: a point, a polygon, or a multipolygon for several parts."""
     return pa.array([encode_one(v.as_py(), multi=False) for v in values], pa.binary())
 
 
-@F.arrow_udf(returnType="binary")
+@F.arrow_udf(returnType=T.BinaryType())
 def to_wkb_multi(values: pa.Array) -> pa.Array:
     """As ``to_wkb``, but one polygon is also written as a multipolygon."""
     return pa.array([encode_one(v.as_py(), multi=True) for v in values], pa.binary())

@@ -34,12 +34,12 @@ def with_hilbert(
     })
     hx, hy, d = F.col("_hx"), F.col("_hy"), F.col(out)
     for bit in range(order - 1, -1, -1):
-        s = F.lit(1 << bit)
+        s = F.lit(1 << bit).cast("long")
         right, upper = hx.bitwiseAND(s) > 0, hy.bitwiseAND(s) > 0
         quadrant = F.when(right, F.when(upper, 2).otherwise(3)).otherwise(F.when(upper, 1).otherwise(0))
-        flip = F.lit(side - 1)
+        flip = F.lit(side - 1).cast("long")
         step = step.withColumns({
-            out: d + quadrant * F.lit(1 << (2 * bit)),
+            out: d + quadrant * F.lit(1 << (2 * bit)).cast("long"),
             "_hx": F.when(upper, hx).when(right, flip - hy).otherwise(hy),
             "_hy": F.when(upper, hy).when(right, flip - hx).otherwise(hx),
         })

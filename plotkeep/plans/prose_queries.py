@@ -48,13 +48,16 @@ def fence_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {SQL_PROSE},
          lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS l,
                           generate_subscripts(string_split(t, chr(10)), 1) AS line FROM prose),
-         found AS (SELECT doc_id, line, unnest(regexp_extract_all(
-                     ' ' || replace(l, ' ', '  ') || ' ',
-                     '[^\\w.](\\d{{1,3}}(?:,\\d{{3}})+(?:\\.\\d+)?)[^\\w]|(\\d+(?:\\.\\d+)?%)', 0)) AS v FROM lines),
+         -- separators are doubled, because each match also consumes the one on either side
+         wide AS (SELECT doc_id, line, ' ' || regexp_replace(l, '([^\\pL\\pN\\pM_.,%])', '\\1\\1', 'g') || ' ' AS l
+                  FROM lines),
+         found AS (SELECT doc_id, line, unnest(regexp_extract_all(l,
+                     '[^\\pL\\pN\\pM_.](\\d{{1,3}}(?:,\\d{{3}})+(?:\\.\\d+)?)[^\\pL\\pN\\pM_]|(\\d+(?:\\.\\d+)?%)', 0)) AS v
+                   FROM wide),
          named AS (SELECT doc_id, line, regexp_extract(v, '\\d[\\d.,]*%?', 0) AS v FROM found),
          counts AS (SELECT DISTINCT cast(n_chars AS VARCHAR) AS c FROM documents WHERE n_chars >= 100),
-         tokens AS (SELECT doc_id, line, unnest(regexp_extract_all(
-                      ' ' || replace(l, ' ', '  ') || ' ', '[^\\w.,]\\d+[^\\w,]', 0)) AS v FROM lines)
+         tokens AS (SELECT doc_id, line, unnest(regexp_extract_all(l,
+                      '[^\\pL\\pN\\pM_.,]\\d+[^\\pL\\pN\\pM_,]', 0)) AS v FROM wide)
     SELECT doc_id AS path, line, v AS "value" FROM named WHERE v <> '200,000'
     UNION ALL
     SELECT doc_id, line, regexp_extract(v, '\\d+', 0) FROM tokens
