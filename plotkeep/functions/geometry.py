@@ -16,6 +16,15 @@ RING = T.ArrayType(POINT)
 PARTS = T.ArrayType(T.ArrayType(RING))
 
 
+def let(value: Column, fn) -> Column:
+    """Bind a value for use in a lambda body, so that it is evaluated once.
+
+    An expression named inside a lambda is otherwise evaluated for every
+    element the lambda visits.
+    """
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def xy(x: Column, y: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
 
@@ -58,15 +67,17 @@ def edges(parts: Column) -> Column:
 
 def bbox(parts: Column) -> Column:
     """Covering struct; null for a null or empty geometry."""
-    pts = vertices(parts)
-    xs, ys = F.transform(pts, lambda p: p.x), F.transform(pts, lambda p: p.y)
-    box = F.struct(
-        F.array_min(xs).alias("xmin"),
-        F.array_min(ys).alias("ymin"),
-        F.array_max(xs).alias("xmax"),
-        F.array_max(ys).alias("ymax"),
-    )
-    return F.when(F.size(pts) > 0, box)
+    def extent(pts: Column) -> Column:
+        xs, ys = F.transform(pts, lambda p: p.x), F.transform(pts, lambda p: p.y)
+        box = F.struct(
+            F.array_min(xs).alias("xmin"),
+            F.array_min(ys).alias("ymin"),
+            F.array_max(xs).alias("xmax"),
+            F.array_max(ys).alias("ymax"),
+        )
+        return F.when(F.size(pts) > 0, box)
+
+    return let(vertices(parts), extent)
 
 
 def ring_area(ring: Column) -> Column:
@@ -74,24 +85,30 @@ def ring_area(ring: Column) -> Column:
 
     Measured from the first vertex, so large coordinates lose no digits.
     """
-    first = F.get(ring, F.lit(0))
-    twice = F.aggregate(
-        ring_edges(ring),
-        F.lit(0.0),
-        lambda acc, e: acc
-        + (e.x1 - first.x) * (e.y2 - first.y)
-        - (e.x2 - first.x) * (e.y1 - first.y),
-    )
-    return twice / F.lit(2.0)
+    def twice(edge_list: Column) -> Column:
+        def from_first(first: Column) -> Column:
+            return F.aggregate(
+                edge_list,
+                F.lit(0.0),
+                lambda acc, e: acc
+                + (e.x1 - first.x1) * (e.y2 - first.y1)
+                - (e.x2 - first.x1) * (e.y1 - first.y1),
+            )
+
+        return let(F.get(edge_list, F.lit(0)), from_first)
+
+    return F.coalesce(let(ring_edges(ring), twice) / F.lit(2.0), F.when(ring.isNotNull(), F.lit(0.0)))
 
 
 def area(parts: Column) -> Column:
     """Shell areas minus hole areas; ring direction does not matter."""
-    def part_area(part: Column) -> Column:
-        sizes = F.transform(part, lambda r: F.abs(ring_area(r)))
+    def shell_less_holes(sizes: Column) -> Column:
         total = F.aggregate(sizes, F.lit(0.0), lambda acc, s: acc + s)
         return F.coalesce(F.get(sizes, F.lit(0)), F.lit(0.0)) * 2 - total
 
+    def part_area(part: Column) -> Column:
+        return let(F.transform(part, lambda r: F.abs(ring_area(r))), shell_less_holes)
+
     return F.aggregate(F.transform(parts, part_area), F.lit(0.0), lambda acc, s: acc + s)
 
 
@@ -177,15 +194,16 @@ def polygons_intersect(a_parts: Column, a_edges: Column, a_box: Column,
 
     Only edges inside the other geometry's box are paired up.
     """
-    a_near, b_near = edges_in_box(a_edges, b_box), edges_in_box(b_edges, a_box)
-    meet = F.exists(a_near, lambda e: F.exists(b_near, lambda f: segments_meet(e, f)))
+    meet = let(
+        edges_in_box(b_edges, a_box),
+        lambda b_near: F.exists(
+            edges_in_box(a_edges, b_box), lambda e: F.exists(b_near, lambda f: segments_meet(e, f))
+        ),
+    )
 
     def corner_inside(parts: Column, other_edges: Column) -> Column:
-        def inside(part: Column) -> Column:
-            corner = F.get(F.get(part, F.lit(0)), F.lit(0))
-            return edges_contain(other_edges, corner.x, corner.y)
-
-        return F.exists(parts, inside)
+        corners = F.transform(parts, lambda part: F.get(F.get(part, F.lit(0)), F.lit(0)))
+        return F.exists(corners, lambda corner: edges_contain(other_edges, corner.x, corner.y))
 
     return meet | corner_inside(a_parts, b_edges) | corner_inside(b_parts, a_edges)
 
@@ -198,27 +216,32 @@ def canonical_ring(ring: Column, clockwise: bool) -> Column:
     """
     plain = F.transform(ring, lambda p: xy(p.x + F.lit(0.0), p.y + F.lit(0.0)))  # -0.0 becomes 0.0
     turned = (ring_area(ring) > 0) if clockwise else (ring_area(ring) < 0)
-    directed = F.when(turned, F.reverse(plain)).otherwise(plain)
-    is_closed = F.get(directed, F.lit(0)) == F.get(directed, F.size(directed) - 1)
-    opened = F.when(
-        (F.size(directed) > 1) & is_closed, F.slice(directed, F.lit(1), F.size(directed) - 1)
-    ).otherwise(directed)
-
-    def rotations(points: Column) -> Column:
-        lowest = F.array_min(points)
-        starts = F.filter(F.sequence(F.lit(1), F.size(points)), lambda i: F.get(points, i - 1) == lowest)
-        return F.transform(
-            starts,
-            lambda i: F.concat(
-                F.slice(points, i, F.size(points) - i + 1),
-                F.slice(points, F.lit(1), i - 1),
-                F.array(lowest),
-            ),
-        )
 
-    # evaluate the opened ring once, through a one-element array
-    best = F.transform(F.array(opened), lambda points: F.array_min(rotations(points)))
-    return F.when(F.size(ring) > 1, F.get(best, F.lit(0))).otherwise(plain)
+    def opened(points: Column) -> Column:
+        is_closed = F.get(points, F.lit(0)) == F.get(points, F.size(points) - 1)
+        return F.when(
+            (F.size(points) > 1) & is_closed, F.slice(points, F.lit(1), F.size(points) - 1)
+        ).otherwise(points)
+
+    def smallest_rotation(points: Column) -> Column:
+        def from_lowest(lowest: Column) -> Column:
+            starts = F.filter(F.sequence(F.lit(1), F.size(points)), lambda i: F.get(points, i - 1) == lowest)
+            return F.array_min(
+                F.transform(
+                    starts,
+                    lambda i: F.concat(
+                        F.slice(points, i, F.size(points) - i + 1),
+                        F.slice(points, F.lit(1), i - 1),
+                        F.array(lowest),
+                    ),
+                )
+            )
+
+        return let(F.array_min(points), from_lowest)
+
+    directed = F.when(turned, F.reverse(plain)).otherwise(plain)
+    best = let(directed, lambda points: let(opened(points), smallest_rotation))
+    return F.when(F.size(ring) > 1, best).otherwise(plain)
 
 
 def canonical(parts: Column) -> Column:

@@ -32,12 +32,21 @@ def _has_repeat(ring: Column) -> Column:
 
 def _is_collapsed(ring: Column) -> Column:
     """No three vertices span an area."""
-    a = _first(ring)
-    away = F.filter(ring, lambda p: p != a)
-    b = _first(away)
-    return F.coalesce(
-        ~F.exists(away, lambda p: (b.x - a.x) * (p.y - a.y) != (b.y - a.y) * (p.x - a.x)), F.lit(True)
-    )
+    def flat(points: Column) -> Column:
+        def seen_from(a: Column) -> Column:
+            def along(away: Column) -> Column:
+                def on_line(b: Column) -> Column:
+                    return ~F.exists(
+                        away, lambda p: (b.x - a.x) * (p.y - a.y) != (b.y - a.y) * (p.x - a.x)
+                    )
+
+                return G.let(_first(away), on_line)
+
+            return G.let(F.filter(points, lambda p: p != a), along)
+
+        return G.let(_first(points), seen_from)
+
+    return F.coalesce(G.let(ring, flat), F.lit(True))
 
 
 def _numbered_edges(part: Column) -> Column:
@@ -67,7 +76,7 @@ def _crossings(part: Column) -> Column:
 
         return F.flatten(F.transform(all_edges, with_later))
 
-    return F.flatten(F.transform(F.array(_numbered_edges(part)), found))
+    return G.let(_numbered_edges(part), found)
 
 
 def _any_ring(parts: Column, test) -> Column:
@@ -90,7 +99,7 @@ def _closed(ring: Column) -> Column:
 
 
 def _without_repeats(ring: Column) -> Column:
-    return F.filter(ring, lambda p, i: (i == 0) | (p != F.get(ring, i - 1)))
+    return G.let(ring, lambda r: F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, i - 1))))
 
 
 def _split_at_crossing(part: Column) -> Column:
@@ -99,27 +108,32 @@ def _split_at_crossing(part: Column) -> Column:
         e, f = crossing.e, crossing.f
         dx, dy, fx, fy = e.x2 - e.x1, e.y2 - e.y1, f.x2 - f.x1, f.y2 - f.y1
         t = ((f.x1 - e.x1) * fy - (f.y1 - e.y1) * fx) / (dx * fy - dy * fx)
-        at = F.array(G.xy(e.x1 + t * dx, e.y1 + t * dy))
-        inner = F.concat(at, F.slice(ring, e.i + 2, f.i - e.i), at)
-        outer = F.concat(F.slice(ring, F.lit(1), e.i + 1), at, F.slice(ring, f.i + 2, F.size(ring) - f.i - 1))
-        return F.array(F.array(inner), F.array(outer))
+
+        def around(at: Column) -> Column:
+            inner = F.concat(at, F.slice(ring, e.i + 2, f.i - e.i), at)
+            outer = F.concat(F.slice(ring, F.lit(1), e.i + 1), at, F.slice(ring, f.i + 2, F.size(ring) - f.i - 1))
+            return F.array(F.array(inner), F.array(outer))
+
+        return G.let(G.let(t, lambda u: F.array(G.xy(e.x1 + u * dx, e.y1 + u * dy))), around)
 
     def choose(found: Column) -> Column:
         simple = (F.size(found) == 1) & (F.size(part) == 1)
-        return F.when(simple, split(F.get(found, F.lit(0)), F.get(part, F.lit(0)))).otherwise(F.array(part))
+        parts = G.let(F.get(found, F.lit(0)), lambda crossing: split(crossing, _first(part)))
+        return F.when(simple, parts).otherwise(F.array(part))
 
-    return F.flatten(F.transform(F.array(_crossings(part)), choose))
+    return G.let(_crossings(part), choose)
 
 
 def repaired(parts: Column) -> Column:
     """Close, deduplicate, drop collapsed rings and parts, split bow-ties."""
-    def clean_part(part: Column) -> Column:
-        cleaned = F.transform(part, lambda ring: _without_repeats(_closed(ring)))
-        shell_gone = _is_collapsed(F.get(cleaned, F.lit(0)))
-        return F.when(shell_gone, F.array().cast(G.PARTS.elementType)).otherwise(
-            F.filter(cleaned, lambda ring: ~_is_collapsed(ring))
+    def keep_solid(rings: Column) -> Column:
+        return F.when(_is_collapsed(_first(rings)), F.array().cast(G.PARTS.elementType)).otherwise(
+            F.filter(rings, lambda ring: ~_is_collapsed(ring))
         )
 
+    def clean_part(part: Column) -> Column:
+        return G.let(F.transform(part, lambda ring: _without_repeats(_closed(ring))), keep_solid)
+
     cleaned = F.filter(F.transform(parts, clean_part), lambda part: F.size(part) > 0)
     return F.flatten(F.transform(cleaned, _split_at_crossing))
 

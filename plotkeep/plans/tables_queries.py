@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plotkeep.functions import clean as C
 from plotkeep.operators import content, gates, keys, legend, objects, profile
-from plotkeep.plans.registry import query, sql_content_hash, sql_row_text, table
+from plotkeep.plans.registry import query, spread_table, sql_content_hash, sql_row_text, table
 from plotkeep.sources import documents as D
 from plotkeep.sources import pages as P
 
@@ -282,8 +282,9 @@ HASHED = {
 )
 def content_hash_portable(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
-    for name in HASHED:
-        one = content.content_hash(table(spark, sf_dir, name), portable=True)
+    for name, columns in HASHED.items():
+        rows = spread_table(spark, sf_dir, name, *[c for c, _ in columns])
+        one = content.content_hash(rows, portable=True)
         one = one.select(F.lit(name).alias("table_name"), "content_hash")
         out = one if out is None else out.unionByName(one)
     return out

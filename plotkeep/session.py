@@ -24,6 +24,8 @@ def build_session(app: str = "plotkeep", master: str | None = None, **conf: str)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.ui.enabled": "false",
+        # call sites of every column expression cost more than planning them
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for key, value in settings.items():
