@@ -8,42 +8,58 @@ from pyspark.sql import functions as F
 from plotkeep.functions import geometry as G
 
 
-def _row_cells(edges: Column, row: Column, side: Column) -> Column:
-    """Cell runs (c0, c1, edge) of one grid row: those inside, and those an edge passes through."""
-    bottom, centre, top = row * side, (row + F.lit(0.5)) * side, (row + 1) * side
+def _cell_runs(edges: Column, side: Column) -> Column:
+    """Runs (row, c0, c1, edge) of grid cells: those inside, and those an edge passes through.
+
+    Every edge is visited for the grid rows it spans, so the work follows the
+    boundary and not the area.
+    """
+    def span(e: Column) -> Column:
+        first = F.floor(F.least(e.y1, e.y2) / side)
+        return F.sequence(first, F.greatest(first, F.floor(F.greatest(e.y1, e.y2) / side)))
 
     def at(e: Column, y: Column) -> Column:
         return (e.x2 - e.x1) * (y - e.y1) / (e.y2 - e.y1) + e.x1
 
-    crossed = F.filter(edges, lambda e: (e.y1 > centre) != (e.y2 > centre))
-
-    def inside(xs: Column) -> Column:
-        # even-odd: each pair of crossings bounds a run of cell centres
-        pairs = F.filter(F.transform(xs, lambda v, i: F.struct(v.alias("a"), F.get(xs, i + 1).alias("b"), i.alias("i"))),
-                         lambda p: p.i % 2 == 0)
-        return F.transform(
-            pairs,
-            lambda p: F.struct(
-                F.ceil(p.a / side - 0.5).alias("c0"), (F.ceil(p.b / side - 0.5) - 1).alias("c1"),
-                F.lit(False).alias("edge"),
-            ),
-        )
+    def centre(row: Column) -> Column:
+        return (row + F.lit(0.5)) * side
 
-    in_band = F.filter(
-        edges, lambda e: (F.least(e.y1, e.y2) < top) & (F.greatest(e.y1, e.y2) > bottom)
-    )
+    def crossings(e: Column) -> Column:
+        crossed = F.filter(span(e), lambda r: (e.y1 > centre(r)) != (e.y2 > centre(r)))
+        return F.transform(crossed, lambda r: F.struct(r.alias("row"), at(e, centre(r)).alias("x")))
+
+    def inside(found: Column) -> Column:
+        # even-odd: sorted by row and x, each pair of crossings bounds a run of cell centres
+        def run(c: Column, i: Column) -> Column:
+            return F.struct(
+                c.row.alias("row"), F.ceil(c.x / side - 0.5).alias("c0"),
+                (F.ceil(F.get(found, i + 1).x / side - 0.5) - 1).alias("c1"), F.lit(False).alias("edge"),
+                i.alias("i"),
+            )
+
+        pairs = F.filter(F.transform(found, run), lambda p: p.i % 2 == 0)
+        return F.transform(pairs, lambda p: F.struct(p.row, p.c0, p.c1, p.edge))
 
     def touched(e: Column) -> Column:
-        low, high = F.greatest(F.least(e.y1, e.y2), bottom), F.least(F.greatest(e.y1, e.y2), top)
-        flat = e.y1 == e.y2
-        x0 = F.when(flat, F.least(e.x1, e.x2)).otherwise(F.least(at(e, low), at(e, high)))
-        x1 = F.when(flat, F.greatest(e.x1, e.x2)).otherwise(F.greatest(at(e, low), at(e, high)))
-        return F.struct(
-            F.floor(x0 / side).alias("c0"), (F.ceil(x1 / side) - 1).alias("c1"), F.lit(True).alias("edge")
+        def run(r: Column) -> Column:
+            low = F.greatest(F.least(e.y1, e.y2), r * side)
+            high = F.least(F.greatest(e.y1, e.y2), (r + 1) * side)
+            flat = e.y1 == e.y2
+            x0 = F.when(flat, F.least(e.x1, e.x2)).otherwise(F.least(at(e, low), at(e, high)))
+            x1 = F.when(flat, F.greatest(e.x1, e.x2)).otherwise(F.greatest(at(e, low), at(e, high)))
+            return F.struct(
+                r.alias("row"), F.floor(x0 / side).alias("c0"), (F.ceil(x1 / side) - 1).alias("c1"),
+                F.lit(True).alias("edge"),
+            )
+
+        in_band = F.filter(
+            span(e), lambda r: (F.least(e.y1, e.y2) < (r + 1) * side) & (F.greatest(e.y1, e.y2) > r * side)
         )
+        return F.transform(in_band, run)
 
     runs = F.concat(
-        G.let(F.array_sort(F.transform(crossed, lambda e: at(e, centre))), inside), F.transform(in_band, touched)
+        G.let(F.array_sort(F.flatten(F.transform(edges, crossings))), inside),
+        F.flatten(F.transform(edges, touched)),
     )
     return F.filter(runs, lambda r: r.c0 <= r.c1)
 
@@ -52,29 +68,34 @@ def dissolved_area(df: DataFrame, group: str, cell: float, parts: str = "parts")
     """Per group: raw area sum, dissolved area, and the cells on a boundary.
 
     Ground is counted in square cells whose centre lies inside a polygon. The
-    dissolved area is off by at most the area of the boundary cells. Polygons
-    are cut into grid rows, and each row into runs of cells, so the geometry
-    is looked at once per row and not once per cell; duplicate cells are
-    combined before the shuffle.
+    dissolved area is off by at most the area of the boundary cells. One scan:
+    each polygon gives its runs of cells and one row with its own area, and
+    duplicate cells are combined before the shuffle.
     """
     side = F.lit(float(cell))
+    none = F.lit(None).cast("long")
     shaped = df.where(F.col(parts).isNotNull()).select(
-        F.col(group), F.col(parts).alias("_p"), G.bbox(F.col(parts)).alias("_b"), G.edges(F.col(parts)).alias("_e")
+        F.col(group), F.col(parts).alias("_p"), G.edges(F.col(parts)).alias("_e")
     )
-    raw = shaped.groupBy(group).agg(F.count(F.lit(1)).alias("polygons"), F.sum(G.area(F.col("_p"))).alias("raw_area"))
-    first_row = F.floor(F.col("_b.ymin") / side)
-    rows = F.sequence(first_row, F.greatest(first_row, F.ceil(F.col("_b.ymax") / side) - 1))
-    cells = (
-        shaped.select(group, "_e", F.explode(rows).alias("_cy"))
-        .select(group, "_cy", F.inline(_row_cells(F.col("_e"), F.col("_cy"), side)))
-        .select(group, "_cy", "edge", F.explode(F.sequence("c0", "c1")).alias("_cx"))
-        .groupBy(group, "_cx", "_cy")
-        .agg(F.bool_or(~F.col("edge")).alias("_in"), F.bool_or("edge").alias("_edge"))
-        .groupBy(group)
-        .agg(F.count_if("_in").alias("cells"), F.count_if("_edge").alias("boundary_cells"))
+    runs = F.transform(
+        _cell_runs(F.col("_e"), side),
+        lambda r: F.struct(r.row, r.c0, r.c1, r.edge, F.lit(None).cast("double").alias("area")),
+    )
+    own = F.struct(
+        none.alias("row"), none.alias("c0"), none.alias("c1"), F.lit(None).cast("boolean").alias("edge"),
+        G.area(F.col("_p")).alias("area"),
     )
-    return raw.join(cells, group, "left").select(
-        group, "polygons", "raw_area",
-        (F.coalesce(F.col("cells"), F.lit(0)) * side * side).alias("dissolved_area"),
-        F.coalesce(F.col("boundary_cells"), F.lit(0)).alias("boundary_cells"),
+    return (
+        shaped.select(group, F.inline(F.concat(F.array(own), runs)))
+        .select(group, "row", "edge", "area", F.explode_outer(F.sequence("c0", "c1")).alias("_cx"))
+        .groupBy(group, "row", "_cx")
+        .agg(
+            F.bool_or(~F.col("edge")).alias("_in"), F.bool_or("edge").alias("_edge"),
+            F.count("area").alias("_n"), F.sum("area").alias("_a"),
+        )
+        .groupBy(group)
+        .agg(
+            F.sum("_n").alias("polygons"), F.sum("_a").alias("raw_area"),
+            (F.count_if("_in") * side * side).alias("dissolved_area"), F.count_if("_edge").alias("boundary_cells"),
+        )
     )

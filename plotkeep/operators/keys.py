@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotkeep.functions.clean import address_key, split_items
+from plotkeep.operators.skew import TARGET_ROWS, split_hot_keys
 
 
 def decoded_counts(
@@ -64,22 +65,27 @@ def key_match_rate(left: DataFrame, left_key: Column, right: DataFrame, right_ke
 
 
 def match_by_address(
-    left: DataFrame, left_address: str, right: DataFrame, right_address: str, right_id: str
+    left: DataFrame, left_address: str, left_id: str, right: DataFrame, right_address: str, right_id: str,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Left rows with the number of right rows at the same address and the lowest of their ids.
 
     The right side is reduced to one row per address first, so a shared
-    address never multiplies rows.
+    address never multiplies rows; a placeholder address that many left rows
+    carry is split over several tasks.
     """
     by_address = (
         right.select(address_key(F.col(right_address)).alias("address_key"), F.col(right_id).alias("_rid"))
+        .where("address_key is not null")
         .groupBy("address_key")
         .agg(F.count(F.lit(1)).alias("matches"), F.min("_rid").alias("first_match"))
     )
+    keyed = left.withColumn("address_key", address_key(F.col(left_address)))
+    keyed, by_address, on = split_hot_keys(keyed, by_address, ["address_key"], [left_id], target_rows)
     return (
-        left.withColumn("address_key", address_key(F.col(left_address)))
-        .join(by_address, "address_key", "left")
+        keyed.join(by_address, on, "left")
         .withColumn("matches", F.coalesce("matches", F.lit(0)))
+        .drop("_salt")
     )
 
 

@@ -20,12 +20,13 @@ def split_hot_keys(
     spread: Sequence[str],
     target_rows: int = TARGET_ROWS,
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Give an inner equi-join an extra key that splits hot keys of ``left``.
+    """Give an equi-join (inner, left or semi) an extra key that splits hot keys of ``left``.
 
     Rows of a hot key are spread by a hash of ``spread`` (a row identifier, so
     that copies spread too) and the matching ``right`` rows are repeated once
     per split. The hash is deterministic: a rerun task places rows alike.
-    Every pair still meets exactly once.
+    Every pair still meets exactly once. Rows without a key match nothing and
+    are spread as well.
     """
     keys = list(keys)
     hot = (
@@ -37,11 +38,12 @@ def split_hot_keys(
         .select(*keys, F.ceil(F.col("count") / F.lit(target_rows)).alias("_splits"))
     )
     hot = F.broadcast(hot)
-    salted_left = (
-        left.join(hot, keys, "left")
-        .withColumn("_salt", F.coalesce(F.pmod(F.xxhash64(*spread), F.col("_splits")), F.lit(0).cast("long")))
-        .drop("_splits")
-    )
+    no_key = F.lit(False)
+    for key in keys:
+        no_key = no_key | F.col(key).isNull()
+    row_hash = F.xxhash64(*spread)
+    salt = F.when(no_key, row_hash).otherwise(F.coalesce(F.pmod(row_hash, F.col("_splits")), F.lit(0).cast("long")))
+    salted_left = left.join(hot, keys, "left").withColumn("_salt", salt).drop("_splits")
     last = F.coalesce(F.col("_splits"), F.lit(1).cast("long")) - 1
     salted_right = (
         right.join(hot, keys, "left")

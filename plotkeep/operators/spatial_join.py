@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from plotkeep.functions import geometry as G
 from plotkeep.operators.skew import TARGET_ROWS, split_hot_keys
+from plotkeep.session import cut_lineage
 
 LOWEST_LEVEL = -30  # for shapes without extent
 
@@ -127,7 +128,8 @@ def overlapping_shapes(
             F.col("n_rows").alias(f"{side}_rows"),
             F.col("first_id").alias(f"{side}_id"),
         )
-        return _with_shape_columns(renamed, f"{side}_parts")
+        # read three times below: levels, hot cells, join
+        return cut_lineage(_with_shape_columns(renamed, f"{side}_parts"), "shapes")
 
     a, b = prepared(left, left_id, "left"), prepared(right, right_id, "right")
     a_levels, b_levels = _levels(a), _levels(b)

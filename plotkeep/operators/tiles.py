@@ -76,8 +76,9 @@ def tile_features(
 
     A tile keeps its ``limit`` lowest features by (identifier hash,
     identifier). A low-zoom tile can hold every row of the table, so ranking
-    happens only inside one hash bucket per tile: counts per bucket tell which
-    buckets are wholly kept and which single bucket the limit cuts through.
+    happens only inside one of many hash buckets per tile: counts per bucket
+    tell how many features the lower buckets hold, and buckets past the limit
+    are left out.
     """
     h = F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("long")
     ranged = df.where(F.col(box).isNotNull()).select(
@@ -94,10 +95,9 @@ def tile_features(
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
         .where(F.col("_before") < limit)
-        .withColumn("_whole", F.col("_before") + F.col("_n") <= limit)
+        .drop("_n")
     )
-    candidates = placed.join(before, [*tile, "_bucket"])
-    whole = candidates.where("_whole").select(*tile, id_col)
+    # the rank is partitioned like the join, so it needs no further shuffle
     rank = F.row_number().over(Window.partitionBy(*tile, "_bucket").orderBy("_h", id_col))
-    cut = candidates.where("not _whole").withColumn("_rank", rank)
-    return whole.unionByName(cut.where(F.col("_rank") + F.col("_before") <= limit).select(*tile, id_col))
+    ranked = placed.join(before, [*tile, "_bucket"]).withColumn("_rank", rank)
+    return ranked.where(F.col("_rank") + F.col("_before") <= limit).select(*tile, id_col)

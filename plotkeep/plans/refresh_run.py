@@ -9,6 +9,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plotkeep.functions import geometry as G
+from plotkeep.functions.projection import mercator_to_lonlat
 from plotkeep.operators.cluster import hilbert_sorted
 from plotkeep.operators.content import content_hash
 from plotkeep.operators.legend import legend_drift
@@ -38,17 +40,25 @@ class Extract:
     count_before: int
     count_after: int
     parts: str | None = None  # geometry column of spatial collections
+    web_mercator: bool = False  # the geometry still is in the service's projection
     rules: DataFrame | None = None
 
 
 def _prepared(extract: Extract) -> DataFrame:
-    """Repair and cluster a spatial collection; others are taken as they are."""
+    """Reproject, repair and cluster a spatial collection; others are taken as they are."""
     if extract.parts is None:
         return extract.rows
-    checked = repair_geometries(extract.rows, extract.parts)
+    rows = extract.rows
+    if extract.web_mercator:
+        rows = rows.withColumn(extract.parts, G.map_points(F.col(extract.parts), mercator_to_lonlat))
+    checked = repair_geometries(rows.withColumn("bbox", G.bbox(F.col(extract.parts))), extract.parts)
     return hilbert_sorted(checked, extract.id_col)
 
 
+def _checksum(spark: SparkSession, folder: str):
+    return S.folder_checksums(S.file_digests(spark, folder)).first()
+
+
 def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime, run: str) -> tuple:
     """Stage, check and commit one collection. Returns its report row.
 
@@ -84,7 +94,7 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
             raise StyleDrift("; ".join(sorted(d.detail for d in drift)))
 
     # the outgoing version must still hold the bytes its record describes
-    if current is not None and S.archive_integrity(spark, newest(manifest)):
+    if current is not None and _checksum(spark, current.path).file_checksum != current.file_checksum:
         raise Refused(f"version {current.version} does not match its recorded checksum")
 
     wanted = spark.createDataFrame([(name, now.date())], "collection string, day date")
@@ -93,7 +103,7 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
     if extract.parts is not None:
         quality = quality_counters(written).first()
         repaired, nulls = quality.repaired_geometries, quality.null_geometries
-    files = S.folder_checksum(S.file_digests(spark, staged)).first()
+    files = _checksum(spark, staged)
     record = (
         name, label.version, label.day, label.version_seq, now, extract.source_updated, row_count,
         facts.content_hash, repaired, nulls, files.file_size, files.file_checksum, staged, run,

@@ -211,7 +211,7 @@ def address_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.replace("addr", F.lit(" "), F.lit("   ")))
     )
     left = clean.select("c_custkey", noisy.alias("addr"))
-    return keys.match_by_address(left, "addr", clean, "addr", "c_custkey").drop("addr")
+    return keys.match_by_address(left, "addr", "c_custkey", clean, "addr", "c_custkey").drop("addr")
 
 
 def _sql_values(column: str, numeric: bool) -> str:

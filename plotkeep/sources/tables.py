@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotkeep.functions.clean import md5_hex, multihash
@@ -92,13 +92,14 @@ def read_as_of(spark: SparkSession, root: str, collection: str, moment: datetime
     return spark.read.parquet(_one_path(as_of(mine, moment), f"{collection} at {moment}"))
 
 
-def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """(name, size, md5, multihash) of every data file below a path.
+def file_digests(spark: SparkSession, *paths: str) -> DataFrame:
+    """(folder, name, size, md5, multihash) of every data file below some paths.
 
     Each file is read whole by one task: part files must stay below 2 GiB.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
     return files.select(
+        _version_folder(F.col("path")).alias("folder"),
         F.substring_index("path", "/", -1).alias("name"),
         F.col("length").alias("size"),
         md5_hex(F.col("content")).alias("md5"),
@@ -106,8 +107,13 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def folder_checksum(digests: DataFrame) -> DataFrame:
-    """One (file_size, file_checksum) for a folder of part files.
+def _version_folder(path: Column) -> Column:
+    """``<collection>/versions/<folder>``, the same for a folder and the files in it."""
+    return F.regexp_extract(path, r"([^/]+/versions/[^/]+)(?:/[^/]*)?$", 1)
+
+
+def folder_checksums(digests: DataFrame) -> DataFrame:
+    """(folder, file_size, file_checksum) of folders of part files.
 
     The checksum is the file count and four sums over slices of the sha-256 of
     each (name, multihash): it does not depend on listing order, and nothing
@@ -115,20 +121,20 @@ def folder_checksum(digests: DataFrame) -> DataFrame:
     """
     sha = F.sha2(F.concat_ws(":", "name", "multihash"), 256)
     slices = [F.conv(F.substring(sha, 1 + 15 * i, 15), 16, 10).cast("long") for i in range(4)]
-    return digests.agg(
+    return digests.groupBy("folder").agg(
         F.sum("size").alias("file_size"),
         F.concat_ws(":", F.count(F.lit(1)).cast("string"), *[hash_sum(s) for s in slices]).alias("file_checksum"),
     )
 
 
-def archive_integrity(spark: SparkSession, versions: DataFrame) -> list[tuple[str, str]]:
-    """(collection, version) whose files no longer match the recorded checksum."""
-    broken = []
-    for row in versions.select("collection", "version", "path", "file_checksum").toLocalIterator():
-        found = folder_checksum(file_digests(spark, row.path)).first().file_checksum
-        if found != row.file_checksum:
-            broken.append((row.collection, row.version))
-    return broken
+def archive_integrity(spark: SparkSession, root: str, versions: DataFrame) -> DataFrame:
+    """Versions whose files no longer match the recorded checksum, all checked in one job."""
+    recorded = versions.select("collection", "version", "file_checksum", _version_folder(F.col("path")).alias("folder"))
+    found = folder_checksums(file_digests(spark, f"{root}/*/versions")).select(
+        "folder", F.col("file_checksum").alias("found_checksum")
+    )
+    same = F.col("found_checksum").eqNullSafe(F.col("file_checksum"))
+    return recorded.join(found, "folder", "left").where(~same).select("collection", "version")
 
 
 def ordered_versions(spark: SparkSession, root: str, collection: str) -> DataFrame:

@@ -148,10 +148,13 @@ def test_sort_puts_missing_geometry_last_and_keeps_every_row(spark):
 def test_window_filter_reaches_the_scan(spark, tmp_path):
     df = shapes(spark, [[SQUARE]], [[FAR]], None).withColumn("bbox", G.bbox(F.col("parts")))
     df.write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     found = in_window(spark.read.parquet(str(tmp_path / "t")), 9.0, 0.0, 20.0, 5.0)
     assert [r.id for r in found.collect()] == [1]
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(bbox.xmax,9.0)" in plan
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters"):]
+    assert "GreaterThanOrEqual(bbox.xmax,9.0)" in pushed and "LessThanOrEqual(bbox.ymin,5.0)" in pushed
 
 
 def test_mercator_and_state_plane(spark):

@@ -141,9 +141,48 @@ def test_store_versions(spark, tmp_path):
         S.read_as_of(spark, root, "lots", at(1, 6))
 
     # a byte changed outside the refresh stops the next version
-    assert S.archive_integrity(spark, S.read_manifest(spark, root)) == []
+    broken = lambda: [tuple(r) for r in S.archive_integrity(spark, root, S.read_manifest(spark, root)).collect()]
+    assert broken() == []
     path = S.ordered_versions(spark, root, "lots").collect()[-1].path
     part = sorted((tmp_path / "store").glob(f"lots/versions/{path.rsplit('/', 1)[-1]}/part-*"))[0]
     part.with_name("part-extra.parquet").write_bytes(part.read_bytes())
+    assert broken() == [("lots", "2026-10-08-2")]
     refused = run(lots, at(20), "r6")
     assert refused.status == "error" and "recorded checksum" in refused.detail
+
+
+def test_web_mercator_is_reprojected_on_ingest(spark, tmp_path):
+    root = str(tmp_path / "store")
+    edge = 20037508.342789244
+    rows = spark.range(3).select("id", box_parts(F.lit(0.0), F.lit(0.0), F.lit(edge), F.lit(edge)).alias("parts"))
+    when = datetime(2026, 10, 1, 7, tzinfo=timezone.utc)
+    done = refresh_all(spark, root, [Extract("m", rows, "id", when, 3, 3, parts="parts", web_mercator=True)], when, "r")
+    assert done.first().status == "ok"
+    box = S.read_current(spark, root, "m", ["bbox"]).first().bbox
+    assert tuple(box) == pytest.approx((0.0, 0.0, 180.0, 85.0511287798066))
+
+
+def test_address_match_splits_a_hot_address(spark, rows):
+    left = spark.range(300).select("id", F.when(F.col("id") % 3 == 0, " unknown ").when(
+        F.col("id") % 3 == 1, F.concat(F.col("id").cast("string"), F.lit("  Main st"))).alias("a"))
+    right = spark.createDataFrame([(1, "UNKNOWN"), (2, "unknown"), (3, "4 main ST"), (4, None)], "rid int, b string")
+    got = keys.match_by_address(left, "a", "id", right, "b", "rid", target_rows=10)
+    expected = sorted(
+        ((i, 2, 1) if i % 3 == 0 else (4, 1, 3) if i == 4 else (i, 0, None) for i in range(300)), key=repr)
+    assert rows(got.select("id", "matches", "first_match")) == expected
+
+
+def test_inventory_lists_every_data_file(spark, tmp_path):
+    from plotkeep.operators.objects import staged_objects
+    from plotkeep.sources.inventory import list_files
+
+    for rel in ("a/roads.parquet", "a/.hidden/x.parquet", "b/notes.md", "tiles.PMTILES"):
+        (tmp_path / rel).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / rel).write_text("hello")
+    listed = list_files(spark, str(tmp_path))
+    assert rows_of(staged_objects(listed, "base").select("key", "size")) == [
+        ("base/a/roads.parquet", 5), ("base/tiles.PMTILES", 5)]
+
+
+def rows_of(df):
+    return sorted(tuple(r) for r in df.collect())
