@@ -14,54 +14,64 @@ def _cell_runs(edges: Column, side: Column) -> Column:
     Every edge is visited for the grid rows it spans, so the work follows the
     boundary and not the area.
     """
-    def span(e: Column) -> Column:
-        first = F.floor(F.least(e.y1, e.y2) / side)
-        return F.sequence(first, F.greatest(first, F.floor(F.greatest(e.y1, e.y2) / side)))
-
-    def at(e: Column, y: Column) -> Column:
-        return (e.x2 - e.x1) * (y - e.y1) / (e.y2 - e.y1) + e.x1
+    # upright edges: lower end first, with the step in x per unit of y (null when flat)
+    upright = F.transform(
+        edges,
+        lambda e: F.when(
+            e.y1 <= e.y2,
+            F.struct(e.x1.alias("x"), e.x2.alias("xt"), e.y1.alias("y"), e.y2.alias("yt"),
+                     F.try_divide(e.x2 - e.x1, e.y2 - e.y1).alias("m")),
+        ).otherwise(
+            F.struct(e.x2.alias("x"), e.x1.alias("xt"), e.y2.alias("y"), e.y1.alias("yt"),
+                     F.try_divide(e.x1 - e.x2, e.y1 - e.y2).alias("m")),
+        ),
+    )
 
-    def centre(row: Column) -> Column:
-        return (row + F.lit(0.5)) * side
+    def rows(first: Column, last: Column) -> Column:
+        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
 
     def crossings(e: Column) -> Column:
-        crossed = F.filter(span(e), lambda r: (e.y1 > centre(r)) != (e.y2 > centre(r)))
-        return F.transform(crossed, lambda r: F.struct(r.alias("row"), at(e, centre(r)).alias("x")))
+        # rows whose centre line y satisfies lower <= y < upper
+        crossed = rows(F.ceil(e.y / side - 0.5), F.ceil(e.yt / side - 0.5) - 1)
+        return F.transform(
+            crossed, lambda r: F.struct(r.alias("row"), (e.x + ((r + 0.5) * side - e.y) * e.m).alias("x"))
+        )
 
     def inside(found: Column) -> Column:
         # even-odd: sorted by row and x, each pair of crossings bounds a run of cell centres
-        def run(c: Column, i: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda i: (i % 2 == 0) & (i < F.size(found)))
+
+        def run(i: Column) -> Column:
+            c = F.get(found, i)
             return F.struct(
                 c.row.alias("row"), F.ceil(c.x / side - 0.5).alias("c0"),
                 (F.ceil(F.get(found, i + 1).x / side - 0.5) - 1).alias("c1"), F.lit(False).alias("edge"),
-                i.alias("i"),
             )
 
-        pairs = F.filter(F.transform(found, run), lambda p: p.i % 2 == 0)
-        return F.transform(pairs, lambda p: F.struct(p.row, p.c0, p.c1, p.edge))
+        return F.when(F.size(found) > 0, F.transform(firsts, run)).otherwise(
+            F.array().cast("array<struct<row:bigint,c0:bigint,c1:bigint,edge:boolean>>")
+        )
 
     def touched(e: Column) -> Column:
         def run(r: Column) -> Column:
-            low = F.greatest(F.least(e.y1, e.y2), r * side)
-            high = F.least(F.greatest(e.y1, e.y2), (r + 1) * side)
-            flat = e.y1 == e.y2
-            x0 = F.when(flat, F.least(e.x1, e.x2)).otherwise(F.least(at(e, low), at(e, high)))
-            x1 = F.when(flat, F.greatest(e.x1, e.x2)).otherwise(F.greatest(at(e, low), at(e, high)))
+            # where the edge enters and leaves the row; a flat edge is there as a whole
+            x0 = F.coalesce(e.x + (F.greatest(r * side, e.y) - e.y) * e.m, e.x)
+            x1 = F.coalesce(e.x + (F.least((r + 1) * side, e.yt) - e.y) * e.m, e.xt)
             return F.struct(
-                r.alias("row"), F.floor(x0 / side).alias("c0"), (F.ceil(x1 / side) - 1).alias("c1"),
-                F.lit(True).alias("edge"),
+                r.alias("row"), F.floor(F.least(x0, x1) / side).alias("c0"),
+                (F.ceil(F.greatest(x0, x1) / side) - 1).alias("c1"), F.lit(True).alias("edge"),
             )
 
-        in_band = F.filter(
-            span(e), lambda r: (F.least(e.y1, e.y2) < (r + 1) * side) & (F.greatest(e.y1, e.y2) > r * side)
+        return F.transform(rows(F.floor(e.y / side), F.ceil(e.yt / side) - 1), run)
+
+    def both(upright_edges: Column) -> Column:
+        runs = F.concat(
+            G.let(F.array_sort(F.flatten(F.transform(upright_edges, crossings))), inside),
+            F.flatten(F.transform(upright_edges, touched)),
         )
-        return F.transform(in_band, run)
+        return F.filter(runs, lambda r: r.c0 <= r.c1)
 
-    runs = F.concat(
-        G.let(F.array_sort(F.flatten(F.transform(edges, crossings))), inside),
-        F.flatten(F.transform(edges, touched)),
-    )
-    return F.filter(runs, lambda r: r.c0 <= r.c1)
+    return G.let(upright, both)
 
 
 def dissolved_area(df: DataFrame, group: str, cell: float, parts: str = "parts") -> DataFrame:

@@ -120,11 +120,12 @@ def newest_update(collections: DataFrame) -> DataFrame:
 
 def stamp_check(collections: DataFrame, stored: DataFrame) -> DataFrame:
     """(stored, newest, needs_stamp); stamping twice changes nothing."""
-    one = F.lit(1).alias("_one")
-    newest_row = newest_update(collections).select("newest", one)
-    joined = newest_row.join(stored.select(F.col("updated").alias("stored"), one), "_one", "left")
+    none = F.lit(None).cast("string")
+    both = collections.select(F.col("updated").alias("newest"), none.alias("stored")).unionByName(
+        stored.select(none.alias("newest"), F.col("updated").alias("stored"))
+    )
     needs = F.col("newest").isNotNull() & ~F.col("stored").eqNullSafe(F.col("newest"))
-    return joined.select("stored", "newest", needs.alias("needs_stamp"))
+    return both.agg(F.max("stored").alias("stored"), F.max("newest").alias("newest")).withColumn("needs_stamp", needs)
 
 
 def as_of(versions: DataFrame, moment: datetime | Column) -> DataFrame:

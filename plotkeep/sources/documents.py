@@ -40,6 +40,8 @@ def _collection_type(ns: str) -> T.StructType:
         T.StructField("type", text),
         T.StructField("description", text),
         T.StructField("updated", text),
+        T.StructField("table:row_count", T.LongType()),
+        T.StructField("geoparquet:feature_count", T.LongType()),
         T.StructField("stac_extensions", T.ArrayType(text)),
         T.StructField("links", T.ArrayType(link)),
         T.StructField("assets", T.MapType(text, _asset_type(ns))),
@@ -88,6 +90,21 @@ def collection_versions(collections: DataFrame, ns: str) -> DataFrame:
     )
 
 
+def document_counts(collections: DataFrame, ns: str) -> DataFrame:
+    """(count_a, count_b, ...) of every place a document records a count: itself and each asset."""
+    own = collections.select(
+        F.col("`table:row_count`").alias("rows"), F.col("`geoparquet:feature_count`").alias("features"),
+        F.lit(None).cast("long").alias("repaired"), F.lit(None).cast("long").alias("nulls"),
+    )
+    asset = F.col("asset")
+    assets = collections.select(F.explode("assets").alias("key", "asset")).select(
+        asset.getField("table:row_count").alias("rows"), F.lit(None).cast("long").alias("features"),
+        asset.getField(f"{ns}:repaired_geometries").alias("repaired"),
+        asset.getField(f"{ns}:null_geometries").alias("nulls"),
+    )
+    return own.unionByName(assets)
+
+
 def document_links(collections: DataFrame) -> DataFrame:
     """(path, source, href) of every link and asset."""
     linked = F.transform(

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plotkeep.operators import gates, objects, refresh, versions
+from plotkeep.operators.profile import recorded_counts
 from plotkeep.sources import documents as D
 
 NOW = datetime(2026, 10, 20, 7, tzinfo=timezone.utc)
@@ -106,11 +107,11 @@ def test_stamp_is_idempotent(spark):
 
 def test_collection_documents(spark, rows):
     doc = {
-        "id": "c", "type": "Collection", "updated": "2026-10-08T07:00:00Z",
+        "id": "c", "type": "Collection", "table:row_count": 500, "geoparquet:feature_count": 501, "updated": "2026-10-08T07:00:00Z",
         "links": [{"rel": "root", "href": "../catalog.json"}, {"rel": "via", "href": "https://x.org"}],
         "assets": {
             "c": {"href": "c.parquet", "version": "2026-10-08", "created": "2026-10-08T07:00:00Z",
-                  "geo:source_updated": "2026-10-08T01:00:00Z", "table:row_count": 5, "geo:content_hash": "h2"},
+                  "geo:source_updated": "2026-10-08T01:00:00Z", "table:row_count": 5, "geo:content_hash": "h2", "geo:null_geometries": 137},
             "version-2026-10-01": {"href": "versions/2026-10-01.parquet", "version": "2026-10-01",
                                    "created": "2026-10-01T07:00:00Z", "geo:source_updated": None,
                                    "table:row_count": 3, "geo:content_hash": "h1", "file:checksum": "1220aa"},
@@ -123,6 +124,8 @@ def test_collection_documents(spark, rows):
     parsed = D.collection_documents(docs, "geo")
     got = rows(D.collection_versions(parsed, "geo").select("collection", "version", "row_count", "content_hash", "role"))
     assert got == [("c", "2026-10-01", 3, "h1", "archive"), ("c", "2026-10-08", 5, "h2", "data")]
+    counts = recorded_counts(D.document_counts(parsed, "geo"), ["rows", "features", "repaired", "nulls"])
+    assert rows(counts) == [(137,), (500,), (501,)]
     assert ("c/collection.json", "rel:root", "../catalog.json") in rows(D.document_links(parsed))
     assert ("c/collection.json", "asset c-tiles", "c.pmtiles") in rows(D.document_links(parsed))
 
