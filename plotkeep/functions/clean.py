@@ -76,10 +76,6 @@ def first_known(*cols: Column, empty: object = 0) -> Column:
     return F.coalesce(*[F.nullif(c, F.lit(empty)) for c in cols])
 
 
-def required(col: Column, message: str) -> Column:
-    return F.coalesce(col, F.raise_error(F.lit(message)))
-
-
 def utc_from_millis(ms: Column) -> Column:
     return F.timestamp_millis(ms.cast("long"))
 

@@ -41,17 +41,6 @@ def blank_fences(text: Column) -> Column:
     return F.array_join(pieces, "")
 
 
-def number_hits(line: Column, allowed: tuple[str, ...] = ALLOWED_NUMBERS) -> Column:
-    """Thousands-separated numbers and percentages of one line."""
-    found = F.regexp_extract_all(line, F.lit(NUMBER), F.lit(0))
-    return F.filter(found, lambda v: ~v.isin(list(allowed)))
-
-
-def count_tokens(line: Column) -> Column:
-    """Plain or thousands-separated whole numbers that stand alone."""
-    return F.regexp_extract_all(line, F.lit(COUNT_TOKEN), F.lit(0))
-
-
 def sentences(text: Column) -> Column:
     """Sentences, each with the white space that ends it."""
     return F.split(F.regexp_replace(text, SENTENCE_BREAK, f"$1{_MARK}"), _MARK, -1)

@@ -113,13 +113,11 @@ def temporal_extent(versions: DataFrame) -> DataFrame:
     return versions.groupBy("collection").agg(F.min(known).alias("extent_start"), F.max(known).alias("extent_end"))
 
 
-def newest_update(collections: DataFrame) -> DataFrame:
-    """The stamp the root must carry: the newest ``updated`` of any collection."""
-    return collections.agg(F.max("updated").alias("newest"))
-
-
 def stamp_check(collections: DataFrame, stored: DataFrame) -> DataFrame:
-    """(stored, newest, needs_stamp); stamping twice changes nothing."""
+    """(stored, newest, needs_stamp): the root carries the newest ``updated`` of any collection.
+
+    Stamping twice changes nothing.
+    """
     none = F.lit(None).cast("string")
     both = collections.select(F.col("updated").alias("newest"), none.alias("stored")).unionByName(
         stored.select(none.alias("newest"), F.col("updated").alias("stored"))

@@ -16,8 +16,10 @@ from plotkeep.operators.content import content_hash
 from plotkeep.operators.legend import legend_drift
 from plotkeep.operators.validity import quality_counters, repair_geometries
 from plotkeep.operators.versions import MANIFEST_SCHEMA, newest, next_labels
+from plotkeep.session import cut_lineage
 from plotkeep.sources import tables as S
 
+ROWS_PER_FILE = 1_000_000
 REPORT_SCHEMA = "collection string, status string, detail string, version string, row_count bigint"
 
 
@@ -52,7 +54,9 @@ def _prepared(extract: Extract) -> DataFrame:
     if extract.web_mercator:
         rows = rows.withColumn(extract.parts, G.map_points(F.col(extract.parts), mercator_to_lonlat))
     checked = repair_geometries(rows.withColumn("bbox", G.bbox(F.col(extract.parts))), extract.parts)
-    return hilbert_sorted(checked, extract.id_col)
+    # range partitioning reads its input twice, so the repair is written down first
+    files = max(1, -(-extract.count_before // ROWS_PER_FILE))
+    return hilbert_sorted(cut_lineage(checked, "repaired"), extract.id_col, partitions=files)
 
 
 def _checksum(spark: SparkSession, folder: str):
@@ -71,7 +75,7 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
     name = extract.collection
     manifest = S.read_manifest(spark, root).where(F.col("collection") == name)
     current = newest(manifest).first()
-    staged = f"{root}/{name}/versions/run-{run}"
+    staged = S.version_path(root, name, run)
     S.write_table(_prepared(extract), staged)
     written = spark.read.parquet(staged)
 

@@ -1,4 +1,10 @@
-"""Queries over attribute tables: decoding, cleaning, profiles, hashes, gates."""
+"""Queries over attribute tables: decoding, cleaning, profiles, hashes, gates.
+
+The tables hold one version, no orphans and few nulls. Where an operator needs
+a second version, a defect or a missing value, it is derived from the whole
+table by arithmetic on the key, the same in Spark and in SQL; such a condition
+marks or edits rows and never narrows what a query works on.
+"""
 
 from __future__ import annotations
 

@@ -65,9 +65,11 @@ def page_completeness(pages: DataFrame) -> DataFrame:
     """(collection, pages, row_count, last_pages, gaps, complete).
 
     Offsets are contiguous when every page but the first starts where another
-    ends, which is an anti-join instead of a window over all pages of a
-    collection. The read is complete with no gap and one last page: an empty
-    one, or one that did not exceed the transfer limit.
+    ends. Each page gives a start and an end mark, and marks are met by
+    (collection, position) in one grouped pass: every page is parsed once and
+    no collection has to fit into one task. The read is complete with no gap
+    and one last page: an empty one, or one that did not exceed the transfer
+    limit.
     """
     shape = T.StructType([
         T.StructField("features", T.ArrayType(T.StructType([]))),
@@ -79,21 +81,28 @@ def page_completeness(pages: DataFrame) -> DataFrame:
         F.coalesce(F.size("p.features"), F.lit(0)).cast("long").alias("n"),
         F.coalesce("p.exceededTransferLimit", F.lit(False)).alias("more"),
     )
-    is_last = ~F.col("more") | (F.col("n") == 0)
-    totals = sized.groupBy("collection").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum("n").alias("row_count"), F.count_if(is_last).alias("last_pages"),
-        F.count_if(F.col("page_offset") == 0).alias("_firsts"),
-    )
-    ends = sized.where("n > 0").select("collection", (F.col("page_offset") + F.col("n")).alias("page_offset"))
-    gaps = (
-        sized.where("page_offset > 0")
-        .join(ends, ["collection", "page_offset"], "left_anti")
-        .groupBy("collection")
-        .agg(F.count(F.lit(1)).alias("gaps"))
+    is_last = (~F.col("more") | (F.col("n") == 0)).cast("long")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def mark(position: Column, starts: Column, ends: Column, n: Column, last: Column) -> Column:
+        return F.struct(
+            position.cast("long").alias("position"), starts.alias("starts"), ends.alias("ends"),
+            n.alias("n"), last.alias("last"),
+        )
+
+    start = mark(F.col("page_offset"), one, zero, F.col("n"), is_last)
+    end = mark(F.col("page_offset") + F.col("n"), zero, (F.col("n") > 0).cast("long"), zero, zero)
+    by_position = sized.select("collection", F.inline(F.array(start, end))).groupBy("collection", "position").agg(
+        F.sum("starts").alias("starts"), F.sum("ends").alias("ends"), F.sum("n").alias("n"), F.sum("last").alias("last")
     )
+    lost = (F.col("position") > 0) & (F.col("ends") == 0)
     return (
-        totals.join(gaps, "collection", "left")
-        .withColumn("gaps", F.coalesce("gaps", F.lit(0)))
+        by_position.groupBy("collection")
+        .agg(
+            F.sum("starts").alias("pages"), F.sum("n").alias("row_count"), F.sum("last").alias("last_pages"),
+            F.sum(F.when(lost, F.col("starts")).otherwise(zero)).alias("gaps"),
+            F.sum(F.when(F.col("position") == 0, F.col("starts")).otherwise(zero)).alias("_firsts"),
+        )
         .withColumn("complete", (F.col("gaps") == 0) & (F.col("last_pages") == 1) & (F.col("_firsts") == 1))
         .drop("_firsts")
     )

@@ -2,7 +2,7 @@
 
 Layout under a root that all executors share:
 
-    <root>/<collection>/versions/<label>/   one version, never rewritten
+    <root>/<collection>/versions/<run>/     what one run wrote, never rewritten
     <root>/manifest/                        one row per version
     <root>/checks/                          one row per no-op check
 
@@ -27,8 +27,9 @@ from plotkeep.operators.versions import MANIFEST_SCHEMA, as_of, newest, with_ver
 CHECKS_SCHEMA = "collection string, source_updated timestamp, checked timestamp"
 
 
-def version_path(root: str, collection: str, label: str) -> str:
-    return f"{root}/{collection}/versions/{label}"
+def version_path(root: str, collection: str, run: str) -> str:
+    """Named by run and not by label, so that a refused run blocks no label."""
+    return f"{root}/{collection}/versions/{run}"
 
 
 def write_table(df: DataFrame, path: str) -> None:
@@ -80,6 +81,15 @@ def read_current(spark: SparkSession, root: str, collection: str, columns: Seque
     return df.select(*columns) if columns else df
 
 
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """A temporary view per collection on its current version, for use from SQL."""
+    names = []
+    for row in newest(read_manifest(spark, root)).select("collection", "path").toLocalIterator():
+        spark.read.parquet(row.path).createOrReplaceTempView(row.collection)
+        names.append(row.collection)
+    return sorted(names)
+
+
 def read_version(spark: SparkSession, root: str, collection: str, label: str) -> DataFrame:
     """An earlier (or the current) version by label."""
     found = read_manifest(spark, root).where((F.col("collection") == collection) & (F.col("version") == label))

@@ -1,7 +1,5 @@
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import functions as F
-
 from plotkeep.streaming import jobs
 
 START = datetime(2026, 10, 1, tzinfo=timezone.utc)

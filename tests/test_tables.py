@@ -186,3 +186,32 @@ def test_inventory_lists_every_data_file(spark, tmp_path):
 
 def rows_of(df):
     return sorted(tuple(r) for r in df.collect())
+
+
+def test_documented_query_runs_on_views(spark, tmp_path):
+    root = str(tmp_path / "store")
+    when = datetime(2026, 10, 1, 7, tzinfo=timezone.utc)
+    districts = spark.createDataFrame([(i, "RSA5" if i % 3 else "CMX2") for i in range(9)], "objectid int, long_code string")
+    names = spark.createDataFrame([(1, "RSA5", "Residential"), (2, "CMX2", "Mixed")],
+                                  "objectid int, new_code string, code_description string")
+    done = refresh_all(spark, root, [
+        Extract("base_districts", districts, "objectid", when, 9, 9),
+        Extract("descriptions", names, "objectid", when, 2, 2),
+    ], when, "r")
+    assert [r.status for r in done.collect()] == ["ok", "ok"]
+    assert S.register_views(spark, root) == ["base_districts", "descriptions"]
+    out = spark.sql("""
+        SELECT z.long_code, d.code_description, count(*) AS polygons
+        FROM base_districts z JOIN descriptions d ON z.long_code = d.new_code
+        GROUP BY 1, 2 ORDER BY 3 DESC
+    """)
+    assert [tuple(r) for r in out.collect()] == [("RSA5", "Residential", 6), ("CMX2", "Mixed", 3)]
+
+
+def test_read_documents(spark, tmp_path):
+    from plotkeep.sources.documents import read_documents
+
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "collection.json").write_text('{"id": "c",\n "type": "Collection"}')
+    row = read_documents(spark, str(tmp_path)).first()
+    assert row.path.endswith("/c/collection.json") and row.text.count("\n") == 1
