@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotkeep.functions import prose as P
+from plotkeep.operators.skew import TARGET_ROWS, split_hot_keys
 
 # Suffixes of data files that live outside the metadata tree.
 LINK_DATA_SUFFIXES = (
@@ -24,28 +25,43 @@ def sync_gate(published: DataFrame, known: DataFrame) -> DataFrame:
     return published.where("version is not null").join(known, ["collection", "version"], "left_anti")
 
 
+def _relative(links: DataFrame, light: bool) -> DataFrame:
+    """Links into the tree. ``light`` exempts data suffixes, whose bytes live elsewhere."""
+    href = F.col("href")
+    relative = links.where((href != "") & ~P.is_remote_link(href))
+    if light:
+        for suffix in LINK_DATA_SUFFIXES:
+            relative = relative.where(~F.lower(href).endswith(suffix))
+    return relative
+
+
 def unresolved_links(links: DataFrame, inventory: DataFrame, light: bool = False) -> DataFrame:
     """(target, referring) of relative links without a file.
 
     links(doc_dir, href), inventory(path). Links are reduced to distinct
-    targets first, so one popular target is one row. ``light`` exempts data
-    suffixes, whose bytes live elsewhere.
+    targets first, so one popular target is one row.
     """
-    href = F.col("href")
-    relative = links.where((href != "") & ~P.is_remote_link(href))
-    if light:
-        is_data = F.lit(False)
-        for suffix in LINK_DATA_SUFFIXES:
-            is_data = is_data | F.lower(href).endswith(suffix)
-        relative = relative.where(~is_data)
     # resolve distinct (folder, link) pairs, not every occurrence
-    pairs = relative.groupBy("doc_dir", "href").agg(F.count(F.lit(1)).alias("_n"))
-    targets = pairs.groupBy(P.resolve_path(F.col("doc_dir"), href).alias("target")).agg(
+    pairs = _relative(links, light).groupBy("doc_dir", "href").agg(F.count(F.lit(1)).alias("_n"))
+    targets = pairs.groupBy(P.resolve_path(F.col("doc_dir"), F.col("href")).alias("target")).agg(
         F.sum("_n").alias("referring")
     )
     return targets.join(inventory.select(F.col("path").alias("target")), "target", "left_anti")
 
 
+def broken_references(
+    links: DataFrame, inventory: DataFrame, doc_id: str, light: bool = False, target_rows: int = TARGET_ROWS
+) -> DataFrame:
+    """Every reference to a missing file: the columns of ``links`` and the target.
+
+    A missing target that very many documents name is split over several tasks.
+    """
+    missing = unresolved_links(links, inventory, light).select("target")
+    resolved = _relative(links, light).withColumn("target", P.resolve_path(F.col("doc_dir"), F.col("href")))
+    resolved, missing, on = split_hot_keys(resolved, missing, ["target"], [doc_id, "href"], target_rows)
+    return resolved.join(missing, on).drop("_salt")
+
+
 def _located(line: Column, pattern: str) -> Column:
     """(start, value) of every match, from the lengths of the gaps between them."""
     values = F.regexp_extract_all(line, F.lit(pattern), F.lit(0))

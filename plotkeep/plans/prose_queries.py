@@ -97,26 +97,35 @@ def doc_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 URL_PATH = r"^https?://[^/]+/([^?#]*)"
+SQL_LINKS = """
+    p AS (SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1) AS path, html FROM pages),
+    inventory AS (SELECT DISTINCT trim(path, '/') AS path FROM p UNION SELECT DISTINCT split_part(path, '/', 1) FROM p),
+    hrefs AS (SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM p),
+    broken AS (SELECT page_id, trim(href, '/') AS target FROM hrefs
+               WHERE href <> '' AND href NOT LIKE '%://%' AND href NOT LIKE '#%' AND href NOT LIKE 'mailto:%'
+                 AND trim(href, '/') NOT IN (SELECT path FROM inventory))
+"""
 
 
-@query(
-    "link_resolution",
-    """
-    WITH p AS (SELECT page_id, regexp_extract(url, '^https?://[^/]+/([^?#]*)', 1) AS path, html FROM pages),
-         inventory AS (SELECT DISTINCT trim(path, '/') AS path FROM p UNION SELECT DISTINCT split_part(path, '/', 1) FROM p),
-         hrefs AS (SELECT unnest(regexp_extract_all(html, 'href="([^"]*)"', 1)) AS href FROM p),
-         relative AS (SELECT trim(href, '/') AS target FROM hrefs
-                      WHERE href <> '' AND href NOT LIKE '%://%' AND href NOT LIKE '#%' AND href NOT LIKE 'mailto:%')
-    SELECT target, count(*) AS referring FROM relative
-    WHERE target NOT IN (SELECT path FROM inventory) GROUP BY target
-    """,
-)
-def link_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links of every page against the crawled paths and their first folders."""
+def page_links(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Links of every page, and the crawled paths with their first folders."""
     pages = table(spark, sf_dir, "pages").withColumn("path", F.regexp_extract("url", URL_PATH, 1))
-    clean = F.trim("path", F.lit("/"))
-    inventory = pages.select(clean.alias("path")).unionByName(
+    inventory = pages.select(F.trim("path", F.lit("/")).alias("path")).unionByName(
         pages.select(F.substring_index("path", "/", 1).alias("path"))
-    ).distinct()
-    links = pages.select(F.lit("").alias("doc_dir"), F.explode(P.html_links(F.col("html"))).alias("href"))
-    return gates.unresolved_links(links, inventory)
+    )
+    links = pages.select("page_id", F.lit("").alias("doc_dir"), F.explode(P.html_links(F.col("html"))).alias("href"))
+    return links, inventory.distinct()
+
+
+@query("link_resolution", f"WITH {SQL_LINKS} SELECT target, count(*) AS referring FROM broken GROUP BY target")
+def link_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gates.unresolved_links(*page_links(spark, sf_dir))
+
+
+@query(
+    "broken_references",
+    f"WITH {SQL_LINKS} SELECT page_id, target, count(*) AS mentions FROM broken GROUP BY page_id, target",
+)
+def broken_references(spark: SparkSession, sf_dir: str) -> DataFrame:
+    broken = gates.broken_references(*page_links(spark, sf_dir), "page_id")
+    return broken.groupBy("page_id", "target").agg(F.count(F.lit(1)).alias("mentions"))

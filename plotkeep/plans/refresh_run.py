@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -14,6 +14,7 @@ from plotkeep.functions.projection import mercator_to_lonlat
 from plotkeep.operators.cluster import hilbert_sorted
 from plotkeep.operators.content import content_hash
 from plotkeep.operators.legend import legend_drift
+from plotkeep.operators.refresh import due_decisions
 from plotkeep.operators.validity import quality_counters, repair_geometries
 from plotkeep.operators.versions import MANIFEST_SCHEMA, newest, next_labels
 from plotkeep.session import cut_lineage
@@ -116,6 +117,18 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
     return name, "ok", f"version {label.version}: {row_count} rows", label.version, row_count
 
 
+def _guarded(
+    spark: SparkSession, root: str, collection: str, make: Callable[[], Extract], now: datetime, run: str
+) -> tuple:
+    """The report row of one collection, whatever happens to it."""
+    try:
+        return refresh_one(spark, root, make(), now, run)
+    except StyleDrift as exc:
+        return collection, "style", str(exc), None, None
+    except Exception as exc:  # noqa: BLE001 - report and go on with the next collection
+        return collection, "error", str(exc).split("\n")[0], None, None
+
+
 def refresh_all(
     spark: SparkSession, root: str, extracts: Sequence[Extract], now: datetime, run: str
 ) -> DataFrame:
@@ -123,12 +136,29 @@ def refresh_all(
 
     The loop runs over collections, the data of each is processed by Spark.
     """
+    report = [_guarded(spark, root, e.collection, lambda e=e: e, now, run) for e in extracts]
+    return spark.createDataFrame(report, REPORT_SCHEMA)
+
+
+def decide_due(
+    spark: SparkSession, root: str, sources: DataFrame, probes: DataFrame, now: datetime, force: bool = False
+) -> DataFrame:
+    """Due decisions against the stored versions and checks."""
+    return due_decisions(sources, probes, newest(S.read_manifest(spark, root)), S.read_checks(spark, root), now, force)
+
+
+def run_due(
+    spark: SparkSession, root: str, decisions: DataFrame, extract: Callable[[str], Extract], now: datetime, run: str,
+    dry_run: bool = False,
+) -> DataFrame:
+    """One whole run: collections that are not due are reported as skipped, the others refreshed.
+
+    ``extract`` is called only for due collections. A dry run reports them as due.
+    """
     report = []
-    for extract in extracts:
-        try:
-            report.append(refresh_one(spark, root, extract, now, run))
-        except StyleDrift as exc:
-            report.append((extract.collection, "style", str(exc), None, None))
-        except Exception as exc:  # noqa: BLE001 - report and go on with the next collection
-            report.append((extract.collection, "error", str(exc).split("\n")[0], None, None))
+    for row in decisions.orderBy("collection").toLocalIterator():
+        if not row.due or dry_run:
+            report.append((row.collection, "due" if row.due else "skipped", row.reason, None, None))
+        else:
+            report.append(_guarded(spark, root, row.collection, lambda: extract(row.collection), now, run))
     return spark.createDataFrame(report, REPORT_SCHEMA)

@@ -50,7 +50,7 @@ def _collection_type(ns: str) -> T.StructType:
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """(path, text) of every file below a folder."""
-    files = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 

@@ -110,7 +110,7 @@ def page_completeness(pages: DataFrame) -> DataFrame:
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     """Pages landed as ``<collection>/<offset>.json``, one file per page."""
-    text = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(path)
+    text = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     name = F.col("_metadata.file_path")
     return text.select(
         F.regexp_extract(name, r"([^/]+)/\d+\.json$", 1).alias("collection"),

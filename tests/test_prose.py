@@ -74,6 +74,14 @@ def test_links(spark, rows):
     assert rows(gates.unresolved_links(links, inventory, light=True)) == [("a/b/gone.json", 3)]
 
 
+def test_broken_references_name_their_documents(spark, rows):
+    data = [(i, "a", "gone.json") for i in range(50)] + [(50, "b", "../a/gone.json"), (51, "a", "here.json")]
+    links = spark.createDataFrame(data, "doc int, doc_dir string, href string")
+    inventory = spark.createDataFrame([("a/here.json",)], "path string")
+    got = gates.broken_references(links, inventory, "doc", target_rows=10)
+    assert rows(got.select("doc", "target")) == sorted(((i, "a/gone.json") for i in range(51)), key=repr)
+
+
 def test_profile(spark):
     df = spark.createDataFrame([
         (1, ["https://p.org/v0.1.0/s.json"]), (2, ["https://p.org/v0.1.0/s.json##"]), (3, ["https://p.org/v0.1/s.json"]),

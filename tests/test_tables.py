@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from plotkeep.functions.geometry import bbox, box_parts
 from plotkeep.operators import keys, profile
-from plotkeep.plans.refresh_run import Extract, refresh_all
+from plotkeep.plans.refresh_run import Extract, decide_due, refresh_all, run_due
 from plotkeep.sources import pages as P
 from plotkeep.sources import tables as S
 
@@ -215,3 +215,34 @@ def test_read_documents(spark, tmp_path):
     (tmp_path / "c" / "collection.json").write_text('{"id": "c",\n "type": "Collection"}')
     row = read_documents(spark, str(tmp_path)).first()
     assert row.path.endswith("/c/collection.json") and row.text.count("\n") == 1
+
+
+def test_daily_runs(spark, tmp_path):
+    root = str(tmp_path / "store")
+    at = lambda day: datetime(2026, 10, day, 7, tzinfo=timezone.utc)
+    sources = spark.createDataFrame([("a", 7), ("b", 1), ("broken", 1)], "collection string, min_days int")
+
+    def day(n, edits, rows, dry_run=False):
+        probes = spark.createDataFrame([(c, at(d)) for c, d in edits.items()], "collection string, data_last_edit timestamp")
+
+        def extract(name):
+            if name == "broken":
+                raise RuntimeError("service unavailable")
+            return Extract(name, spark.range(rows).withColumnRenamed("id", "objectid"), "objectid", at(edits[name]), rows, rows)
+
+        decisions = decide_due(spark, root, sources, probes, at(n))
+        out = run_due(spark, root, decisions, extract, at(n), f"day{n}", dry_run)
+        return {r.collection: (r.status, r.detail) for r in out.collect()}
+
+    edits = {"a": 1, "b": 1, "broken": 1}
+    assert day(2, edits, 5, dry_run=True) == {c: ("due", "no version yet") for c in edits}
+    assert day(2, edits, 5) == {
+        "a": ("ok", "version 2026-10-02: 5 rows"), "b": ("ok", "version 2026-10-02: 5 rows"),
+        "broken": ("error", "service unavailable")}
+    got = day(3, {"a": 3, "b": 3, "broken": 1}, 5)
+    assert got["a"][0] == "skipped" and got["a"][1].endswith("next due 2026-10-09")
+    assert got["b"] == ("ok", "rows unchanged since version 2026-10-02")
+    # the no-op check is remembered, so the same edit is not fetched again
+    assert day(4, {"a": 3, "b": 3, "broken": 1}, 5)["b"] == ("skipped", "source unchanged since 2026-10-03T07:00:00Z")
+    got = day(9, {"a": 3, "b": 8, "broken": 1}, 6)
+    assert got["a"] == ("ok", "version 2026-10-09: 6 rows") and got["b"] == ("ok", "version 2026-10-09: 6 rows")
