@@ -21,6 +21,7 @@ from plotkeep.session import cut_lineage
 from plotkeep.sources import tables as S
 
 ROWS_PER_FILE = 1_000_000
+SHOWN_FINDINGS = 20  # in the report line; legend_drift returns all of them
 REPORT_SCHEMA = "collection string, status string, detail string, version string, row_count bigint"
 
 
@@ -94,9 +95,10 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
 
     if extract.rules is not None:
         previous = spark.read.parquet(current.path) if current is not None else None
-        drift = legend_drift(extract.rules, data, previous).select("detail").take(20)
+        drift = legend_drift(extract.rules, data, previous).select("detail").take(SHOWN_FINDINGS + 1)
         if drift:
-            raise StyleDrift("; ".join(sorted(d.detail for d in drift)))
+            shown = sorted(d.detail for d in drift[:SHOWN_FINDINGS])
+            raise StyleDrift("; ".join(shown + ["and more"] * (len(drift) > SHOWN_FINDINGS)))
 
     # the outgoing version must still hold the bytes its record describes
     if current is not None and _checksum(spark, current.path).file_checksum != current.file_checksum:
