@@ -11,9 +11,9 @@ ranks equally often, and they need no state per shingle.
 Sets that are equal (copies) are one class, shown by its smallest id. Classes
 that share a band are linked to one of them, the hub, after comparing whole
 sets. Where a band still holds several components after that, its classes are
-joined by the rarest quarter of their shingles (a pair of similar sets shares
-one), so no link between different components is lost; inside a component no
-more pairs are needed. No step pairs a group with itself.
+joined by their rarest shingles (similar sets share one early enough), so no
+link between different components is lost; inside a component no more pairs
+are needed. No step pairs a group with itself.
 
 Cases: a text without words (null, empty, white space) is linked with nothing;
 fewer words than a shingle make one shingle of them all; equal rows
@@ -39,7 +39,9 @@ BAND = 4
 BANDS = SLOTS // BAND
 # Links are sets with 100 * intersection >= PERCENT * union.
 PERCENT = 75
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
+# Sizes of sets whose ratio is below this are one class.
+SIZE_RATIO = 1.05
 
 _SPREAD = mix(np.arange(11, 11 + 64, dtype=U64)) | U64(1)
 
@@ -163,26 +165,53 @@ def _size_fits(one, two):
     return (F.least(one, two) * 100 >= F.greatest(one, two) * PERCENT)
 
 
+def _size_class(n):
+    return F.floor(F.log(n) / F.log(F.lit(SIZE_RATIO)))
+
+
 def _prefix_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of different components that share one of their rarest shingles, with fitting sizes.
+    """Pairs of different components that share one of their rarest shingles early enough.
 
-    Two sets with 100 * intersection >= 75 * union share an element of the first
-    floor(n / 4) + 1 of each in any common order; rare shingles come first.
+    Sets of sizes n and m are similar from ``75 * (n + m) / 175`` common elements on. In
+    any common order, here rare shingles first, the first common one is then at most that
+    many places before the end of either. Every set lists its shingles up to that place for
+    each class of partner sizes. In a list, members of its largest component meet only the
+    others, so a group whose sets are linked already is not paired with itself.
     """
     ids = mixed.select("id", "component").distinct()
     cells = sets.join(ids, "id").select("id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    spread = cells.groupBy("shingle").agg(F.count("*").alias("times"))
-    ranked = cells.join(spread, "shingle").groupBy("id", "component", "n").agg(
-        F.slice(F.array_sort(F.collect_list(F.struct("times", "shingle"))), 1, (F.first("n") * (100 - PERCENT) / 100).cast("int") + 1).alias("head")
+    spread = cells.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    ordered = cells.join(spread, "shingle", "left").groupBy("id", "component", "n").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("times", F.lit(1)).alias("times"), "shingle"))).alias("order"))
+    n = F.col("n")
+    least, most = F.ceil(n * PERCENT / 100), F.floor(n * 100 / PERCENT)
+    head = F.slice("order", 1, (n - least + 1).cast("int"))
+    listed = ordered.select("id", "component", "n", F.posexplode(head).alias("place", "h")).where("h.times > 1").select(
+        "id", "component", "n", "place", F.col("h.shingle").alias("shingle"),
+        _size_class(n).alias("own"), F.explode(F.sequence(_size_class(least), _size_class(most))).alias("partner"))
+    smallest = F.greatest(least, F.floor(F.pow(F.lit(SIZE_RATIO), F.col("partner")) - 1e-6))
+    listed = kept(listed.where((n - F.col("place")) * (100 + PERCENT) >= PERCENT * (n + smallest)), "listed")
+    key = ["shingle", "lower", "upper"]
+    listed = listed.withColumns({"lower": F.least("own", "partner"), "upper": F.greatest("own", "partner")})
+    main = (
+        listed.groupBy(*key, "component").agg(F.count("*").alias("members"))
+        .groupBy(*key).agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("parts"))
+        .where("parts > 1").drop("parts")
     )
-    heads = ranked.select("id", "component", "n", F.explode("head").alias("h")).where("h.times > 1").select(
-        "id", "component", "n", F.col("h.shingle").alias("shingle"))
-    several = heads.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    heads = heads.join(several.select("shingle"), "shingle", "left_semi")
-    other = heads.select("shingle", F.col("id").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("n_b"))
+    one = listed.join(main, key).select(*key, "main", F.col("id").alias("a"), "component", "n", "place", "own")
+    two = one.where(F.col("component") != F.col("main")).select(
+        *key, F.col("a").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("m"),
+        F.col("place").alias("place_b"), F.col("own").alias("own_b"))
+    common = F.least(n - F.col("place"), F.col("m") - F.col("place_b"))
     return (
-        heads.withColumnRenamed("id", "a").join(other, "shingle")
-        .where((F.col("component") < F.col("component_b")) & _size_fits(F.col("n"), F.col("n_b")))
+        one.join(two, key)
+        .where(
+            (F.col("component") != F.col("component_b"))
+            & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("b")))
+            # each lists the shingle for the other's class
+            & (F.least("own", "own_b") == F.col("lower")) & (F.greatest("own", "own_b") == F.col("upper"))
+            & _size_fits(n, F.col("m")) & (common * (100 + PERCENT) >= PERCENT * (n + F.col("m")))
+        )
         .select("a", "b").distinct()
     )
 
