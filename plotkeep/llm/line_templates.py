@@ -7,22 +7,23 @@ leaf's constant positions share its template, others keep their own text as
 template. A template that recurs across documents is dropped from all of them.
 
 Whole copies of a document are another stage's work and must not be hollowed
-out here, so recurrence asks for different surroundings: a line whose
-neighbours (up to two lines before and after, in its documents) come along
-with it is part of a copy. A template is dropped if it stands in ``MIN_DOCS``
-documents or more, documents times tokens reach ``MIN_EVIDENCE``, and no single
-neighbour accompanies it in more than half of them, or on one side of it in
-more than a quarter.
+out here, so recurrence asks for different surroundings: a line that comes
+along with the text around it is part of a copy. Neighbouring lines that stand
+in equally many documents are one passage; what precedes and follows a passage
+is told by the leading tokens of the next line outside it, which edits seldom
+reach. A template is dropped if it stands in ``MIN_DOCS`` documents or more,
+documents times tokens reach ``MIN_EVIDENCE``, and no surrounding line goes with
+it in more than half of its documents, or none on one side in half of them.
 
 Cases: null and empty texts have no lines and stay as they are; blank lines are
-kept and are nobody's neighbour; a text of one line has no surroundings and is
-left to document dedup; repeated rows (same id and text) count as one document
+kept and are nobody's neighbour; a text that is one passage has no surroundings
+and is left to document dedup; repeated rows (same id and text) count as one document
 and are treated alike; extra columns pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotkeep.llm.scratch import kept
@@ -40,7 +41,6 @@ BROADCAST_ROWS = 1_000_000
 WILDCARD = "<*>"
 # A token with a digit, matched from its first character and without backtracking.
 FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
-OFFSETS = (-2, -1, 1, 2)
 
 
 def line_tokens(line: Column) -> Column:
@@ -57,24 +57,16 @@ def _fields(tokens: Column) -> Column:
     return F.struct(
         F.size(tokens).alias("n"),
         F.xxhash64(F.size(tokens), F.array(*leading)).alias("leaf"),
+        F.xxhash64(F.array(*leading)).alias("lead"),
         F.xxhash64(tokens).alias("line"),
     )
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
-    """One short row per line that is not blank: its document, place, leaf, own hash and neighbours' hashes."""
-    held = docs.select("doc_id", F.xxhash64("text").alias("copy"), _text_lines(F.col("text")).alias("lines"))
-    parsed = held.select(
-        "doc_id", "copy",
-        F.filter(
-            F.transform("lines", lambda x, i: F.struct(i.alias("no"), _fields(line_tokens(x)).alias("f"))),
-            lambda x: x["f"]["n"] > 0,
-        ).alias("lines"),
-    )
-    at = parsed.select("doc_id", "copy", "lines", F.posexplode("lines").alias("i", "x"))
-    beside = [F.get("lines", F.col("i") + k)["f"]["line"].alias(f"at{j}") for j, k in enumerate(OFFSETS)]
-    return at.select("doc_id", "copy", F.col("x.no").alias("no"), F.col("x.f.n").alias("n"),
-                     F.col("x.f.leaf").alias("leaf"), F.col("x.f.line").alias("line"), *beside)
+    """One short row per line that is not blank: its document, place, tokens, and hashes of its leaf, lead and self."""
+    lines = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode(_text_lines(F.col("text"))).alias("no", "text"))
+    parsed = lines.select("doc_id", "copy", "no", _fields(line_tokens(F.col("text"))).alias("f"))
+    return parsed.select("doc_id", "copy", "no", "f.*").where("n > 0")
 
 
 def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -114,33 +106,42 @@ def leaf_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return agree.select("line", F.xxhash64(F.col("leaf"), F.lit("template")).alias("template"))
 
 
+def _surroundings(lines: DataFrame) -> DataFrame:
+    """Lines with the leads of the nearest lines before and after them that stand in another number of documents."""
+    doc = Window.partitionBy("doc_id", "copy")
+    for name, order in (("before", F.col("no").asc()), ("after", F.col("no").desc())):
+        w = doc.orderBy(order)
+        change = F.when(F.lag("docs").over(w) != F.col("docs"), F.lag("lead").over(w))
+        lines = lines.withColumn("change", change).withColumn(
+            name, F.last("change", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return lines.drop("change")
+
+
 def recurring(lines: DataFrame) -> DataFrame:
     """Templates that recur across documents in different surroundings. ``lines`` has a ``template`` per row."""
-    names = [f"at{j}" for j in range(len(OFFSETS))]
-    per_doc = lines.groupBy("template", "doc_id", "copy").agg(
-        F.min("n").alias("n"), *[F.min(c).alias(c) for c in names]
-    )
-    repeated = per_doc.groupBy("template").agg(F.count("*").alias("docs"), F.min("n").alias("n")).where(
-        (F.col("docs") >= MIN_DOCS) & (F.col("docs") * F.col("n") >= MIN_EVIDENCE)
+    spread = (
+        lines.groupBy("template", "doc_id", "copy").agg(F.min("n").alias("n"))
+        .groupBy("template").agg(F.count("*").alias("docs"), F.min("n").alias("n"))
+        .where(F.col("docs") >= MIN_DOCS)
     )
-    beside = per_doc.drop("n").join(repeated, "template").select(
-        "template", "docs",
-        F.explode(F.array(*[F.struct(F.lit(j).alias("side"), F.col(c).alias("beside")) for j, c in enumerate(names)])).alias("s"),
-    ).select("template", "docs", "s.side", "s.beside")
+    counted = lines.drop("n").join(spread, "template", "left").withColumn("docs", F.coalesce("docs", F.lit(1)))
+    enough = (F.col("docs") >= MIN_DOCS) & (F.col("docs") * F.col("n") >= MIN_EVIDENCE)
+    around = _surroundings(counted).where(enough)
+    per_doc = around.groupBy("template", "docs", "doc_id", "copy").agg(
+        F.min("before").alias("before"), F.min("after").alias("after"))
+    beside = per_doc.select("template", "docs", F.explode(F.array(
+        F.struct(F.lit(True).alias("before"), F.col("before").alias("lead")),
+        F.struct(F.lit(False).alias("before"), F.col("after").alias("lead")))).alias("s"))
     shares = (
-        beside.where(F.col("beside").isNotNull())
-        .groupBy("template", "docs", "side", "beside").agg(F.count("*").alias("times"))
-        .groupBy("template", "docs", "side").agg(F.max("times").alias("top"), F.sum("times").alias("known"))
+        beside.select("template", "docs", "s.before", "s.lead").where(F.col("lead").isNotNull())
+        .groupBy("template", "docs", "before", "lead").agg(F.count("*").alias("times"))
+        .groupBy("template", "docs", "before").agg(F.max("times").alias("top"), F.sum("times").alias("known"))
         # a side that most documents lack (the text begins or ends there) says nothing
         .where(F.col("known") * 2 >= F.col("docs"))
-        .select("template", "docs", (F.col("side") < 2).alias("before"), (F.col("top") / F.col("docs")).alias("share"))
         .groupBy("template", "docs")
-        .agg(F.max(F.when(F.col("before"), F.col("share"))).alias("before"),
-             F.max(F.when(~F.col("before"), F.col("share"))).alias("after"))
+        .agg(F.max(F.col("top") / F.col("docs")).alias("strongest"), F.min(F.col("top") / F.col("docs")).alias("weakest"))
     )
-    strongest = F.greatest("before", "after")  # nulls are skipped
-    weakest = F.least("before", "after")
-    return shares.where((strongest <= 0.5) | (weakest <= 0.25)).select("template", "docs")
+    return shares.where((F.col("strongest") <= 0.5) | (F.col("weakest") < 0.5)).select("template", "docs")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
