@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plotkeep.llm import decontaminate, line_templates, packing, quality_crf, superminhash
+from plotkeep.llm import (
+    bitpack,
+    chat,
+    decontaminate,
+    line_templates,
+    merkle,
+    packing,
+    quality_crf,
+    simhash,
+    superminhash,
+    url_templates,
+)
+from plotkeep.llm.scratch import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +41,22 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_simhash")
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and its edited text; of ids divisible by 100, the documents within the radius."""
+    rows = simhash.with_edits(read(spark, sf_dir, "documents"))
+    rows = kept(rows, "prints")
+    prints = rows.groupBy("fp").agg(F.count("*").alias("times"))
+    asked = F.col("doc_id") % 100 == 0
+    near = simhash.near_counts(prints, rows.where(asked).select("fp"))
+    rows = rows.join(near, "fp", "left")
+    return rows.select(
+        "doc_id", "n_chars", "edited_sha256",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        F.lpad(F.lower(F.hex("edited_fp")), 16, "0").alias("edited_fingerprint"),
+        "near_edited", "near_next", F.when(asked, F.col("near")).alias("n_near"))
+
+
 _WORD_SQL = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -64,6 +92,55 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+# How the second replica is damaged: a character changed, or the record lost.
+_CHANGED, _LOST = "page_id % 211 = 7", "page_id % 997 = 5"
+
+
+@query("op3_merkle_fixity", rf"""
+WITH r AS (
+  SELECT page_id, url, html, cast(floor(coalesce(page_id, -1) / {float(merkle.ARCHIVE_IDS)}) AS BIGINT) AS archive,
+         cast(strlen('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: resource' || chr(13) || chr(10) || 'WARC-Target-URI: '
+           || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: '
+           || cast(strlen(coalesce(html, '')) AS VARCHAR)) + strlen(coalesce(html, '')) + 8 AS BIGINT) AS length
+  FROM pages),
+o AS (
+  SELECT *, coalesce(cast(sum(length) OVER (PARTITION BY archive ORDER BY page_id, url
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS start FROM r)
+SELECT archive, start AS "offset", length, CASE WHEN {_LOST} THEN 'lost' ELSE 'changed' END AS damage
+FROM o WHERE {_CHANGED} OR {_LOST}
+""")
+def op3_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places where a damaged replica of the pages' archives departs from the first."""
+    records = kept(merkle.laid_out(read(spark, sf_dir, "pages")), "records")
+    one = kept(merkle.digests(records, merkle.warc_record(F.col("url"), F.col("html"))), "replica")
+    whole = merkle.warc_record(F.col("url"), F.col("html"))
+    spoilt = F.when(F.expr(_CHANGED), F.overlay(whole, F.lit("?").cast("binary"), F.lit(20), F.lit(1))).otherwise(whole)
+    two = kept(merkle.digests(records.where(F.expr(f"NOT coalesce({_LOST}, false)")), spoilt), "replica")
+    return merkle.audit(one, two)
+
+
+RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@query("op4_url_templates")
+def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url, judged by the rules or by its path template.
+
+    A url is labelled with the quality of the document that its last segment names.
+    """
+    number = F.regexp_extract(url_templates.path_of(F.col("url")), r"/([0-9]{1,18})(?:\.[a-z]+)?/?$", 1)
+    labels = read(spark, sf_dir, "labels").where("quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("label"))
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", F.when(number != "", number.cast("long")).alias("doc_id"))
+    return url_templates.judged(pages.join(labels, "doc_id", "left"), RULES)
+
+
+@query("op5_bitpack")
+def op5_bitpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written in the file format and read back."""
+    images = bitpack.write_images(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return bitpack.read_images(images)
+
+
 @query("op6_near_duplicates")
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near-duplicates of every document."""
@@ -84,6 +161,29 @@ def op8_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, with_ids=False)
 
 
+_TURNS_SQL = "coalesce(role, '') || chr(10) || coalesce(text, '') || chr(10)"
+_ORDER_SQL = "turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')"
+
+
+@query("op9_chat", rf"""
+WITH c AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg({_TURNS_SQL}, '' ORDER BY {_ORDER_SQL})) AS turns_sha256,
+  cast(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(coalesce(text, ''), '' ORDER BY {_ORDER_SQL}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  cast(sum(14 + length(coalesce(role, '')) + length(regexp_replace(coalesce(role, ''), '[^\\#<:]', '', 'g'))
+    + length(coalesce(text, '')) + length(regexp_replace(coalesce(text, ''), '[^\\#<]', '', 'g'))) AS BIGINT) AS formatted_chars
+FROM c GROUP BY conv_id
+""")
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one full of marks, formatted and read back."""
+    hard = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    said = read(spark, sf_dir, "conversations").select(*[F.col(c).cast(t).alias(c) for c, t in extra.dtypes])
+    return chat.read_back(chat.formatted(said.union(extra)))
+
+
 @query("op10_quality")
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by the line field, learned outside the held-out fifth."""
