@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from plotkeep.llm.scratch import kept
 from plotkeep.llm.text import slices
-from plotkeep.llm.tokens import Encoder
+from plotkeep.llm.tokens import encoder as encoder_of
 
 MAGIC = b"TOKBITS1"
 HEADER = "<8sIIQQQ"  # magic, width, block, first id in the shard, ids, documents
@@ -111,7 +111,7 @@ def write_images(docs: DataFrame, vocabulary: str, end_id: int, shards: int | No
     shards = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches):
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         width, shard = width_of(max(encoder.size, end_id + 1)), TaskContext.get().partitionId()
         doc_ids, ids, n, first, part = [], [], 0, 0, 0
 

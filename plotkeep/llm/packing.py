@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from plotkeep.llm.text import slices
-from plotkeep.llm.tokens import Encoder
+from plotkeep.llm.tokens import encoder as encoder_of
 
 LENGTH = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
@@ -171,7 +171,7 @@ def packed(docs: DataFrame, vocabulary: str, end_id: int, length: int = LENGTH,
         return pa.RecordBatch.from_arrays(columns, names), sequences
 
     def run(batches):
-        encoder = Encoder(vocabulary)
+        encoder = encoder_of(vocabulary)
         next_sequence = TaskContext.get().partitionId() * TASK_STEP
         doc_ids, ids, tokens = [], [], 0
         small = np.uint16 if max(encoder.size, end_id + 1) <= 1 << 16 else np.uint32

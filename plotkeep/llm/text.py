@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts handled together, and bytes hashed at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 20
 
 U64 = np.uint64
@@ -51,11 +51,15 @@ def _byte_values() -> np.ndarray:
 _VALUES = _byte_values()
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    powers = np.full(n, U64(base))
-    powers[:1] = 1
-    with np.errstate(over="ignore"):
-        return np.multiply.accumulate(powers)
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of the base and of its inverse."""
+    out = []
+    for base in (_BASE, _INVERSE):
+        row = np.full(n, U64(base))
+        row[:1] = 1
+        with np.errstate(over="ignore"):
+            out.append(np.multiply.accumulate(row))
+    return out[0], out[1]
 
 
 def _blocks(data: np.ndarray, ends_word: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -82,17 +86,17 @@ def word_hashes(texts: list[bytes], ends_word: np.ndarray = WHITE) -> tuple[np.n
     gap = bytes([int(np.flatnonzero(ends_word)[0])])
     data = np.frombuffer(gap.join(texts) + gap, np.uint8)
     hashes, starts = [], []
-    powers = inverse = np.empty(0, U64)
+    one = inverse = np.empty(0, U64)
     for a, b in _blocks(data, ends_word):
         block = data[a:b]
-        if len(powers) < len(block):
-            powers, inverse = _powers(_BASE, len(block)), _powers(_INVERSE, len(block))
+        if len(one) < len(block):
+            one, inverse = powers(len(block))
         inside = ~ends_word[block]
         edge = np.diff(np.concatenate(([0], inside.view(np.int8), [0])))
         first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
         with np.errstate(over="ignore"):
             sums = np.zeros(len(block) + 1, U64)
-            np.cumsum(_VALUES[block] * powers[: len(block)], out=sums[1:])
+            np.cumsum(_VALUES[block] * one[: len(block)], out=sums[1:])
             raw = (sums[last] - sums[first]) * inverse[first]
             hashes.append(mix(raw + (last - first).astype(U64) * U64(0xD6E8FEB86659FD93)))
         starts.append(first + a)
