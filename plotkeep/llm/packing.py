@@ -30,7 +30,7 @@ from plotkeep.llm.tokens import encoder as encoder_of
 
 LENGTH = 1024
 LINEAR, QUADRATIC = 1.0, 1.0 / 512
-BATCH_TOKENS = 8_000_000
+BATCH_TOKENS = 2_000_000
 # Sequence ids of a task start at its number times this.
 TASK_STEP = 1 << 40
 

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 
 # Texts handled together, and bytes hashed at once.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 BLOCK_BYTES = 1 << 20
 
 U64 = np.uint64

@@ -21,9 +21,9 @@ from plotkeep.llm.text import BLOCK_BYTES, U64, mix, powers
 
 # White space other than blank and line feed.
 OTHER_SPACE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0  -     　]")
-# Distinct pieces kept by a worker before it starts anew, and characters given to the library at once.
-KNOWN_PIECES = 1_500_000
-JOINED_CHARS = 1 << 11
+# Distinct pieces kept by a worker before it starts anew, and characters and texts given to the library at once.
+KNOWN_PIECES = 1_000_000
+JOINED_CHARS, JOINED_TEXTS = 1 << 11, 64
 
 _VALUES = mix(np.arange(1001, 1257, dtype=U64))
 _GAP = np.zeros(256, bool)
@@ -97,7 +97,10 @@ class Encoder:
             offsets.append(int(chars[begin]))
             at = stop
         first_char = chars[ends - lengths]
-        for base, e in zip(offsets, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        joined_texts = (
+            e for k in range(0, len(texts), JOINED_TEXTS)
+            for e in self.tokenizer.encode_batch(texts[k:k + JOINED_TEXTS], add_special_tokens=False))
+        for base, e in zip(offsets, joined_texts):
             found = np.array(e.ids, np.uint32)
             place = np.fromiter((o[0] for o in e.offsets), np.int64, len(found)) + base
             ids.append(found)
