@@ -44,29 +44,35 @@ FIELD = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 
 def line_tokens(line: Column) -> Column:
-    masked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, FIELD, WILDCARD)).otherwise(line)
-    return F.array_remove(F.split(masked, r"\s+"), "")
+    fields = F.split(F.regexp_replace(line, FIELD, WILDCARD), r"\s+")
+    # most lines hold no digit and no white space but blanks, and need no pattern
+    return F.array_remove(F.when(line.rlike(r"[0-9\t\x0B\f\r]"), fields).otherwise(F.split(line, " ")), "")
 
 
 def _text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def _fields(tokens: Column) -> Column:
-    leading = [F.get(tokens, F.lit(i)) for i in range(DEPTH)]
-    return F.struct(
-        F.size(tokens).alias("n"),
-        F.xxhash64(F.size(tokens), F.array(*leading)).alias("leaf"),
-        F.xxhash64(F.array(*leading)).alias("lead"),
-        F.xxhash64(tokens).alias("line"),
-    )
+def _leading(tokens: Column) -> Column:
+    return F.array(*[F.get(tokens, F.lit(i)) for i in range(DEPTH)])
+
+
+def _leaf(tokens: Column) -> Column:
+    return F.xxhash64(F.size(tokens), _leading(tokens))
+
+
+def _line(tokens: Column) -> Column:
+    return F.xxhash64(tokens)
 
 
 def line_rows(docs: DataFrame) -> DataFrame:
     """One short row per line that is not blank: its document, place, tokens, and hashes of its leaf, lead and self."""
     lines = docs.select("doc_id", F.xxhash64("text").alias("copy"), F.posexplode(_text_lines(F.col("text"))).alias("no", "text"))
-    parsed = lines.select("doc_id", "copy", "no", _fields(line_tokens(F.col("text"))).alias("f"))
-    return parsed.select("doc_id", "copy", "no", "f.*").where("n > 0")
+    parsed = lines.select("doc_id", "copy", "no", line_tokens(F.col("text")).alias("tokens"))
+    tokens = F.col("tokens")
+    return parsed.where(F.size(tokens) > 0).select(
+        "doc_id", "copy", "no", F.size(tokens).alias("n"), _leaf(tokens).alias("leaf"),
+        F.xxhash64(_leading(tokens)).alias("lead"), _line(tokens).alias("line"))
 
 
 def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -81,11 +87,9 @@ def leaf_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
         variants.groupBy("leaf").agg(F.count("*").alias("variants")).where(F.col("variants") >= MIN_VARIANTS),
         "leaves",
     )
-    tokens = docs.select(F.explode(F.array_distinct(_text_lines(F.col("text")))).alias("text"))
-    tokens = tokens.select(line_tokens(F.col("text")).alias("tokens"))
-    tokens = tokens.select("tokens", _fields(F.col("tokens")).alias("f")).where(F.col("f.n") > DEPTH)
-    in_leaf = tokens.select("tokens", F.col("f.leaf").alias("leaf"), F.col("f.line").alias("line"))
-    in_leaf = in_leaf.join(sized(leaves), "leaf").select("leaf", "line", F.posexplode("tokens").alias("pos", "token"))
+    tokens = docs.select(F.explode(_text_lines(F.col("text"))).alias("text")).select(line_tokens(F.col("text")).alias("tokens"))
+    tokens = tokens.where(F.size("tokens") > DEPTH).select("tokens", _leaf(F.col("tokens")).alias("leaf"))
+    in_leaf = tokens.join(sized(leaves), "leaf").select("leaf", _line(F.col("tokens")).alias("line"), F.posexplode("tokens").alias("pos", "token"))
     cells = kept(
         in_leaf.select("leaf", "line", "pos", F.xxhash64("token").alias("token")).distinct(), "cells"
     )
