@@ -36,20 +36,18 @@ def warc_record(url: Column, body: Column) -> Column:
     return F.concat(head.cast("binary"), body, F.lit("\r\n\r\n").cast("binary"))
 
 
-def laid_out(pages: DataFrame) -> DataFrame:
-    """(archive, offset, length, page_id, url, html): the records of ``pages`` in archives, in order of page_id."""
+def laid_out(pages: DataFrame, record: Column, **carried: Column) -> DataFrame:
+    """(archive, offset, length, page_id, digest and what is ``carried``): records in archives, in order of page_id.
+
+    Bodies are hashed where they are read; only hashes and lengths are shuffled.
+    """
     archive = F.floor(F.coalesce("page_id", F.lit(-1)) / ARCHIVE_IDS)
     sized = pages.select(
-        archive.alias("archive"), F.octet_length(warc_record(F.col("url"), F.col("html"))).cast("long").alias("length"),
-        "page_id", "url", "html")
-    order = Window.partitionBy("archive").orderBy("page_id", "url", F.xxhash64("html"))
+        archive.alias("archive"), F.octet_length(record).cast("long").alias("length"), "page_id", "url",
+        F.sha2(record, 256).alias("digest"), *[column.alias(name) for name, column in carried.items()])
+    order = Window.partitionBy("archive").orderBy("page_id", "url", "digest")
     before = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return sized.withColumn("offset", F.coalesce(before, F.lit(0).cast("long")))
-
-
-def digests(records: DataFrame, record: Column) -> DataFrame:
-    """(archive, offset, length, digest): what a replica holds at each place."""
-    return records.select("archive", "offset", "length", F.sha2(record, 256).alias("digest"))
+    return sized.withColumn("offset", F.coalesce(before, F.lit(0).cast("long"))).drop("url")
 
 
 def tree(leaves: DataFrame) -> list[DataFrame]:

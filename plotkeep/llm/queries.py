@@ -111,11 +111,12 @@ FROM o WHERE {_CHANGED} OR {_LOST}
 """)
 def op3_merkle_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places where a damaged replica of the pages' archives departs from the first."""
-    records = kept(merkle.laid_out(read(spark, sf_dir, "pages")), "records")
-    one = kept(merkle.digests(records, merkle.warc_record(F.col("url"), F.col("html"))), "replica")
     whole = merkle.warc_record(F.col("url"), F.col("html"))
     spoilt = F.when(F.expr(_CHANGED), F.overlay(whole, F.lit("?").cast("binary"), F.lit(20), F.lit(1))).otherwise(whole)
-    two = kept(merkle.digests(records.where(F.expr(f"NOT coalesce({_LOST}, false)")), spoilt), "replica")
+    records = kept(merkle.laid_out(read(spark, sf_dir, "pages"), whole, other=F.sha2(spoilt, 256)), "records")
+    place = ["archive", "offset", "length"]
+    one = records.select(*place, "digest")
+    two = records.where(F.expr(f"NOT coalesce({_LOST}, false)")).select(*place, F.col("other").alias("digest"))
     return merkle.audit(one, two)
 
 
