@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
@@ -47,8 +48,7 @@ def null_tokens_to_null(col: Column, tokens: Sequence[str] = NULL_TOKENS) -> Col
 
 def split_items(col: Column, sep: str = ";") -> Column:
     """Multi-valued text to an array of trimmed, non-empty items."""
-    # concat a character class so that any one-character separator is literal
-    items = F.transform(F.split(col, f"[{sep}]"), lambda item: F.trim(item))
+    items = F.transform(F.split(col, re.escape(sep)), lambda item: F.trim(item))
     return F.filter(items, lambda item: item != "")
 
 

@@ -89,15 +89,17 @@ def is_remote_link(href: Column) -> Column:
 def resolve_path(base_dir: Column, href: Column) -> Column:
     """Join a relative link to its folder and fold ``.`` and ``..``.
 
-    A leading ``/`` starts again at the root.
+    A leading ``/`` starts again at the root. What leaves the tree keeps its
+    leading ``..`` and so names no file in it.
     """
     joined = F.when(href.startswith("/"), href).otherwise(F.concat(base_dir, F.lit("/"), href))
     steps = F.filter(F.split(joined, "/"), lambda s: ~s.isin("", "."))
     folded = F.aggregate(
         steps,
         F.array().cast("array<string>"),
-        lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(
-            F.concat(acc, F.array(s))
-        ),
+        lambda acc, s: F.when(
+            (s == "..") & (F.size(acc) > 0) & (F.get(acc, F.size(acc) - 1) != ".."),
+            F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))),
+        ).otherwise(F.concat(acc, F.array(s))),
     )
     return F.array_join(folded, "/")

@@ -29,11 +29,12 @@ def due_decisions(
     current(collection, created, source_updated) and
     checks(collection, source_updated) each hold one row per collection.
     A collection waits while its source has no newer edit, then until
-    ``min_days`` after the current version, time of day included.
+    ``min_days`` after the current version, time of day included. One that was
+    not probed is not due, forced or not, and says so.
     """
     joined = (
         sources.select("collection", "min_days")
-        .join(probes.select("collection", "data_last_edit"), "collection")
+        .join(probes.select("collection", "data_last_edit", F.lit(True).alias("_probed")), "collection", "left")
         .join(
             current.select("collection", "created", F.col("source_updated").alias("_version_edit")),
             "collection", "left",
@@ -46,9 +47,11 @@ def due_decisions(
     edited = F.concat(F.lit("source edited "), iso_utc(edit))
     unchanged = known.isNotNull() & (edit <= known)
     waiting = F.lit(now) < next_due
-    due = F.when(created.isNull(), True).when(unchanged | waiting, False).otherwise(True)
+    probed = F.col("_probed").isNotNull()
+    due = F.when(~probed, False).when(created.isNull(), True).when(unchanged | waiting, False).otherwise(True)
     reason = (
-        F.when(created.isNull(), F.lit("no version yet"))
+        F.when(~probed, F.lit("no probe"))
+        .when(created.isNull(), F.lit("no version yet"))
         .when(unchanged, F.concat(F.lit("source unchanged since "), iso_utc(known)))
         .when(
             waiting,
@@ -60,7 +63,7 @@ def due_decisions(
         .otherwise(edited)
     )
     if force:
-        due, reason = F.lit(True), F.concat(F.lit("forced; "), reason)
+        due, reason = probed, F.concat(F.lit("forced; "), reason)
     return joined.select("collection", due.alias("due"), reason.alias("reason"))
 
 

@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 TARGET_ROWS = 1_000_000
-# The broadcast table of hot keys never exceeds this many short rows. A key
-# outside it holds at most 1/MAX_HOT_KEYS of the data, which needs no split.
-MAX_HOT_KEYS = 100_000
 
 
 def split_hot_keys(
@@ -26,18 +23,16 @@ def split_hot_keys(
     that copies spread too) and the matching ``right`` rows are repeated once
     per split. The hash is deterministic: a rerun task places rows alike.
     Every pair still meets exactly once. Rows without a key match nothing and
-    are spread as well.
+    are spread as well. At most rows / ``target_rows`` keys are hot; how that
+    table is joined is left to Spark.
     """
     keys = list(keys)
     hot = (
         left.groupBy(*keys)
         .count()
         .where(F.col("count") > target_rows)
-        .orderBy(F.desc("count"))
-        .limit(MAX_HOT_KEYS)
         .select(*keys, F.ceil(F.col("count") / F.lit(target_rows)).alias("_splits"))
     )
-    hot = F.broadcast(hot)
     no_key = F.lit(False)
     for key in keys:
         no_key = no_key | F.col(key).isNull()

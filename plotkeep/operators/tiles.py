@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 # Latitude limit of the square Web Mercator world.
 MAX_LAT = 85.0511287798066
-FEATURE_LIMIT = 200_000
 HASH_BUCKETS = 1 << 16
 
 
@@ -49,9 +48,9 @@ def _explode_zooms(df: DataFrame, min_zoom: int, max_zoom: int) -> DataFrame:
 
 
 def tile_counts(
-    df: DataFrame, box: str = "bbox", min_zoom: int = 0, max_zoom: int = 13, limit: int = FEATURE_LIMIT
+    df: DataFrame, box: str = "bbox", min_zoom: int = 0, max_zoom: int = 13, limit: int | None = None
 ) -> DataFrame:
-    """Features per tile with how many the limit keeps and drops.
+    """Features per tile with how many the caller's limit (none by default) keeps and drops.
 
     Rows are counted by their deepest tile range first, so the zoom fan-out
     works on counts, not on features.
@@ -64,21 +63,20 @@ def tile_counts(
         _explode_zooms(counted, min_zoom, max_zoom)
         .groupBy("zoom", "tile_x", "tile_y")
         .agg(F.sum("_n").alias("features"))
-        .withColumn("kept", F.least(n, F.lit(limit)))
-        .withColumn("dropped", F.greatest(n - F.lit(limit), F.lit(0)))
+        .withColumn("kept", n if limit is None else F.least(n, F.lit(limit)))
+        .withColumn("dropped", n - F.col("kept"))
     )
 
 
 def tile_features(
-    df: DataFrame, id_col: str, box: str = "bbox", min_zoom: int = 0, max_zoom: int = 13, limit: int = FEATURE_LIMIT
+    df: DataFrame, id_col: str, box: str = "bbox", min_zoom: int = 0, max_zoom: int = 13, limit: int | None = None
 ) -> DataFrame:
-    """(zoom, tile_x, tile_y, id) of the features each tile keeps.
+    """(zoom, tile_x, tile_y, id, kept) of every feature in each tile.
 
     A tile keeps its ``limit`` lowest features by (identifier hash,
     identifier). A low-zoom tile can hold every row of the table, so ranking
     happens only inside one of many hash buckets per tile: counts per bucket
-    tell how many features the lower buckets hold, and buckets past the limit
-    are left out.
+    tell how many features the lower buckets hold. Without a limit all are kept.
     """
     h = F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("long")
     ranged = df.where(F.col(box).isNotNull()).select(
@@ -88,16 +86,17 @@ def tile_features(
     placed = _explode_zooms(ranged, min_zoom, max_zoom).withColumn(
         "_bucket", F.floor(F.col("_h") / F.lit((1 << 32) // HASH_BUCKETS))
     )
+    if limit is None:
+        return placed.select(*tile, id_col, F.lit(True).alias("kept"))
     # at most HASH_BUCKETS rows per tile reach this window
     running = Window.partitionBy(*tile).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = (
         placed.groupBy(*tile, "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(running), F.lit(0)))
-        .where(F.col("_before") < limit)
         .drop("_n")
     )
     # the rank is partitioned like the join, so it needs no further shuffle
     rank = F.row_number().over(Window.partitionBy(*tile, "_bucket").orderBy("_h", id_col))
     ranked = placed.join(before, [*tile, "_bucket"]).withColumn("_rank", rank)
-    return ranked.where(F.col("_rank") + F.col("_before") <= limit).select(*tile, id_col)
+    return ranked.select(*tile, id_col, (F.col("_rank") + F.col("_before") <= limit).alias("kept"))

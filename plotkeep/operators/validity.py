@@ -138,12 +138,21 @@ def repaired(parts: Column) -> Column:
     return F.flatten(F.transform(cleaned, _split_at_crossing))
 
 
+# What a repair adds to each row.
+FLAGS = ("defect", "outcome")
+
+
 def repair_geometries(df: DataFrame, parts: str = "parts", bbox: str = "bbox", strict: bool = False) -> DataFrame:
     """Repair invalid rows only; valid rows keep their bytes and their box.
 
+    A table that has columns of these names itself is an error: they would be lost.
+
     Adds ``defect`` (what was found), ``outcome`` (valid, null, repaired or
     unrepaired) and recomputes ``bbox`` for repaired rows when it is present.
     """
+    taken = sorted({*FLAGS, "_candidate"} & set(df.columns))
+    if taken:
+        raise ValueError(f"the table already has the columns {', '.join(taken)}")
     g, found = F.col(parts), F.col("defect")
     candidate = F.when(found.isNotNull() & (found != "null"), repaired(g))
     checked = (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plotkeep.functions import prose as P
 from plotkeep.operators import gates
-from plotkeep.plans.registry import query, spread_table, table
+from plotkeep.plans.registry import query, table
 
 # claims are added to whole texts, because the texts themselves hold almost none
 _FENCED = "'```' || chr(10) || 'select 9,999 -- 2024-01-01' || chr(10) || '```' || chr(10)"
@@ -26,7 +26,7 @@ SQL_PROSE = f"""
 
 def documents_with_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = F.expr(CLAIMS.replace("n_chars", "cast(n_chars AS STRING)"))
-    docs = spread_table(spark, sf_dir, "documents", "doc_id", "text", "n_chars")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     return docs.select(F.col("doc_id").alias("path"), claims.alias("text"))
 
 

@@ -15,13 +15,12 @@ from plotkeep.operators.cluster import hilbert_sorted
 from plotkeep.operators.content import content_hash
 from plotkeep.operators.legend import legend_drift
 from plotkeep.operators.refresh import due_decisions
-from plotkeep.operators.validity import quality_counters, repair_geometries
+from plotkeep.operators.validity import FLAGS, quality_counters, repair_geometries
 from plotkeep.operators.versions import MANIFEST_SCHEMA, newest, next_labels
 from plotkeep.session import cut_lineage
 from plotkeep.sources import tables as S
 
 ROWS_PER_FILE = 1_000_000
-SHOWN_FINDINGS = 20  # in the report line; legend_drift returns all of them
 REPORT_SCHEMA = "collection string, status string, detail string, version string, row_count bigint"
 
 
@@ -48,17 +47,21 @@ class Extract:
     rules: DataFrame | None = None
 
 
-def _prepared(extract: Extract) -> DataFrame:
-    """Reproject, repair and cluster a spatial collection; others are taken as they are."""
+def _prepared(extract: Extract) -> tuple[DataFrame, DataFrame | None]:
+    """Reproject, repair and cluster a spatial collection; others are taken as they are.
+
+    Also the repaired rows with their flags, for the counts; the flags are not published.
+    """
     if extract.parts is None:
-        return extract.rows
+        return extract.rows, None
     rows = extract.rows
     if extract.web_mercator:
         rows = rows.withColumn(extract.parts, G.map_points(F.col(extract.parts), mercator_to_lonlat))
     checked = repair_geometries(rows.withColumn("bbox", G.bbox(F.col(extract.parts))), extract.parts)
     # range partitioning reads its input twice, so the repair is written down first
     files = max(1, -(-extract.count_before // ROWS_PER_FILE))
-    return hilbert_sorted(cut_lineage(checked, "repaired"), extract.id_col, partitions=files)
+    checked = cut_lineage(checked, "repaired")
+    return hilbert_sorted(checked.drop(*FLAGS), extract.id_col, partitions=files), checked
 
 
 def _checksum(spark: SparkSession, folder: str):
@@ -68,6 +71,9 @@ def _checksum(spark: SparkSession, folder: str):
 def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime, run: str) -> tuple:
     """Stage, check and commit one collection. Returns its report row.
 
+    A staged folder that no version refers to in the end is removed again, and
+    so is the intermediate copy of a repair.
+
     The new rows are written first and every gate reads what was written.
     Nothing refers to the staged folder until the manifest row is appended,
     so a refused or failed run leaves the collection as it was. Counts and
@@ -78,10 +84,29 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
     manifest = S.read_manifest(spark, root).where(F.col("collection") == name)
     current = newest(manifest).first()
     staged = S.version_path(root, name, run)
-    S.write_table(_prepared(extract), staged)
-    written = spark.read.parquet(staged)
-
-    data = written.drop("defect", "outcome")
+    rows, checked = _prepared(extract)
+    copies = checked.inputFiles()[:1] if checked is not None else []
+    try:
+        S.write_table(rows, staged)
+        report = _commit(spark, root, extract, now, run, manifest, current, staged, checked)
+    except Exception:
+        S.remove_folder(spark, staged)
+        raise
+    finally:
+        for file in copies:
+            S.remove_folder(spark, file.rsplit("/", 1)[0])
+    if current is not None and report[3] == current.version:
+        S.remove_folder(spark, staged)
+    return report
+
+
+def _commit(
+    spark: SparkSession, root: str, extract: Extract, now: datetime, run: str, manifest: DataFrame, current,
+    staged: str, checked: DataFrame | None,
+) -> tuple:
+    """The gates over what was staged, and the record of the new version."""
+    name = extract.collection
+    data = spark.read.parquet(staged)
     facts = content_hash(data, parts=extract.parts).first()
     row_count = int(facts.content_hash.rsplit(":", 1)[1])
     if not (extract.count_before == extract.count_after == row_count):
@@ -95,10 +120,12 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
 
     if extract.rules is not None:
         previous = spark.read.parquet(current.path) if current is not None else None
-        drift = legend_drift(extract.rules, data, previous).select("detail").take(SHOWN_FINDINGS + 1)
-        if drift:
-            shown = sorted(d.detail for d in drift[:SHOWN_FINDINGS])
-            raise StyleDrift("; ".join(shown + ["and more"] * (len(drift) > SHOWN_FINDINGS)))
+        findings = f"{root}/findings/{name}/{run}"
+        legend_drift(extract.rules, data, previous).withColumn("collection", F.lit(name)).write.parquet(findings)
+        found = spark.read.parquet(findings).count()
+        if found:
+            raise StyleDrift(f"{found} legend findings, all in {findings}")
+        S.remove_folder(spark, findings)
 
     # the outgoing version must still hold the bytes its record describes
     if current is not None and _checksum(spark, current.path).file_checksum != current.file_checksum:
@@ -107,8 +134,8 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
     wanted = spark.createDataFrame([(name, now.date())], "collection string, day date")
     label = next_labels(manifest, wanted).first()
     repaired = nulls = 0
-    if extract.parts is not None:
-        quality = quality_counters(written).first()
+    if checked is not None:
+        quality = quality_counters(checked).first()
         repaired, nulls = quality.repaired_geometries, quality.null_geometries
     files = _checksum(spark, staged)
     record = (

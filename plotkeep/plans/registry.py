@@ -32,19 +32,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Projected columns of a table whose rows need much computing.
-
-    A small file is a single split however many cores wait; it is then dealt
-    out once. A table with more splits than cores is read as it is.
-    """
-    df = table(spark, sf_dir, name).select(*columns)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
-
 def sql_row_text(*columns: tuple[str, str]) -> str:
     """SQL for the portable row encoding. Kinds: int, text, double, time."""
     texts = {

@@ -9,12 +9,12 @@ from plotkeep.functions import geometry as G
 from plotkeep.functions import projection as PR
 from plotkeep.functions import wkb as W
 from plotkeep.operators import cluster, dissolve, spatial_join, tiles, validity
-from plotkeep.plans.registry import query, spread_table, table
+from plotkeep.plans.registry import query, table
 from plotkeep.session import scratch_path
 
 
 def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_table(spark, sf_dir, "events", "event_id", "value", "user_id").select(
+    return table(spark, sf_dir, "events").select("event_id", "value", "user_id").select(
         "event_id", F.col("value").alias("x"), (F.col("user_id") % 100).cast("double").alias("y")
     )
 
@@ -104,7 +104,7 @@ _LAT_S = "39.85 + (floor(p_partkey / 50) % 40) * 0.008"
 
 
 def part_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = spread_table(spark, sf_dir, "part", "p_partkey", "p_size").selectExpr(
+    base = table(spark, sf_dir, "part").select("p_partkey", "p_size").selectExpr(
         "p_partkey", f"cast({_LON_S} AS DOUBLE) AS lon", f"cast({_LAT_S} AS DOUBLE) AS lat", f"cast({_DEG} AS DOUBLE) AS d"
     )
     lon, lat, d = F.col("lon"), F.col("lat"), F.col("d")
@@ -220,7 +220,7 @@ def _ring_text(ring: Column) -> Column:
 )
 def canonical_geometry_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rings are turned, reversed and their holes swapped by key; the canonical form undoes all of it."""
-    base = spread_table(spark, sf_dir, "part", "p_partkey", "p_size").selectExpr(
+    base = table(spark, sf_dir, "part").select("p_partkey", "p_size").selectExpr(
         "p_partkey", "cast(p_partkey % 50 * 10 AS DOUBLE) AS x", "floor(p_partkey / 50) * 10.0D AS y",
         "cast(4 + p_size AS DOUBLE) AS s",
     )
@@ -274,7 +274,7 @@ def hilbert_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def defective_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Squares with one kind of defect per key: see the SQL of ``repair_report``."""
-    base = spread_table(spark, sf_dir, "part", "p_partkey", "p_brand", "p_size").selectExpr(
+    base = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size").selectExpr(
         "p_partkey", "p_brand", "cast(p_partkey % 50 * 10 AS DOUBLE) AS x", "floor(p_partkey / 50) * 10.0D AS y",
         "cast(4 + p_size AS DOUBLE) AS s",
     )
@@ -352,8 +352,7 @@ def dissolved_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes on whole cells, so the cell count is exact and no cell is on a boundary."""
     x, y = (F.col("l_partkey") % 200).cast("double"), (F.col("l_suppkey") % 100).cast("double")
     w, h = F.col("l_linenumber") % 3 + 1, F.col("l_linenumber") % 2 + 1
-    boxes = spread_table(
-        spark, sf_dir, "lineitem", "l_returnflag", "l_partkey", "l_suppkey", "l_linenumber"
+    boxes = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", "l_suppkey", "l_linenumber"
     ).select(
         F.col("l_returnflag").alias("zone"), G.box_parts(x, y, x + w, y + h).alias("parts")
     )
@@ -393,13 +392,13 @@ def tile_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     "tile_features",
     f"""
     WITH {_SQL_TILED}
-    SELECT zoom, tile_x, tile_y, event_id FROM t
-    QUALIFY row_number() OVER (PARTITION BY zoom, tile_x, tile_y
-      ORDER BY cast('0x' || substr(md5(cast(event_id AS VARCHAR)), 1, 8) AS BIGINT), event_id) <= 50
+    SELECT zoom, tile_x, tile_y, event_id, row_number() OVER (PARTITION BY zoom, tile_x, tile_y
+      ORDER BY cast('0x' || substr(md5(cast(event_id AS VARCHAR)), 1, 8) AS BIGINT), event_id) <= 50 AS kept
+    FROM t
     """,
 )
 def tile_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The features a tile keeps under its limit, which is the tile writer's own rule."""
+    """Every feature of every tile, and whether a limit of 50 would keep it."""
     return tiles.tile_features(lonlat_events(spark, sf_dir), "event_id", max_zoom=6, limit=50)
 
 

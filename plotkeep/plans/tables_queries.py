@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from plotkeep.functions import clean as C
 from plotkeep.operators import content, gates, keys, legend, objects, profile
-from plotkeep.plans.registry import query, spread_table, sql_content_hash, sql_row_text, table
+from plotkeep.plans.registry import query, sql_content_hash, sql_row_text, table
 from plotkeep.sources import documents as D
 from plotkeep.sources import pages as P
 
@@ -289,7 +289,7 @@ HASHED = {
 def content_hash_portable(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = None
     for name, columns in HASHED.items():
-        rows = spread_table(spark, sf_dir, name, *[c for c, _ in columns])
+        rows = table(spark, sf_dir, name).select(*[c for c, _ in columns])
         one = content.content_hash(rows, portable=True)
         one = one.select(F.lit(name).alias("table_name"), "content_hash")
         out = one if out is None else out.unionByName(one)
@@ -302,13 +302,34 @@ ALL_TABLES = (
 )
 
 
-@query("content_hash_fast")
+@query(
+    "content_hash_fast",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count, true AS same_when_dealt_anew, true AS other_when_repeated, "
+        f"true AS other_when_nulled FROM {name}" for name in ALL_TABLES
+    ),
+)
 def content_hash_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hash function is Spark's own, so another engine cannot repeat the values."""
+    """What the engine's own hash must tell apart; its values no other engine can repeat."""
     out = None
     for name in ALL_TABLES:
-        one = content.content_hash(table(spark, sf_dir, name)).select(F.lit(name).alias("table_name"), "content_hash")
-        out = one if out is None else out.unionByName(one)
+        rows = table(spark, sf_dir, name)
+        key = rows.columns[0]
+        least = rows.agg(F.min(key).alias("_least"))
+        one = rows.join(F.broadcast(least), F.col(key) == F.col("_least"))  # the rows of the smallest key
+        nulled = rows.join(F.broadcast(least), F.col(key) == F.col("_least"), "left").withColumn(
+            key, F.when(F.col("_least").isNull(), F.col(key))).drop("_least")
+        forms = [rows, rows.repartition(3, rows.columns[1]), rows.union(one.drop("_least")), nulled]
+        hashed = None
+        for i, df in enumerate(forms):
+            hash_row = content.content_hash(df).select(F.lit(name).alias("table_name"), F.lit(i).alias("form"), "content_hash")
+            hashed = hash_row if hashed is None else hashed.union(hash_row)
+        found = [F.max(F.when(F.col("form") == i, F.col("content_hash"))).alias(f"h{i}") for i in range(len(forms))]
+        both = hashed.groupBy("table_name").agg(*found).select(
+            "table_name", F.split_part("h0", F.lit(":"), F.lit(2)).cast("long").alias("row_count"),
+            (F.col("h0") == F.col("h1")).alias("same_when_dealt_anew"), (F.col("h0") != F.col("h2")).alias("other_when_repeated"),
+            (F.col("h0") != F.col("h3")).alias("other_when_nulled"))
+        out = both if out is None else out.unionByName(both)
     return out
 
 

@@ -67,8 +67,9 @@ def page_completeness(pages: DataFrame) -> DataFrame:
     Offsets are contiguous when every page but the first starts where another
     ends. Each page gives a start and an end mark, and marks are met by
     (collection, position) in one grouped pass: every page is parsed once and
-    no collection has to fit into one task. The read is complete with no gap
-    and one last page: an empty one, or one that did not exceed the transfer
+    no collection has to fit into one task. The read is complete with no gap,
+    no two pages that start or end at one place, and one last page, which ends
+    where the read ends: an empty one, or one that did not exceed the transfer
     limit.
     """
     shape = T.StructType([
@@ -84,17 +85,21 @@ def page_completeness(pages: DataFrame) -> DataFrame:
     is_last = (~F.col("more") | (F.col("n") == 0)).cast("long")
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
 
-    def mark(position: Column, starts: Column, ends: Column, n: Column, last: Column) -> Column:
+    def mark(position: Column, starts: Column, ends: Column, n: Column, last: Column, end: Column) -> Column:
         return F.struct(
             position.cast("long").alias("position"), starts.alias("starts"), ends.alias("ends"),
-            n.alias("n"), last.alias("last"),
+            n.alias("n"), last.alias("last"), end.cast("long").alias("end"),
+            F.when(last == 1, end.cast("long")).alias("last_end"),
         )
 
-    start = mark(F.col("page_offset"), one, zero, F.col("n"), is_last)
-    end = mark(F.col("page_offset") + F.col("n"), zero, (F.col("n") > 0).cast("long"), zero, zero)
+    stop = F.col("page_offset") + F.col("n")
+    start = mark(F.col("page_offset"), one, zero, F.col("n"), is_last, stop)
+    end = mark(stop, zero, (F.col("n") > 0).cast("long"), zero, zero, stop)
     by_position = sized.select("collection", F.inline(F.array(start, end))).groupBy("collection", "position").agg(
-        F.sum("starts").alias("starts"), F.sum("ends").alias("ends"), F.sum("n").alias("n"), F.sum("last").alias("last")
+        F.sum("starts").alias("starts"), F.sum("ends").alias("ends"), F.sum("n").alias("n"), F.sum("last").alias("last"),
+        F.max("end").alias("end"), F.max("last_end").alias("last_end"),
     )
+    twice = (F.col("starts") > 1) | (F.col("ends") > 1)
     lost = (F.col("position") > 0) & (F.col("ends") == 0)
     return (
         by_position.groupBy("collection")
@@ -102,9 +107,14 @@ def page_completeness(pages: DataFrame) -> DataFrame:
             F.sum("starts").alias("pages"), F.sum("n").alias("row_count"), F.sum("last").alias("last_pages"),
             F.sum(F.when(lost, F.col("starts")).otherwise(zero)).alias("gaps"),
             F.sum(F.when(F.col("position") == 0, F.col("starts")).otherwise(zero)).alias("_firsts"),
+            F.count_if(twice).alias("_twice"), F.max("end").alias("_end"), F.max("last_end").alias("_last_end"),
         )
-        .withColumn("complete", (F.col("gaps") == 0) & (F.col("last_pages") == 1) & (F.col("_firsts") == 1))
-        .drop("_firsts")
+        .withColumn(
+            "complete",
+            (F.col("gaps") == 0) & (F.col("last_pages") == 1) & (F.col("_firsts") == 1)
+            & (F.col("_twice") == 0) & F.col("_last_end").eqNullSafe(F.col("_end")),
+        )
+        .drop("_firsts", "_twice", "_end", "_last_end")
     )
 
 

@@ -151,3 +151,9 @@ def ordered_versions(spark: SparkSession, root: str, collection: str) -> DataFra
     """Every version, oldest first."""
     mine = read_manifest(spark, root).where(F.col("collection") == collection)
     return with_version_order(mine).orderBy("version_day", "version_seq")
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it, in whatever store it lies. A missing one is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

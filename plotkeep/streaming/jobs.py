@@ -24,24 +24,18 @@ _STATE_SCHEMA = "created bigint, known bigint"
 def drain(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> DataFrame:
     """Run a stream over what has landed, then read the sink.
 
-    State is kept in one partition per core: the number is fixed by the first
-    run of a checkpoint, and every batch pays for every partition.
+    State is kept in ``spark.sql.shuffle.partitions`` partitions as set at the
+    first run of a checkpoint, which fixes the number for later runs.
     """
-    spark = stream.sparkSession
-    configured = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    try:
-        query = (
-            stream.writeStream.format("parquet")
-            .outputMode(mode)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start(out)
-        )
-        query.awaitTermination()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", configured)
-    return spark.read.schema(stream.schema).parquet(out)
+    query = (
+        stream.writeStream.format("parquet")
+        .outputMode(mode)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
 
 
 def _decide(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

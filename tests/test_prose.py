@@ -70,8 +70,8 @@ def test_links(spark, rows):
         ("a", "b//gone.json"), ("", "data.PARQUET"),
     ], "doc_dir string, href string")
     inventory = spark.createDataFrame([("a/b/x.json",), ("a/x.json",), ("y.json",), ("root.json",)], "path string")
-    assert rows(gates.unresolved_links(links, inventory)) == [("a/b/gone.json", 3), ("data.PARQUET", 1)]
-    assert rows(gates.unresolved_links(links, inventory, light=True)) == [("a/b/gone.json", 3)]
+    assert rows(gates.unresolved_links(links, inventory)) == [("../y.json", 1), ("a/b/gone.json", 3), ("data.PARQUET", 1)]
+    assert rows(gates.unresolved_links(links, inventory, light=True)) == [("../y.json", 1), ("a/b/gone.json", 3)]
 
 
 def test_broken_references_name_their_documents(spark, rows):

@@ -8,27 +8,27 @@ from plotkeep.operators import gates, objects, refresh, versions
 from plotkeep.operators.profile import recorded_counts
 from plotkeep.sources import documents as D
 
-NOW = datetime(2026, 10, 20, 7, tzinfo=timezone.utc)
+NOW = datetime(2025, 3, 14, 18, 30, tzinfo=timezone.utc)
 
 
 def t(text):
     return datetime.strptime(text, "%Y-%m-%dT%H:%M:%SZ").replace(tzinfo=timezone.utc) if text else None
 
 
-BASE = ("2026-10-10T07:00:00Z", "2026-10-09T12:00:00Z")
+BASE = ("2025-03-04T18:30:00Z", "2025-03-03T09:15:00Z")
 CASES = [
-    ("no version", "2026-10-15T00:00:00Z", None, None, True, "no version yet"),
-    ("unedited", "2026-10-09T12:00:00Z", BASE, None, False, "source unchanged since 2026-10-09T12:00:00Z"),
-    ("old enough", "2026-10-15T00:00:00Z", BASE, None, True, "source edited 2026-10-15T00:00:00Z"),
-    ("too soon", "2026-10-19T00:00:00Z", ("2026-10-16T07:00:00Z", BASE[1]), None, False,
-     "source edited 2026-10-19T00:00:00Z, but the current version is 2026-10-16; next due 2026-10-23"),
-    ("checked", "2026-10-15T00:00:00Z", BASE, "2026-10-15T00:00:00Z", False,
-     "source unchanged since 2026-10-15T00:00:00Z"),
-    ("no source date", "2026-10-15T00:00:00Z", (BASE[0], None), None, True, "source edited 2026-10-15T00:00:00Z"),
-    ("exactly due", "2026-10-19T00:00:00Z", ("2026-10-13T07:00:00Z", BASE[1]), None, True,
-     "source edited 2026-10-19T00:00:00Z"),
-    ("an hour early", "2026-10-19T00:00:00Z", ("2026-10-13T08:00:00Z", BASE[1]), None, False,
-     "source edited 2026-10-19T00:00:00Z, but the current version is 2026-10-13; next due 2026-10-20"),
+    ("no version", "2025-03-09T22:00:00Z", None, None, True, "no version yet"),
+    ("unedited", BASE[1], BASE, None, False, f"source unchanged since {BASE[1]}"),
+    ("old enough", "2025-03-09T22:00:00Z", BASE, None, True, "source edited 2025-03-09T22:00:00Z"),
+    ("too soon", "2025-03-13T11:00:00Z", ("2025-03-11T18:30:00Z", BASE[1]), None, False,
+     "source edited 2025-03-13T11:00:00Z, but the current version is 2025-03-11; next due 2025-03-18"),
+    ("checked", "2025-03-09T22:00:00Z", BASE, "2025-03-09T22:00:00Z", False,
+     "source unchanged since 2025-03-09T22:00:00Z"),
+    ("no source date", "2025-03-09T22:00:00Z", (BASE[0], None), None, True, "source edited 2025-03-09T22:00:00Z"),
+    ("exactly due", "2025-03-13T11:00:00Z", ("2025-03-07T18:30:00Z", BASE[1]), None, True,
+     "source edited 2025-03-13T11:00:00Z"),
+    ("an hour early", "2025-03-13T11:00:00Z", ("2025-03-07T19:30:00Z", BASE[1]), None, False,
+     "source edited 2025-03-13T11:00:00Z, but the current version is 2025-03-07; next due 2025-03-14"),
 ]
 
 
