@@ -762,9 +762,10 @@ def style_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "legend_drift",
     """
-    WITH new AS (SELECT CASE WHEN c_custkey % 97 = 0 THEN 'ROBOTICS' ELSE c_mktsegment END AS seg,
-                        c_nationkey, c_acctbal FROM customer WHERE c_mktsegment <> 'MACHINERY'),
-         old AS (SELECT c_mktsegment AS seg, c_nationkey FROM customer WHERE c_nationkey <> 7)
+    WITH new AS (SELECT CASE WHEN c_custkey % 97 = 0 THEN 'ROBOTICS' WHEN c_mktsegment = 'MACHINERY' THEN 'BUILDING'
+                             ELSE c_mktsegment END AS seg, c_nationkey, c_acctbal FROM customer),
+         old AS (SELECT c_mktsegment AS seg, CASE WHEN c_nationkey = 7 THEN 8 ELSE c_nationkey END AS c_nationkey
+                 FROM customer)
     SELECT 'a.json' AS style, 0 AS rule_no, 'match' AS kind, 'seg' AS "column", 'empty_branch' AS finding,
            'branch ''MACHINERY'' matches no row' AS detail, cast(NULL AS BIGINT) AS n
     WHERE NOT EXISTS (SELECT 1 FROM new WHERE seg = 'MACHINERY')
@@ -785,11 +786,10 @@ def style_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def legend_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The new version loses a segment and gains one; the old one had no nation 7."""
     customer = table(spark, sf_dir, "customer")
-    new = customer.where("c_mktsegment <> 'MACHINERY'").select(
-        F.expr("CASE WHEN c_custkey % 97 = 0 THEN 'ROBOTICS' ELSE c_mktsegment END").alias("seg"),
-        "c_nationkey", "c_acctbal",
-    )
-    old = customer.where("c_nationkey <> 7").select(F.col("c_mktsegment").alias("seg"), "c_nationkey")
+    segment = "CASE WHEN c_custkey % 97 = 0 THEN 'ROBOTICS' WHEN c_mktsegment = 'MACHINERY' THEN 'BUILDING' ELSE c_mktsegment END"
+    new = customer.select(F.expr(segment).alias("seg"), "c_nationkey", "c_acctbal")
+    moved = F.when(F.col("c_nationkey") == 7, 8).otherwise(F.col("c_nationkey"))
+    old = customer.select(F.col("c_mktsegment").alias("seg"), moved.alias("c_nationkey"))
     rules = spark.createDataFrame(
         [
             ("a.json", 0, "match", "seg", [(None, "MACHINERY"), (None, "BUILDING")], []),

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from plotkeep.functions import clean as C
 from plotkeep.operators import gates, objects, profile, refresh, versions
+from plotkeep.operators.versions import MANIFEST_SCHEMA
 from plotkeep.plans.refresh_run import Extract, refresh_all
 from plotkeep.plans.registry import query, table
 from plotkeep.session import scratch_path
+from plotkeep.sources import tables as S
 
 NOW = datetime(2001, 9, 1, 7, 0, tzinfo=timezone.utc)
 
@@ -19,8 +21,8 @@ NOW = datetime(2001, 9, 1, 7, 0, tzinfo=timezone.utc)
 @query(
     "due_decisions",
     """
-    WITH last AS (SELECT o_custkey, max(o_orderdate) AS created FROM orders
-                  WHERE o_custkey % 13 <> 0 GROUP BY o_custkey),
+    WITH last AS (SELECT o_custkey, max(CASE WHEN o_custkey % 13 <> 0 THEN o_orderdate END) AS created FROM orders
+                  GROUP BY o_custkey),
          s AS (SELECT c_custkey, 30 * (1 + c_custkey % 24) AS min_days,
                  TIMESTAMP '2001-07-01 12:00:00' + to_days(cast(c_custkey % 60 AS INT)) AS edit,
                  created,
@@ -29,10 +31,10 @@ NOW = datetime(2001, 9, 1, 7, 0, tzinfo=timezone.utc)
                FROM customer LEFT JOIN last ON c_custkey = o_custkey),
          k AS (SELECT *, greatest(version_edit, checked_edit) AS known, created + to_days(cast(min_days AS INT)) AS next_due
                FROM s),
-         d AS (SELECT *, CASE WHEN created IS NULL THEN 'new' WHEN known IS NOT NULL AND edit <= known THEN 'same'
+         d AS (SELECT *, CASE WHEN c_custkey % 17 = 3 THEN 'unprobed' WHEN created IS NULL THEN 'new' WHEN known IS NOT NULL AND edit <= known THEN 'same'
                               WHEN TIMESTAMP '2001-09-01 07:00:00' < next_due THEN 'wait' ELSE 'go' END AS k4 FROM k)
     SELECT c_custkey AS collection, k4 IN ('new', 'go') AS due,
-           CASE k4 WHEN 'new' THEN 'no version yet'
+           CASE k4 WHEN 'unprobed' THEN 'no probe' WHEN 'new' THEN 'no version yet'
                    WHEN 'same' THEN 'source unchanged since ' || strftime(known, '%Y-%m-%dT%H:%M:%SZ')
                    WHEN 'wait' THEN 'source edited ' || strftime(edit, '%Y-%m-%dT%H:%M:%SZ')
                         || ', but the current version is ' || strftime(created, '%Y-%m-%d')
@@ -47,11 +49,11 @@ def due_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     sources = customer.select(key, (30 * (1 + F.col("c_custkey") % 24)).cast("int").alias("min_days"))
     edit = F.expr("timestamp'2001-07-01 12:00:00'") + F.make_dt_interval((F.col("c_custkey") % 60).cast("int"))
-    probes = customer.select(key, edit.alias("data_last_edit"))
-    created = F.max(F.col("o_orderdate").cast("timestamp"))
+    probes = customer.where("c_custkey % 17 <> 3").select(key, edit.alias("data_last_edit"))
+    # one collection in thirteen has no version yet
+    created = F.max(F.when(F.col("o_custkey") % 13 != 0, F.col("o_orderdate").cast("timestamp")))
     current = (
         table(spark, sf_dir, "orders")
-        .where("o_custkey % 13 <> 0")  # these collections have no version yet
         .groupBy(F.col("o_custkey").alias("collection"))
         .agg(created.alias("created"))
         .withColumn(
@@ -382,3 +384,66 @@ def refresh_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ], second, "run2")
     both = one.withColumn("run", F.lit(1)).unionByName(two.withColumn("run", F.lit(2)))
     return both.select("run", "collection", "status", "version", "row_count")
+
+
+def store(spark: SparkSession, root: str, collection: str, rows: DataFrame, day: datetime, seq: int = 1) -> str:
+    """Write a version and its record; the folder it lies in."""
+    label = day.strftime("%Y-%m-%d") + (f"-{seq}" if seq > 1 else "")
+    path = S.version_path(root, collection, f"run-{label}")
+    S.write_table(rows, path)
+    files = S.folder_checksums(S.file_digests(spark, path)).first()
+    record = (collection, label, day.date(), seq, day, day, rows.count(), "", 0, 0, files.file_size, files.file_checksum,
+              path, f"run-{label}")
+    S.append_rows(spark, [record], MANIFEST_SCHEMA, f"{root}/manifest")
+    return path
+
+
+@query(
+    "stored_versions",
+    """
+    WITH c AS (SELECT count(*) AS n, sum(c_custkey) AS keys FROM customer)
+    SELECT 'current' AS "read", 2 * n AS row_count, cast(2 * keys + 1000000 * n AS BIGINT) AS keys FROM c
+    UNION ALL SELECT 'label', n, cast(keys AS BIGINT) FROM c
+    UNION ALL SELECT 'moment', n, cast(keys AS BIGINT) FROM c
+    """,
+)
+def stored_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table of two versions, read as it is, by the first one's label, and as of a moment between them."""
+    customer = table(spark, sf_dir, "customer")
+    root = scratch_path(spark, "stored-versions")
+    first, second = datetime(2024, 5, 1, 7, tzinfo=timezone.utc), datetime(2024, 5, 9, 7, tzinfo=timezone.utc)
+    store(spark, root, "customer", customer, first)
+    store(spark, root, "customer", customer.union(customer.withColumn("c_custkey", F.col("c_custkey") + 1_000_000)), second)
+    reads = {
+        "current": S.read_current(spark, root, "customer", ["c_custkey"]),
+        "label": S.read_version(spark, root, "customer", "2024-05-01"),
+        "moment": S.read_as_of(spark, root, "customer", datetime(2024, 5, 4, tzinfo=timezone.utc)),
+    }
+    out = None
+    for name, df in reads.items():
+        one = df.agg(F.count(F.lit(1)).alias("row_count"), F.sum("c_custkey").alias("keys")).select(
+            F.lit(name).alias("read"), "row_count", "keys")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query(
+    "archive_integrity",
+    """
+    SELECT 'supplier' AS collection, '2024-05-01' AS version WHERE EXISTS (SELECT 1 FROM supplier)
+    UNION ALL SELECT 'customer', '2024-05-01-2' WHERE EXISTS (SELECT 1 FROM customer)
+    """,
+)
+def archive_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored versions, one of which got a file more and one other bytes after it was recorded."""
+    root = scratch_path(spark, "archive-integrity")
+    day = datetime(2024, 5, 1, 7, tzinfo=timezone.utc)
+    paths = {}
+    for name in ("customer", "supplier", "part"):
+        rows = table(spark, sf_dir, name)
+        for seq in (1, 2):
+            paths[name, seq] = store(spark, root, name, rows, day, seq)
+    table(spark, sf_dir, "supplier").write.mode("append").parquet(paths["supplier", 1])
+    table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal") + 1).write.mode("overwrite").parquet(
+        paths["customer", 2])
+    return S.archive_integrity(spark, root, S.read_manifest(spark, root))

@@ -10,7 +10,7 @@ from plotkeep.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 # these run their jobs while they are built
-EAGER = {"refresh_run", "stream_due_events", "stream_edit_rate", "stream_extract_consistency", "stream_page_ingest"}
+EAGER = {"archive_integrity", "refresh_run", "stored_versions", "stream_due_events", "stream_edit_rate", "stream_extract_consistency", "stream_page_ingest"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 
