@@ -25,8 +25,6 @@ SENTENCE_BREAK = r"(?U)((?<=[.!?])\s+|\n\s*\n|\n(?=\s*(?:[-*#|]|\d+\.\s)))"
 ALLOWED_NUMBERS = ("200,000",)
 SMALLEST_COUNT = 100
 
-_MARK = "\x01"
-
 
 def newlines(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit("\n")))
@@ -43,7 +41,8 @@ def blank_fences(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """Sentences, each with the white space that ends it."""
-    return F.split(F.regexp_replace(text, SENTENCE_BREAK, f"$1{_MARK}"), _MARK, -1)
+    ends = F.regexp_extract_all(text, F.lit(SENTENCE_BREAK), F.lit(0))
+    return F.zip_with(F.split(text, SENTENCE_BREAK, -1), ends, lambda s, e: F.concat(s, F.coalesce(e, F.lit(""))))
 
 
 def dated_claim(sentence: Column) -> Column:

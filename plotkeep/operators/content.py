@@ -45,13 +45,20 @@ def version_diff(old: DataFrame, new: DataFrame, key: Sequence[str], parts: str
 
     Both sides are reduced to row hashes and met in one grouped aggregation:
     repeated keys are compared as multisets, and a hot key is combined before
-    the shuffle instead of being joined with itself.
+    the shuffle instead of being joined with itself. Rows are compared over the
+    columns of both sides: a column one side lacks is null there, and a column
+    of another type changes every row.
     """
-    names = [c for c in new.columns if c not in key]
+    names = sorted({*old.columns, *new.columns} - set(key))
+    drifted = [c for c in names if c in old.columns and c in new.columns and old.schema[c].dataType != new.schema[c].dataType]
 
     def side(df: DataFrame, is_new: int) -> DataFrame:
+        other = old if is_new else new
+        df = df.withColumns({c: F.lit(None).cast(other.schema[c].dataType) for c in names if c not in df.columns})
         source = with_canonical_geometry(df, parts) if parts else df
-        h = fast_row_hash(source.schema, names)
+        types = ",".join(df.schema[c].dataType.simpleString() for c in drifted)
+        source = source.withColumn("_types", F.lit(types))
+        h = fast_row_hash(source.schema, [*names, "_types"])
         return source.select(*key, h.alias("_h"), F.lit(is_new).alias("_new"))
 
     both = side(old, 0).unionByName(side(new, 1))

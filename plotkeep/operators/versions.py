@@ -95,16 +95,17 @@ def version_chain(versions: DataFrame, root: str) -> DataFrame:
 
 
 def add_versions(manifest: DataFrame, new: DataFrame) -> DataFrame:
-    """Append version records. A label already recorded is an error, not a replacement."""
-    clash = new.join(manifest.select("collection", "version").withColumn("_taken", F.lit(True)),
-                     ["collection", "version"], "left")
-    guarded = clash.withColumn(
-        "version",
-        F.when(
-            F.col("_taken"), F.raise_error(F.concat(F.lit("version already recorded: "), F.col("version")))
-        ).otherwise(F.col("version")),
-    ).drop("_taken")
-    return manifest.unionByName(guarded.select(*manifest.columns))
+    """Append version records. A label that is recorded already, or twice in ``new``, is an error, not a replacement.
+
+    The test runs when this is called, so no later projection can prune it away.
+    """
+    key = ["collection", "version"]
+    recorded = new.select(*key).join(manifest.select(*key), key, "left_semi")
+    repeated = new.groupBy(*key).count().where("count > 1").select(*key)
+    clash = recorded.union(repeated).first()
+    if clash is not None:
+        raise ValueError(f"version already recorded: {clash.collection} {clash.version}")
+    return manifest.unionByName(new.select(*manifest.columns))
 
 
 def temporal_extent(versions: DataFrame) -> DataFrame:

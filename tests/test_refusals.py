@@ -5,7 +5,9 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from plotkeep.functions import prose
 from plotkeep.functions.clean import split_items
+from plotkeep.operators.content import version_diff
 from plotkeep.operators.legend import RULES_SCHEMA
 from plotkeep.operators.refresh import due_decisions
 from plotkeep.operators.skew import split_hot_keys
@@ -96,3 +98,18 @@ def test_every_hot_key_is_split(spark):
     one, two, on = split_hot_keys(left, right, ["k"], ["id"], target_rows=10)
     assert two.groupBy("k").count().where("count = 10").count() == 3
     assert one.join(two, on).count() == 300
+
+
+def test_version_diff_over_drifted_columns(spark):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", 2), (3, "c", 3)], "id long, x string, gone int")
+    changes = lambda new: {r.id: r.change for r in version_diff(old, new, ["id"]).collect()}
+    assert changes(old) == {}
+    assert changes(old.drop("gone")) == {1: "changed", 2: "changed", 3: "changed"}
+    more = old.withColumn("more", F.when(F.col("id") == 2, "new"))
+    assert changes(more) == {2: "changed"}
+    assert changes(old.withColumn("gone", F.col("gone").cast("long"))) == {1: "changed", 2: "changed", 3: "changed"}
+
+
+def test_control_characters_do_not_end_sentences(spark):
+    df = spark.createDataFrame([("Extracted\x01 on 2024-05-06. Next.",)], "text string")
+    assert df.select(prose.sentences(F.col("text")).alias("s")).first().s == ["Extracted\x01 on 2024-05-06. ", "Next."]
