@@ -8,15 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plotkeep.functions import geometry as G
 from plotkeep.operators.skew import TARGET_ROWS, split_hot_keys
 from plotkeep.session import cut_lineage
 
 LOWEST_LEVEL = -30  # for shapes without extent
-BROADCAST_BYTES = 64 << 20
-SHAPE_BYTES, EDGE_BYTES = 400, 48
-CELLS_PER_SHAPE = 9  # a shape is at most one cell wide, which may straddle three where rounding is unlucky
 
 
 def _cell_side(level: Column) -> Column:
@@ -40,18 +38,14 @@ def _with_shape_columns(df: DataFrame, parts: str) -> DataFrame:
     )
 
 
-def _measure(df: DataFrame) -> tuple[list[int], int]:
-    """The levels in use, and an upper bound for the bytes of all shapes.
+def _levels(df: DataFrame) -> list[int]:
+    """The levels in use: one row per power of two between the smallest and the largest shape."""
+    return sorted(r["_own_level"] for r in df.select("_own_level").distinct().collect())
 
-    One row per power of two between the smallest and the largest shape, so
-    the answer is small whatever the table holds.
-    """
-    per_level = df.groupBy("_own_level").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.size("_edges")).alias("edges")
-    ).collect()
-    # an edge is four doubles and a header; parts hold the same vertices again
-    size = sum(r.n * SHAPE_BYTES + r.edges * 2 * EDGE_BYTES for r in per_level)
-    return sorted(r["_own_level"] for r in per_level), size
+
+def _row_columns(df: DataFrame) -> list[str]:
+    """Columns that tell rows apart and can be hashed."""
+    return [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]
 
 
 def _cells(df: DataFrame, level: Column) -> DataFrame:
@@ -73,19 +67,17 @@ def points_in_polygons(
     parts: str = "parts",
     include_boundary: bool = False,
     target_rows: int = TARGET_ROWS,
-    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every (point, polygon) pair with the point inside.
 
     By default points on an edge follow the half-open rule; with
     ``include_boundary`` every touched polygon matches. A point meets a
-    polygon in exactly one cell, so no duplicates arise. Polygons measured
-    below ``broadcast_bytes`` are broadcast and the points stay where they
-    are; otherwise both sides are shuffled by cell and hot cells are split.
+    polygon in exactly one cell, so no duplicates arise. Cells that hold very
+    many points or polygons are split; whether a side is broadcast is left to
+    Spark, which knows the size of whole rows.
     """
     shapes = _with_shape_columns(polygons, parts)
-    levels, size = _measure(shapes)
-    levels = levels or [0]
+    levels = _levels(shapes) or [0]
     cells = _cells(shapes, F.col("_own_level")).drop(parts)
     px, py = F.col(x), F.col(y)
     placed = (
@@ -94,11 +86,8 @@ def points_in_polygons(
         .withColumn("_cx", _cell(px, F.col("_level")))
         .withColumn("_cy", _cell(py, F.col("_level")))
     )
-    keys = ["_level", "_cx", "_cy"]
-    if size * CELLS_PER_SHAPE <= broadcast_bytes:
-        cells = F.broadcast(cells)
-    else:
-        placed, cells, keys = split_hot_keys(placed, cells, keys, [point_id], target_rows)
+    placed, cells, keys = split_hot_keys(
+        placed, cells, ["_level", "_cx", "_cy"], [point_id], target_rows, _row_columns(cells))
     inside = G.edges_contain(F.col("_edges"), px, py)
     if include_boundary:
         inside = inside | G.edges_touch_point(F.col("_edges"), px, py)
@@ -128,7 +117,7 @@ def collapse_copies(df: DataFrame, id_col: str, parts: str = "parts") -> DataFra
 
 def overlapping_shapes(
     left: DataFrame, right: DataFrame, left_id: str, right_id: str, parts: str = "parts",
-    target_rows: int = TARGET_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
+    target_rows: int = TARGET_ROWS,
 ) -> DataFrame:
     """Pairs of distinct shapes that share at least a point.
 
@@ -149,7 +138,7 @@ def overlapping_shapes(
         return cut_lineage(_with_shape_columns(renamed, f"{side}_parts"), "shapes")
 
     a, b = prepared(left, left_id, "left"), prepared(right, right_id, "right")
-    (a_levels, a_size), (b_levels, b_size) = _measure(a), _measure(b)
+    a_levels, b_levels = _levels(a), _levels(b)
 
     def spread_levels(df: DataFrame, other: list[int], side: str) -> DataFrame:
         """A shape also appears on the coarser levels the other side uses."""
@@ -162,14 +151,7 @@ def overlapping_shapes(
         return out
 
     a, b = spread_levels(a, b_levels, "left"), spread_levels(b, a_levels, "right")
-    keys = ["_level", "_cx", "_cy"]
-    # a shape appears on its own level and on the coarser ones of the other side
-    if b_size * CELLS_PER_SHAPE * (1 + len(a_levels)) <= broadcast_bytes:
-        b = F.broadcast(b)
-    elif a_size * CELLS_PER_SHAPE * (1 + len(b_levels)) <= broadcast_bytes:
-        a = F.broadcast(a)
-    else:
-        a, b, keys = split_hot_keys(a, b, keys, ["left_key"], target_rows)
+    a, b, keys = split_hot_keys(a, b, ["_level", "_cx", "_cy"], ["left_key"], target_rows, ["right_key"])
     a_box, b_box = F.col("left_box"), F.col("right_box")
     level = F.col("_level")
     return (

@@ -1,7 +1,4 @@
-"""Registered queries against DuckDB on the smallest tables.
-
-A few queries of each kind by default; PLOTKEEP_ALL=1 runs every one.
-"""
+"""Every registered query against DuckDB on the smallest tables."""
 
 import math
 import os
@@ -16,11 +13,7 @@ SF = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-SHORT = [
-    "broken_references", "content_hash_portable", "decode_join_count", "doc_dates", "due_decisions", "legend_drift",
-    "page_completeness", "repair_report", "spatial_pip", "tile_features", "version_labels",
-]
-NAMES = sorted(ORACLES) if os.environ.get("PLOTKEEP_ALL") else SHORT
+NAMES = sorted(ORACLES)
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are not here")
 

@@ -113,3 +113,12 @@ def test_version_diff_over_drifted_columns(spark):
 def test_control_characters_do_not_end_sentences(spark):
     df = spark.createDataFrame([("Extracted\x01 on 2024-05-06. Next.",)], "text string")
     assert df.select(prose.sentences(F.col("text")).alias("s")).first().s == ["Extracted\x01 on 2024-05-06. ", "Next."]
+
+
+def test_keys_hot_on_either_side_meet_once(spark):
+    left = spark.range(90).select((F.col("id") % 3).alias("k"), F.col("id").alias("a"))
+    right = spark.range(120).select((F.col("id") % 3 + 1).alias("k"), F.col("id").alias("b"))
+    one, two, on = split_hot_keys(left, right, ["k"], ["a"], 10, ["b"])
+    got = sorted((r.a, r.b) for r in one.join(two, on).collect())
+    assert got == sorted((a, b) for a in range(90) for b in range(120) if a % 3 == b % 3 + 1)
+    assert two.where("k = 2").select("_salt", "_cut").distinct().count() > 3

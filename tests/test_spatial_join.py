@@ -38,8 +38,8 @@ def random_polygons(rnd, n):
     return out
 
 
-@pytest.mark.parametrize("target_rows,broadcast_bytes", [(1_000_000, 1 << 26), (1_000_000, 0), (7, 0)])
-def test_point_in_polygon_equals_brute_force(spark, target_rows, broadcast_bytes):
+@pytest.mark.parametrize("target_rows", [1_000_000, 7])
+def test_point_in_polygon_equals_brute_force(spark, target_rows):
     rnd = random.Random(1)
     polygons = random_polygons(rnd, 60)
     points = [(i, rnd.uniform(-30, 30), rnd.uniform(-30, 30)) for i in range(300)]
@@ -47,7 +47,7 @@ def test_point_in_polygon_equals_brute_force(spark, target_rows, broadcast_bytes
     expected = sorted((i, p) for i, x, y in points for p, parts in polygons if inside(parts, x, y))
     got = points_in_polygons(
         spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(polygons, SHAPES), "id",
-        target_rows=target_rows, broadcast_bytes=broadcast_bytes,
+        target_rows=target_rows,
     )
     assert sorted((r.id, r.pid) for r in got.select("id", "pid").collect()) == expected
 
@@ -91,15 +91,14 @@ def intersects(p, q):
     return any(inside(q, *part[0][0]) for part in p) or any(inside(p, *part[0][0]) for part in q)
 
 
-@pytest.mark.parametrize("target_rows,broadcast_bytes", [(1_000_000, 1 << 26), (1_000_000, 0), (5, 0)])
-def test_overlap_equals_brute_force(spark, target_rows, broadcast_bytes):
+@pytest.mark.parametrize("target_rows", [1_000_000, 5])
+def test_overlap_equals_brute_force(spark, target_rows):
     rnd = random.Random(2)
     left, right = random_polygons(rnd, 50), random_polygons(rnd, 40)
     left += [(100 + i, left[3][1]) for i in range(30)]  # a pile of copies
     frame = lambda data: spark.createDataFrame(data, SHAPES)
     got = overlapping_shapes(
-        frame(left), frame(right), "pid", "pid", target_rows=target_rows, broadcast_bytes=broadcast_bytes
-    ).collect()
+        frame(left), frame(right), "pid", "pid", target_rows=target_rows).collect()
     expected = {
         (i, j) for i, p in left[:50] for j, q in right if intersects(p, q)
     }
