@@ -11,8 +11,8 @@ from plotkeep.functions import geometry as G
 def _cell_runs(edges: Column, side: Column) -> Column:
     """Runs (row, c0, c1, edge) of grid cells: those inside, and those an edge passes through.
 
-    Every edge is visited for the grid rows it spans, so the work follows the
-    boundary and not the area.
+    Every edge is visited for the grid rows it spans, so the number of runs
+    follows the boundary and not the area.
     """
     # upright edges: lower end first, with the step in x per unit of y (null when flat)
     upright = F.transform(
@@ -74,13 +74,19 @@ def _cell_runs(edges: Column, side: Column) -> Column:
     return G.let(upright, both)
 
 
+# Columns of cells that one 64-bit mask holds, as a power of two.
+BLOCK_BITS = 6
+
+
 def dissolved_area(df: DataFrame, group: str, cell: float, parts: str = "parts") -> DataFrame:
     """Per group: raw area sum, dissolved area, and the cells on a boundary.
 
     Ground is counted in square cells whose centre lies inside a polygon. The
     dissolved area is off by at most the area of the boundary cells. One scan:
-    each polygon gives its runs of cells and one row with its own area, and
-    duplicate cells are combined before the shuffle.
+    each polygon gives its runs of cells and one row with its own area. A run is
+    cut at blocks of 64 columns and carried as one mask per block; masks of the
+    same ground are combined before the shuffle, so a block of a row is one
+    value however many shapes lie on it.
     """
     side = F.lit(float(cell))
     none = F.lit(None).cast("long")
@@ -95,17 +101,27 @@ def dissolved_area(df: DataFrame, group: str, cell: float, parts: str = "parts")
         none.alias("row"), none.alias("c0"), none.alias("c1"), F.lit(None).cast("boolean").alias("edge"),
         G.area(F.col("_p")).alias("area"),
     )
+    blocks = F.sequence(F.shiftright("c0", BLOCK_BITS), F.shiftright("c1", BLOCK_BITS))
+    last = (1 << BLOCK_BITS) - 1
+    first = F.shiftleft("_block", BLOCK_BITS)
+    low, high = F.greatest(F.col("c0") - first, F.lit(0)), F.least(F.col("c1") - first, F.lit(last))
+    # the bits from low to high
+    mask = F.call_function("shiftleft", F.lit(-1).cast("long"), low.cast("int")).bitwiseAND(
+        F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (F.lit(last) - high).cast("int")))
+    cells = F.coalesce(F.sum(F.bit_count("_in")), F.lit(0))
     return (
         shaped.select(group, F.inline(F.concat(F.array(own), runs)))
-        .select(group, "row", "edge", "area", F.explode_outer(F.sequence("c0", "c1")).alias("_cx"))
-        .groupBy(group, "row", "_cx")
+        .select(group, "row", "edge", "area", "c0", "c1", F.explode_outer(blocks).alias("_block"))
+        .select(group, "row", "edge", "area", "_block", mask.alias("_mask"))
+        .groupBy(group, "row", "_block")
         .agg(
-            F.bool_or(~F.col("edge")).alias("_in"), F.bool_or("edge").alias("_edge"),
+            F.bit_or(F.when(~F.col("edge"), F.col("_mask"))).alias("_in"),
+            F.bit_or(F.when(F.col("edge"), F.col("_mask"))).alias("_edge"),
             F.count("area").alias("_n"), F.sum("area").alias("_a"),
         )
         .groupBy(group)
         .agg(
-            F.sum("_n").alias("polygons"), F.sum("_a").alias("raw_area"),
-            (F.count_if("_in") * side * side).alias("dissolved_area"), F.count_if("_edge").alias("boundary_cells"),
+            F.sum("_n").alias("polygons"), F.sum("_a").alias("raw_area"), (cells * side * side).alias("dissolved_area"),
+            F.coalesce(F.sum(F.bit_count("_edge")), F.lit(0)).alias("boundary_cells"),
         )
     )
