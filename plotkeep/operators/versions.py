@@ -15,7 +15,8 @@ MANIFEST_SCHEMA = (
     "collection string, version string, version_day date, version_seq int, "
     "created timestamp, source_updated timestamp, row_count bigint, content_hash string, "
     "repaired_geometries bigint, null_geometries bigint, file_size bigint, file_checksum string, "
-    "path string, run string"
+    "path string, run string, unrepaired_geometries bigint, "
+    "columns array<struct<name:string,type:string>>, bbox struct<xmin:double,ymin:double,xmax:double,ymax:double>"
 )
 
 

@@ -10,15 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotkeep.functions import geometry as G
+from plotkeep.functions import wkb as W
 from plotkeep.functions.projection import mercator_to_lonlat
 from plotkeep.operators.cluster import hilbert_sorted
 from plotkeep.operators.content import content_hash
+from plotkeep.operators.gates import sync_gate
 from plotkeep.operators.legend import legend_drift
 from plotkeep.operators.refresh import due_decisions
-from plotkeep.operators.validity import FLAGS, quality_counters, repair_geometries
-from plotkeep.operators.versions import MANIFEST_SCHEMA, newest, next_labels
+from plotkeep.operators.validity import quality_counters, repair_geometries
+from plotkeep.operators.versions import MANIFEST_SCHEMA, newest, next_labels, stamp_check
 from plotkeep.session import cut_lineage
 from plotkeep.sources import tables as S
+from plotkeep.sources.pages import page_completeness
 
 ROWS_PER_FILE = 1_000_000
 REPORT_SCHEMA = "collection string, status string, detail string, version string, row_count bigint"
@@ -42,26 +45,68 @@ class Extract:
     source_updated: datetime
     count_before: int
     count_after: int
-    parts: str | None = None  # geometry column of spatial collections
+    parts: str | None = None  # geometry column of spatial collections, as nested arrays
+    geometry: str | None = None  # or as WKB, which is what gets published then
     web_mercator: bool = False  # the geometry still is in the service's projection
     rules: DataFrame | None = None
+    pages: DataFrame | None = None  # the landed pages, if completeness is to be read from them
 
 
-def _prepared(extract: Extract) -> tuple[DataFrame, DataFrame | None]:
-    """Reproject, repair and cluster a spatial collection; others are taken as they are.
+def _prepared(extract: Extract) -> tuple[DataFrame, DataFrame | None, list[str]]:
+    """Decode, reproject, repair and cluster a spatial collection; others are taken as they are.
 
-    Also the repaired rows with their flags, for the counts; the flags are not published.
+    Also the repaired rows with their flags, for the counts, and the folders to remove in the end. Attributes travel
+    in a struct meanwhile, so no flag meets a column of the same name; ``bbox``
+    is derived from the geometry and replaced. WKB keeps its bytes unless the
+    shape was reprojected or repaired.
     """
-    if extract.parts is None:
-        return extract.rows, None
-    rows = extract.rows
+    column = extract.geometry or extract.parts
+    if column is None:
+        return extract.rows, None, []
+    names = [c for c in extract.rows.columns if c != "bbox"]
+    attributes = F.struct(*[c for c in names if c != column])
+    parts = W.from_wkb(F.col(column)) if extract.geometry else F.col(column)
+    rows = extract.rows.select(attributes.alias("row"), F.col(column).alias("source"), parts.alias("parts"))
     if extract.web_mercator:
-        rows = rows.withColumn(extract.parts, G.map_points(F.col(extract.parts), mercator_to_lonlat))
-    checked = repair_geometries(rows.withColumn("bbox", G.bbox(F.col(extract.parts))), extract.parts)
+        rows = rows.withColumn("parts", G.map_points(F.col("parts"), mercator_to_lonlat))
+    # every check names the shape many times; written down, it is decoded and projected once
+    rows = cut_lineage(rows, "decoded")
+    checked = repair_geometries(rows.withColumn("bbox", G.bbox(F.col("parts"))))
     # range partitioning reads its input twice, so the repair is written down first
     files = max(1, -(-extract.count_before // ROWS_PER_FILE))
-    checked = cut_lineage(checked, "repaired")
-    return hilbert_sorted(checked.drop(*FLAGS), extract.id_col, partitions=files), checked
+    altered = F.lit(extract.geometry is None or extract.web_mercator) | (F.col("outcome") == "repaired")
+    checked = cut_lineage(checked.select(
+        "row", F.when(altered, F.col("parts")).alias("parts"), F.when(~altered, F.col("source")).alias("source"),
+        "bbox", "outcome", F.col("row")[extract.id_col].alias("id")), "repaired")
+    ordered = hilbert_sorted(checked, "id", partitions=files)
+    shape = F.coalesce(W.to_wkb("parts"), F.col("source")) if extract.geometry else F.col("parts")
+    published = [shape.alias(c) if c == column else F.col("row")[c].alias(c) for c in names]
+    copies = [file.rsplit("/", 1)[0] for df in (rows, checked) for file in df.inputFiles()[:1]]
+    return ordered.select(*published, "bbox"), checked, copies
+
+
+def _content(extract: Extract, data: DataFrame) -> str:
+    """Hash of the published rows, over canonical shapes."""
+    if extract.geometry:
+        data = data.withColumn(extract.geometry, W.from_wkb(F.col(extract.geometry)))
+    return content_hash(data, parts=extract.geometry or extract.parts).first().content_hash
+
+
+def _extent(data: DataFrame):
+    box = F.col("bbox")
+    return data.agg(
+        F.min(box.xmin).alias("xmin"), F.min(box.ymin).alias("ymin"), F.max(box.xmax).alias("xmax"), F.max(box.ymax).alias("ymax")
+    ).first()
+
+
+def _require_all_pages(extract: Extract) -> None:
+    """Landed pages that leave gaps, overlap or do not end are refused, as is another number of rows than they hold."""
+    name = extract.collection
+    read = page_completeness(extract.pages.where(F.col("collection") == name)).first()
+    if read is None or not read.complete:
+        raise Refused(f"the landed pages of {name} are not one complete read")
+    if read.row_count != extract.count_before:
+        raise Refused(f"the landed pages hold {read.row_count} rows of {extract.count_before}")
 
 
 def _checksum(spark: SparkSession, folder: str):
@@ -84,8 +129,9 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
     manifest = S.read_manifest(spark, root).where(F.col("collection") == name)
     current = newest(manifest).first()
     staged = S.version_path(root, name, run)
-    rows, checked = _prepared(extract)
-    copies = checked.inputFiles()[:1] if checked is not None else []
+    if extract.pages is not None:
+        _require_all_pages(extract)
+    rows, checked, copies = _prepared(extract)
     try:
         S.write_table(rows, staged)
         report = _commit(spark, root, extract, now, run, manifest, current, staged, checked)
@@ -93,8 +139,8 @@ def refresh_one(spark: SparkSession, root: str, extract: Extract, now: datetime,
         S.remove_folder(spark, staged)
         raise
     finally:
-        for file in copies:
-            S.remove_folder(spark, file.rsplit("/", 1)[0])
+        for folder in copies:
+            S.remove_folder(spark, folder)
     if current is not None and report[3] == current.version:
         S.remove_folder(spark, staged)
     return report
@@ -107,14 +153,14 @@ def _commit(
     """The gates over what was staged, and the record of the new version."""
     name = extract.collection
     data = spark.read.parquet(staged)
-    facts = content_hash(data, parts=extract.parts).first()
-    row_count = int(facts.content_hash.rsplit(":", 1)[1])
+    content = _content(extract, data)
+    row_count = int(content.rsplit(":", 1)[1])
     if not (extract.count_before == extract.count_after == row_count):
         raise Refused(
             f"wrote {row_count} rows, the source reported {extract.count_before} before "
             f"and {extract.count_after} after; it changed during the extract"
         )
-    if current is not None and facts.content_hash == current.content_hash:
+    if current is not None and content == current.content_hash:
         S.append_rows(spark, [(name, extract.source_updated, now)], S.CHECKS_SCHEMA, f"{root}/checks")
         return name, "ok", f"rows unchanged since version {current.version}", current.version, row_count
 
@@ -133,14 +179,17 @@ def _commit(
 
     wanted = spark.createDataFrame([(name, now.date())], "collection string, day date")
     label = next_labels(manifest, wanted).first()
-    repaired = nulls = 0
+    repaired = nulls = unrepaired = 0
+    box = None
     if checked is not None:
         quality = quality_counters(checked).first()
-        repaired, nulls = quality.repaired_geometries, quality.null_geometries
+        repaired, nulls, unrepaired = quality.repaired_geometries, quality.null_geometries, quality.unrepaired_geometries
+        box = _extent(data)
     files = _checksum(spark, staged)
     record = (
         name, label.version, label.day, label.version_seq, now, extract.source_updated, row_count,
-        facts.content_hash, repaired, nulls, files.file_size, files.file_checksum, staged, run,
+        content, repaired, nulls, files.file_size, files.file_checksum, staged, run,
+        unrepaired, [(f.name, f.dataType.simpleString()) for f in data.schema], box,
     )
     S.append_rows(spark, [record], MANIFEST_SCHEMA, f"{root}/manifest")
     return name, "ok", f"version {label.version}: {row_count} rows", label.version, row_count
@@ -158,14 +207,36 @@ def _guarded(
         return collection, "error", str(exc).split("\n")[0], None, None
 
 
+def _require_sync(spark: SparkSession, root: str, published: DataFrame | None) -> None:
+    if published is not None:
+        ahead = sync_gate(published, S.read_manifest(spark, root)).count()
+        if ahead:
+            raise Refused(f"{ahead} published versions are not recorded under {root}")
+
+
+def stamp(spark: SparkSession, root: str) -> bool:
+    """Renew the root's stamp if a collection is newer than it; whether that was so."""
+    moment = F.date_format("created", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    updated = newest(S.read_manifest(spark, root)).select(moment.alias("updated"))
+    found = stamp_check(updated, S.read_stamps(spark, root)).first()
+    if found.needs_stamp:
+        S.append_rows(spark, [(found.newest,)], S.STAMP_SCHEMA, f"{root}/stamps")
+    return found.needs_stamp
+
+
 def refresh_all(
-    spark: SparkSession, root: str, extracts: Sequence[Extract], now: datetime, run: str
+    spark: SparkSession, root: str, extracts: Sequence[Extract], now: datetime, run: str,
+    published: DataFrame | None = None,
 ) -> DataFrame:
     """Refresh each collection on its own; one that fails does not stop the others.
 
     The loop runs over collections, the data of each is processed by Spark.
+    With ``published`` (collection, version), nothing is begun unless every
+    published version is recorded here; the root's stamp is renewed at the end.
     """
+    _require_sync(spark, root, published)
     report = [_guarded(spark, root, e.collection, lambda e=e: e, now, run) for e in extracts]
+    stamp(spark, root)
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 
@@ -178,16 +249,20 @@ def decide_due(
 
 def run_due(
     spark: SparkSession, root: str, decisions: DataFrame, extract: Callable[[str], Extract], now: datetime, run: str,
-    dry_run: bool = False,
+    dry_run: bool = False, published: DataFrame | None = None,
 ) -> DataFrame:
     """One whole run: collections that are not due are reported as skipped, the others refreshed.
 
     ``extract`` is called only for due collections. A dry run reports them as due.
+    ``published`` and the stamp are as in ``refresh_all``.
     """
+    _require_sync(spark, root, published)
     report = []
     for row in decisions.orderBy("collection").toLocalIterator():
         if not row.due or dry_run:
             report.append((row.collection, "due" if row.due else "skipped", row.reason, None, None))
         else:
             report.append(_guarded(spark, root, row.collection, lambda: extract(row.collection), now, run))
+    if not dry_run:
+        stamp(spark, root)
     return spark.createDataFrame(report, REPORT_SCHEMA)

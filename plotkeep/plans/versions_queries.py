@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plotkeep.functions import clean as C
+from plotkeep.functions import wkb as W
 from plotkeep.operators import gates, objects, profile, refresh, versions
 from plotkeep.operators.versions import MANIFEST_SCHEMA
 from plotkeep.plans.refresh_run import Extract, refresh_all
 from plotkeep.plans.registry import query, table
+from plotkeep.plans.spatial_queries import defective_lots
 from plotkeep.session import scratch_path
 from plotkeep.sources import tables as S
 
@@ -386,6 +388,68 @@ def refresh_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("run", "collection", "status", "version", "row_count")
 
 
+@query(
+    "refresh_run_spatial",
+    """
+    WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE p_partkey % 7 IN (0, 3)) AS repaired,
+                      count(*) FILTER (WHERE p_partkey % 7 = 2) AS unrepaired,
+                      count(*) FILTER (WHERE p_partkey % 7 = 4) AS nulls,
+                      round(max(p_partkey % 50 * 10 + (4 + p_size) * CASE WHEN p_partkey % 7 = 2 THEN 2 ELSE 1 END)
+                            FILTER (WHERE p_partkey % 7 <> 4) / 6378137 * 180 / pi(), 9) AS xmax
+               FROM part)
+    SELECT 1 AS run, 'lots' AS collection, 'ok' AS status, '2024-03-01' AS version, n AS row_count, repaired, unrepaired,
+           nulls, xmax FROM n
+    UNION ALL SELECT 1, 'moving', 'error', NULL, NULL, NULL, NULL, NULL, NULL FROM n
+    UNION ALL SELECT 2, 'lots', 'ok', '2024-03-01', n, repaired, unrepaired, nulls, xmax FROM n
+    UNION ALL SELECT 3, 'lots', 'error', NULL, NULL, NULL, NULL, NULL, NULL FROM n
+    UNION ALL SELECT 4, 'lots', 'ok', '2024-03-01-2', n, repaired, unrepaired, nulls, xmax FROM n
+    """,
+)
+def refresh_run_spatial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs over WKB shapes in the service's projection, a seventh of them null, others defective.
+
+    ``lots`` comes again with turned rings in another order (no new version), then with an
+    attribute changed, at first without its last page; ``moving`` changes while read.
+    """
+    lots = defective_lots(spark, sf_dir).drop("bbox").withColumn("outcome", F.col("p_brand"))
+    # a flat ring has no direction, and a crossing is rounded by the order of its edges
+    turned = F.when((F.col("p_partkey") % 7).isin(2, 3), F.col("parts")).otherwise(
+        F.transform("parts", lambda part: F.transform(part, F.reverse)))
+    n = lots.count()
+    root = scratch_path(spark, "refresh-run-spatial")
+    moments = [datetime(2024, 3, 1, hour, tzinfo=timezone.utc) for hour in (7, 9, 11, 13)]
+    changed = lots.withColumn("outcome", F.lit("changed"))
+
+    def extract(name: str, rows: DataFrame, after: int = n, pages: DataFrame | None = None) -> Extract:
+        rows = rows.withColumn("geometry", W.to_wkb("parts")).drop("parts")
+        return Extract(name, rows, "p_partkey", moments[0], n, after, geometry="geometry", web_mercator=True, pages=pages)
+
+    # a page of one row per lot, and an empty one at the end
+    first_key = table(spark, sf_dir, "part").agg(F.min("p_partkey")).first()[0]
+    keys = table(spark, sf_dir, "part").select(F.col("p_partkey") - F.lit(first_key))
+    pages = keys.toDF("page_offset").select(
+        F.lit("lots").alias("collection"), "page_offset",
+        F.lit('{"features": [{"attributes": {}}], "exceededTransferLimit": true}').alias("body"))
+    last = spark.createDataFrame([("lots", n, '{"features": []}')], pages.schema)
+    runs = [
+        [extract("lots", lots), extract("moving", lots, n + 1)],
+        [extract("lots", lots.withColumn("parts", turned).orderBy(F.desc("p_partkey")))],
+        [extract("lots", changed, pages=pages)],
+        [extract("lots", changed, pages=pages.union(last))],
+    ]
+    out = None
+    for i, (extracts, moment) in enumerate(zip(runs, moments), 1):
+        known = S.read_manifest(spark, root).select("collection", "version")
+        done = refresh_all(spark, root, extracts, moment, f"run{i}", known).withColumn("run", F.lit(i))
+        out = done if out is None else out.union(done)
+    facts = S.read_manifest(spark, root).select(
+        "collection", "version", F.col("repaired_geometries").alias("repaired"),
+        F.col("unrepaired_geometries").alias("unrepaired"), F.col("null_geometries").alias("nulls"),
+        F.round("bbox.xmax", 9).alias("xmax"))
+    report = out.select("run", "collection", "status", "version", "row_count")
+    return report.join(facts, ["collection", "version"], "left")
+
+
 def store(spark: SparkSession, root: str, collection: str, rows: DataFrame, day: datetime, seq: int = 1) -> str:
     """Write a version and its record; the folder it lies in."""
     label = day.strftime("%Y-%m-%d") + (f"-{seq}" if seq > 1 else "")
@@ -393,7 +457,7 @@ def store(spark: SparkSession, root: str, collection: str, rows: DataFrame, day:
     S.write_table(rows, path)
     files = S.folder_checksums(S.file_digests(spark, path)).first()
     record = (collection, label, day.date(), seq, day, day, rows.count(), "", 0, 0, files.file_size, files.file_checksum,
-              path, f"run-{label}")
+              path, f"run-{label}", 0, [(f.name, f.dataType.simpleString()) for f in rows.schema], None)
     S.append_rows(spark, [record], MANIFEST_SCHEMA, f"{root}/manifest")
     return path
 

@@ -25,6 +25,7 @@ from plotkeep.functions.hashing import hash_sum
 from plotkeep.operators.versions import MANIFEST_SCHEMA, as_of, newest, with_version_order
 
 CHECKS_SCHEMA = "collection string, source_updated timestamp, checked timestamp"
+STAMP_SCHEMA = "updated string"
 
 
 def version_path(root: str, collection: str, run: str) -> str:
@@ -50,6 +51,11 @@ def read_manifest(spark: SparkSession, root: str) -> DataFrame:
     return _read_or_empty(spark, f"{root}/manifest", MANIFEST_SCHEMA)
 
 
+def read_stamps(spark: SparkSession, root: str) -> DataFrame:
+    """(updated) of every stamp the root carried; the newest holds."""
+    return _read_or_empty(spark, f"{root}/stamps", STAMP_SCHEMA)
+
+
 def read_checks(spark: SparkSession, root: str) -> DataFrame:
     """The newest check of each collection. Checks older than its newest version are obsolete."""
     stored = _read_or_empty(spark, f"{root}/checks", CHECKS_SCHEMA)
