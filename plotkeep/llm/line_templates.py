@@ -102,7 +102,7 @@ def leaf_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     ).where((F.col("fixed_n") >= CONSTANT * F.col("n")) & (F.col("fixed_n") < F.col("n")))
     fixed = top.where("fixed").join(shape, "leaf").select("leaf", "pos", "constant", "fixed_n")
     agree = (
-        cells.join(fixed, ["leaf", "pos"])
+        cells.join(sized(kept(fixed, "fixed")), ["leaf", "pos"])
         .groupBy("leaf", "line")
         .agg(F.count_if(F.col("token") == F.col("constant")).alias("same"), F.first("fixed_n").alias("fixed_n"))
         .where(F.col("same") >= AGREE * F.col("fixed_n"))
@@ -128,6 +128,8 @@ def recurring(lines: DataFrame) -> DataFrame:
         .groupBy("template").agg(F.count("*").alias("docs"), F.min("n").alias("n"))
         .where(F.col("docs") >= MIN_DOCS)
     )
+    # written first: a join beyond the broadcast's size then reads both sides from shuffles, and hot templates are split
+    spread = sized(kept(spread, "spread"))
     counted = lines.drop("n").join(spread, "template", "left").withColumn("docs", F.coalesce("docs", F.lit(1)))
     enough = (F.col("docs") >= MIN_DOCS) & (F.col("docs") * F.col("n") >= MIN_EVIDENCE)
     around = _surroundings(counted).where(enough)
