@@ -253,3 +253,12 @@ def test_dissolve_against_cell_centres(spark):
         assert got[zone].dissolved_area == pytest.approx(cells * side * side)
         assert got[zone].raw_area > got[zone].dissolved_area
         assert got[zone].boundary_cells > 0
+
+
+def test_dissolve_of_runs_over_many_blocks(spark):
+    boxes = [(-130.0, -2.0, 70.0, 1.0), (-64.0, 0.0, 64.0, 3.0), (63.0, -2.0, 129.0, -1.0)]
+    ground = {(x, y) for x0, y0, x1, y1 in boxes for x in range(int(x0), int(x1)) for y in range(int(y0), int(y1))}
+    parts = [[[[(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]]] for x0, y0, x1, y1 in boxes]
+    got = dissolved_area(shapes(spark, *parts).withColumn("zone", F.lit("a")), "zone", 1.0).first()
+    raw = sum((x1 - x0) * (y1 - y0) for x0, y0, x1, y1 in boxes)
+    assert tuple(got) == ("a", 3, raw, float(len(ground)), 0)

@@ -13,7 +13,7 @@ from plotkeep.operators.refresh import due_decisions
 from plotkeep.operators.skew import split_hot_keys
 from plotkeep.operators.tiles import tile_counts, tile_features
 from plotkeep.operators.validity import repair_geometries
-from plotkeep.plans.refresh_run import Extract, refresh_all
+from plotkeep.plans.refresh_run import Extract, Refused, refresh_all
 from plotkeep.sources import tables as S
 from plotkeep.sources.pages import page_completeness
 
@@ -122,3 +122,29 @@ def test_keys_hot_on_either_side_meet_once(spark):
     got = sorted((r.a, r.b) for r in one.join(two, on).collect())
     assert got == sorted((a, b) for a in range(90) for b in range(120) if a % 3 == b % 3 + 1)
     assert two.where("k = 2").select("_salt", "_cut").distinct().count() > 3
+
+
+def test_refresh_refuses_first_and_stamps_last(spark, tmp_path):
+    root = str(tmp_path)
+    rows = spark.range(3)
+    page = '{"features": [{"attributes": {}}, {"attributes": {}}, {"attributes": {}}]%s}'
+
+    def run(label, published=None, body=page % "", n=3):
+        pages = spark.createDataFrame([("c", 0, body)], "collection string, page_offset long, body string")
+        extract = Extract("c", rows, "id", NOW, n, n, pages=pages)
+        return refresh_all(spark, root, [extract], NOW, label, published).first()
+
+    assert run("r1", body=page % ', "exceededTransferLimit": true').status == "error"
+    assert run("r2", n=4).detail == "the landed pages hold 3 rows of 4"
+    assert S.read_stamps(spark, root).count() == 0
+    assert run("r3").version == "2025-06-02"
+    assert [r.updated for r in S.read_stamps(spark, root).collect()] == ["2025-06-02T08:00:00Z"]
+    facts = S.read_manifest(spark, root).first()
+    assert [tuple(c) for c in facts.columns] == [("id", "bigint")] and facts.bbox is None
+    ahead = spark.createDataFrame([("c", "2025-06-02"), ("c", "2025-07-01"), ("d", None)], "collection string, version string")
+    with pytest.raises(Refused, match="1 published versions"):
+        run("r4", ahead)
+    assert folders(spark, root) == ["r3"]
+    # an unchanged collection leaves the stamp as it is
+    assert run("r5", ahead.limit(1)).detail.startswith("rows unchanged")
+    assert S.read_stamps(spark, root).count() == 1
