@@ -8,10 +8,12 @@ template. A template that recurs across documents is dropped from all of them.
 
 Whole copies of a document are another stage's work and must not be hollowed
 out here, so recurrence asks for different surroundings: a line that comes
-along with the text around it is part of a copy. Neighbouring lines that stand
-in equally many documents are one passage; what precedes and follows a passage
-is told by the leading tokens of the next line outside it, which edits seldom
-reach. A template is dropped if it stands in ``MIN_DOCS`` documents or more,
+along with the text around it is part of a copy. A line reaches the documents
+that have it, or its leading tokens beside a neighbour's; edits seldom reach
+both. Neighbouring lines that reach more than about half of a line's documents
+are its passage; what precedes and follows the passage is told by the leading
+tokens of the next line outside it. Where more than two thirds of a document's
+lines reach so far, it is a copy and has no surroundings. A template is dropped if it stands in ``MIN_DOCS`` documents or more,
 documents times tokens reach ``MIN_EVIDENCE``, and no surrounding line goes with
 it in more than half of its documents, or none on one side in half of them.
 
@@ -35,6 +37,10 @@ MIN_EVIDENCE = 40
 MIN_VARIANTS = 4
 CONSTANT = 0.6
 AGREE = 0.8
+# A document is a copy if more than this share of its lines goes with a line.
+WHOLE = 2 / 3
+# Numbers of documents up to twice this are halved exactly.
+EXACT = 8
 # Leaves and templates up to this number are sent to all tasks; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -110,15 +116,50 @@ def leaf_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
     return agree.select("line", F.xxhash64(F.col("leaf"), F.lit("template")).alias("template"))
 
 
-def _surroundings(lines: DataFrame) -> DataFrame:
-    """Lines with the leads of the nearest lines before and after them that stand in another number of documents."""
+def _half(docs: Column) -> Column:
+    """Half of ``docs``: exact for small numbers, else rounded up to a power of the square root of two."""
+    half = F.floor(docs / 2)
+    step = F.ceil(F.log2(half) * 2 - 1e-9)
+    return F.when(half <= EXACT, half).otherwise(F.ceil(F.pow(F.lit(2.0), step / 2) - 1e-9)).cast("long")
+
+
+def _reaching(lines: DataFrame) -> DataFrame:
+    """Lines of documents with a recurring line, and ``reach``: the documents that have the line, or its and a neighbour's lead.
+
+    Edited lines of copies seldom lose their leads, so they reach as far as the lines beside them.
+    """
+    doc = Window.partitionBy("doc_id", "copy")
+    order = doc.orderBy("no")
+    lines = lines.withColumns({
+        "most": F.max("docs").over(doc),
+        "last": F.xxhash64(F.lag("lead").over(order), "lead"), "next": F.xxhash64("lead", F.lead("lead").over(order))})
+    lines = kept(lines.where(F.col("most") >= MIN_DOCS).drop("most"), "neighbours")
+    pairs = (
+        lines.select(F.col("last").alias("pair"), "doc_id", "copy").distinct()
+        .groupBy("pair").agg(F.count("*").alias("met")).where(F.col("met") >= MIN_DOCS)
+    )
+    pairs = sized(kept(pairs, "pairs"))
+    for name in ("last", "next"):
+        lines = lines.join(pairs.select(F.col("pair").alias(name), F.col("met").alias(f"{name}_met")), name, "left").drop(name)
+    return lines.withColumn("reach", F.greatest("docs", "last_met", "next_met")).drop("last_met", "next_met")
+
+
+def _surroundings(lines: DataFrame, halves: list[int]) -> DataFrame:
+    """Lines with the leads of the nearest lines outside their passage, and ``common``: what most of the document reaches.
+
+    Outside are the lines that reach at most ``half`` documents. ``halves`` are all values of ``half``.
+    """
     doc = Window.partitionBy("doc_id", "copy")
+    place = F.lit(0).cast("int")
+    for k, half in enumerate(halves):
+        place = F.when(F.col("half") == half, F.lit(k)).otherwise(place)
     for name, order in (("before", F.col("no").asc()), ("after", F.col("no").desc())):
-        w = doc.orderBy(order)
-        change = F.when(F.lag("docs").over(w) != F.col("docs"), F.lag("lead").over(w))
-        lines = lines.withColumn("change", change).withColumn(
-            name, F.last("change", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return lines.drop("change")
+        past = doc.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        nearest = [F.last(F.when(F.col("reach") <= half, F.col("lead")), ignorenulls=True).over(past) for half in halves]
+        # nothing recurs where there are no halves
+        lines = lines.withColumn(name, F.get(F.array(*nearest), place) if nearest else F.lit(None).cast("long"))
+    # all but a third of the lines reach so many documents
+    return lines.withColumn("common", F.percentile("reach", F.lit(1 - WHOLE)).over(doc))
 
 
 def recurring(lines: DataFrame) -> DataFrame:
@@ -127,12 +168,17 @@ def recurring(lines: DataFrame) -> DataFrame:
         lines.groupBy("template", "doc_id", "copy").agg(F.min("n").alias("n"))
         .groupBy("template").agg(F.count("*").alias("docs"), F.min("n").alias("n"))
         .where(F.col("docs") >= MIN_DOCS)
+        .withColumn("half", _half(F.col("docs")))
     )
     # written first: a join beyond the broadcast's size then reads both sides from shuffles, and hot templates are split
-    spread = sized(kept(spread, "spread"))
-    counted = lines.drop("n").join(spread, "template", "left").withColumn("docs", F.coalesce("docs", F.lit(1)))
+    spread = kept(spread, "spread")
+    halves = sorted(r.half for r in spread.select("half").distinct().collect())  # a few dozen numbers
+    counted = lines.drop("n").join(sized(spread), "template", "left").withColumn("docs", F.coalesce("docs", F.lit(1)))
     enough = (F.col("docs") >= MIN_DOCS) & (F.col("docs") * F.col("n") >= MIN_EVIDENCE)
-    around = _surroundings(counted).where(enough)
+    around = _surroundings(_reaching(counted), halves).where(enough)
+    # most of the document comes along: a copy, of which edited lines are no surroundings
+    whole = F.col("common") > F.col("half")
+    around = around.withColumns({side: F.when(~whole, F.col(side)) for side in ("before", "after")})
     per_doc = around.groupBy("template", "docs", "doc_id", "copy").agg(
         F.min("before").alias("before"), F.min("after").alias("after"))
     beside = per_doc.select("template", "docs", F.explode(F.array(

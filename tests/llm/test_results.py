@@ -185,6 +185,52 @@ def test_recurring_lines_go_and_copies_stay(spark):
     assert all(got[i] == text for i, text in rows[12:])
 
 
+def _sentences(seed):
+    rng = random.Random(seed)
+    return lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+
+
+def _cleaned(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r.doc_id: r.text for r in line_templates.dedup_lines(docs).collect()}
+
+
+def test_passages_with_edited_lines_go_whole(spark):
+    """Lines of one passage stand in different numbers of documents; a line between more frequent ones goes as well."""
+    sentence = _sentences(11)
+    passage, framed, header, footer = [sentence(25) for _ in range(3)], sentence(25), sentence(22), sentence(24)
+    rows, expected = [], {}
+    for i in range(40):
+        own = [sentence(12) for _ in range(8)]
+        middle = list(passage)
+        if i < 6:
+            edited = i % 3
+            middle[edited] = middle[edited] + f" edit{sentence(1)}"
+        # the last token keeps an edited line's lead: it stays, being one document's own
+        rows.append((i, "\n".join(own[:4] + middle + own[4:])))
+        expected[i] = "\n".join(own[:4] + [x for x in middle if x not in passage] + own[4:])
+    for i in range(100, 130):
+        own = [sentence(12) for _ in range(8)]
+        block = [header, framed, footer] if i < 112 else [header, sentence(25), footer]
+        rows.append((i, "\n".join(own[:3] + block + own[3:])))
+        expected[i] = "\n".join(x for x in rows[-1][1].split("\n") if x not in (header, framed, footer))
+    assert _cleaned(spark, rows) == expected
+
+
+def test_edited_copies_are_not_hollowed(spark):
+    """Copies with edits on different lines, some of which reach the leading tokens."""
+    sentence = _sentences(12)
+    base, rows = [sentence(25) for _ in range(20)], []
+    for i in range(12):
+        lines = list(base)
+        for k in (i, (i * 7 + 3) % 20):
+            words = lines[k].split()
+            words[(i * 5) % 25] = f"e{sentence(1)}"
+            lines[k] = " ".join(words)
+        rows.append((i, "\n".join(lines)))
+    assert _cleaned(spark, rows) == dict(rows)
+
+
 def test_packed_sequences_are_full():
     rng = random.Random(4)
     for lengths in ([1], [1024], [1025, 3], [rng.randrange(1, 5000) for _ in range(300)], [700] * 7, []):
