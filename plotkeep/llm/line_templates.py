@@ -15,7 +15,9 @@ are its passage; what precedes and follows the passage is told by the leading
 tokens of the next line outside it. Where more than two thirds of a document's
 lines reach so far, it is a copy and has no surroundings. A template is dropped if it stands in ``MIN_DOCS`` documents or more,
 documents times tokens reach ``MIN_EVIDENCE``, and no surrounding line goes with
-it in more than half of its documents, or none on one side in half of them.
+it in more than half of its votes, or none on one side in half of them. Equal
+surroundings are one vote, however many documents have them, and so are all
+copies together.
 
 Cases: null and empty texts have no lines and stay as they are; blank lines are
 kept and are nobody's neighbour; a text that is one passage has no surroundings
@@ -41,6 +43,8 @@ AGREE = 0.8
 WHOLE = 2 / 3
 # Numbers of documents up to twice this are halved exactly.
 EXACT = 8
+# Stands for both surroundings of a line in copies.
+COPIES = 0
 # Leaves and templates up to this number are sent to all tasks; more are joined by shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -176,24 +180,29 @@ def recurring(lines: DataFrame) -> DataFrame:
     counted = lines.drop("n").join(sized(spread), "template", "left").withColumn("docs", F.coalesce("docs", F.lit(1)))
     enough = (F.col("docs") >= MIN_DOCS) & (F.col("docs") * F.col("n") >= MIN_EVIDENCE)
     around = _surroundings(_reaching(counted), halves).where(enough)
-    # most of the document comes along: a copy, of which edited lines are no surroundings
-    whole = F.col("common") > F.col("half")
-    around = around.withColumns({side: F.when(~whole, F.col(side)) for side in ("before", "after")})
-    per_doc = around.groupBy("template", "docs", "doc_id", "copy").agg(
-        F.min("before").alias("before"), F.min("after").alias("after"))
-    beside = per_doc.select("template", "docs", F.explode(F.array(
+    # Most of the document comes along: a copy, of which edited lines are no surroundings. All copies have one vote, or
+    # none if most of the document goes with the line everywhere and the text is the passage itself.
+    whole, itself = F.col("common") > F.col("half"), F.col("common") >= F.col("docs")
+    copies = F.when(~itself, F.lit(COPIES))
+    around = around.withColumns({side: F.when(whole, copies).otherwise(F.col(side)) for side in ("before", "after")})
+    per_doc = around.groupBy("template", "doc_id", "copy").agg(F.min("before").alias("before"), F.min("after").alias("after"))
+    # equal surroundings are copies of one carrier and vote once
+    votes = per_doc.select("template", "before", "after").where("before IS NOT NULL OR after IS NOT NULL").distinct()
+    beside = votes.select("template", F.explode(F.array(
         F.struct(F.lit(True).alias("before"), F.col("before").alias("lead")),
         F.struct(F.lit(False).alias("before"), F.col("after").alias("lead")))).alias("s"))
+    known = F.col("lead").isNotNull()
     shares = (
-        beside.select("template", "docs", "s.before", "s.lead").where(F.col("lead").isNotNull())
-        .groupBy("template", "docs", "before", "lead").agg(F.count("*").alias("times"))
-        .groupBy("template", "docs", "before").agg(F.max("times").alias("top"), F.sum("times").alias("known"))
-        # a side that most documents lack (the text begins or ends there) says nothing
-        .where(F.col("known") * 2 >= F.col("docs"))
-        .groupBy("template", "docs")
-        .agg(F.max(F.col("top") / F.col("docs")).alias("strongest"), F.min(F.col("top") / F.col("docs")).alias("weakest"))
+        beside.groupBy("template", "s.before", "s.lead").agg(F.count("*").alias("times"))
+        .groupBy("template", "before").agg(
+            F.max(F.when(known, F.col("times"))).alias("top"), F.sum(F.when(known, F.col("times"))).alias("known"),
+            F.sum("times").alias("votes"))
+        # a side that most voters lack (the text begins or ends there) says nothing
+        .where(F.col("known") * 2 >= F.col("votes"))
+        .groupBy("template")
+        .agg(F.max(F.col("top") / F.col("votes")).alias("strongest"), F.min(F.col("top") / F.col("votes")).alias("weakest"))
     )
-    return shares.where((F.col("strongest") <= 0.5) | (F.col("weakest") < 0.5)).select("template", "docs")
+    return shares.where((F.col("strongest") <= 0.5) | (F.col("weakest") < 0.5)).select("template")
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:

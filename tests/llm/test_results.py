@@ -231,6 +231,23 @@ def test_edited_copies_are_not_hollowed(spark):
     assert _cleaned(spark, rows) == dict(rows)
 
 
+
+def test_copies_of_a_carrier_do_not_outvote_the_others(spark):
+    sentence = _sentences(13)
+    many, few, rows, expected = sentence(30), sentence(30), [], {}
+
+    def carriers(passage, copies):
+        for times in copies:
+            own = [sentence(12) for _ in range(6)]
+            for _ in range(times):
+                rows.append((len(rows), "\n".join(own[:3] + [passage] + own[3:])))
+                expected[len(rows) - 1] = "\n".join(own)
+
+    carriers(many, [60] + [1] * 10)
+    carriers(few, [2, 1])
+    assert _cleaned(spark, rows) == expected
+
+
 def test_packed_sequences_are_full():
     rng = random.Random(4)
     for lengths in ([1], [1024], [1025, 3], [rng.randrange(1, 5000) for _ in range(300)], [700] * 7, []):
