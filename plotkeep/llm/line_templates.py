@@ -14,7 +14,7 @@ both. Neighbouring lines that reach more than about half of a line's documents
 are its passage; what precedes and follows the passage is told by the leading
 tokens of the next line outside it. Where more than two thirds of a document's
 lines reach so far, it is a copy and has no surroundings. A template is dropped if it stands in ``MIN_DOCS`` documents or more,
-documents times tokens reach ``MIN_EVIDENCE``, and no surrounding line goes with
+documents times tokens of the passage reach ``MIN_EVIDENCE`` in most of them, and no surrounding line goes with
 it in more than half of its votes, or none on one side in half of them. Equal
 surroundings are one vote, however many documents have them, and so are all
 copies together.
@@ -149,19 +149,26 @@ def _reaching(lines: DataFrame) -> DataFrame:
 
 
 def _surroundings(lines: DataFrame, halves: list[int]) -> DataFrame:
-    """Lines with the leads of the nearest lines outside their passage, and ``common``: what most of the document reaches.
+    """Lines with the leads of the nearest lines outside their passage, its ``tokens``, and ``common``: what most of the document reaches.
 
     Outside are the lines that reach at most ``half`` documents. ``halves`` are all values of ``half``.
     """
     doc = Window.partitionBy("doc_id", "copy")
+    # tokens up to each line's end, and so up to where a passage begins and ends
+    lines = lines.withColumn("end", F.sum("n").over(doc.orderBy("no").rowsBetween(Window.unboundedPreceding, 0)))
+    lines = lines.withColumn("size", F.sum("n").over(doc))
     place = F.lit(0).cast("int")
     for k, half in enumerate(halves):
         place = F.when(F.col("half") == half, F.lit(k)).otherwise(place)
     for name, order in (("before", F.col("no").asc()), ("after", F.col("no").desc())):
         past = doc.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        nearest = [F.last(F.when(F.col("reach") <= half, F.col("lead")), ignorenulls=True).over(past) for half in halves]
+        line = F.struct("lead", "n", "end")
+        nearest = [F.last(F.when(F.col("reach") <= half, line), ignorenulls=True).over(past) for half in halves]
         # nothing recurs where there are no halves
-        lines = lines.withColumn(name, F.get(F.array(*nearest), place) if nearest else F.lit(None).cast("long"))
+        lines = lines.withColumn(name, F.get(F.array(*nearest), place) if nearest else F.when(F.lit(False), line))
+    begin = F.coalesce("before.end", F.lit(0))
+    tokens = F.coalesce(F.col("after.end") - F.col("after.n"), "size") - begin
+    lines = lines.withColumns({"tokens": tokens, "before": F.col("before.lead"), "after": F.col("after.lead")})
     # all but a third of the lines reach so many documents
     return lines.withColumn("common", F.percentile("reach", F.lit(1 - WHOLE)).over(doc))
 
@@ -169,34 +176,38 @@ def _surroundings(lines: DataFrame, halves: list[int]) -> DataFrame:
 def recurring(lines: DataFrame) -> DataFrame:
     """Templates that recur across documents in different surroundings. ``lines`` has a ``template`` per row."""
     spread = (
-        lines.groupBy("template", "doc_id", "copy").agg(F.min("n").alias("n"))
-        .groupBy("template").agg(F.count("*").alias("docs"), F.min("n").alias("n"))
+        lines.select("template", "doc_id", "copy").distinct()
+        .groupBy("template").agg(F.count("*").alias("docs"))
         .where(F.col("docs") >= MIN_DOCS)
         .withColumn("half", _half(F.col("docs")))
     )
     # written first: a join beyond the broadcast's size then reads both sides from shuffles, and hot templates are split
     spread = kept(spread, "spread")
     halves = sorted(r.half for r in spread.select("half").distinct().collect())  # a few dozen numbers
-    counted = lines.drop("n").join(sized(spread), "template", "left").withColumn("docs", F.coalesce("docs", F.lit(1)))
-    enough = (F.col("docs") >= MIN_DOCS) & (F.col("docs") * F.col("n") >= MIN_EVIDENCE)
+    counted = lines.join(sized(spread), "template", "left").withColumn("docs", F.coalesce("docs", F.lit(1)))
+    enough = (F.col("docs") >= MIN_DOCS) & (F.col("docs") * F.col("tokens") >= MIN_EVIDENCE)
     around = _surroundings(_reaching(counted), halves).where(enough)
     # Most of the document comes along: a copy, of which edited lines are no surroundings. All copies have one vote, or
     # none if most of the document goes with the line everywhere and the text is the passage itself.
     whole, itself = F.col("common") > F.col("half"), F.col("common") >= F.col("docs")
     copies = F.when(~itself, F.lit(COPIES))
     around = around.withColumns({side: F.when(whole, copies).otherwise(F.col(side)) for side in ("before", "after")})
-    per_doc = around.groupBy("template", "doc_id", "copy").agg(F.min("before").alias("before"), F.min("after").alias("after"))
+    per_doc = around.groupBy("template", "docs", "doc_id", "copy").agg(
+        F.min("before").alias("before"), F.min("after").alias("after"))
     # equal surroundings are copies of one carrier and vote once
-    votes = per_doc.select("template", "before", "after").where("before IS NOT NULL OR after IS NOT NULL").distinct()
-    beside = votes.select("template", F.explode(F.array(
+    votes = per_doc.groupBy("template", "docs", "before", "after").agg(F.count("*").alias("met"))
+    vote = F.when(F.col("before").isNotNull() | F.col("after").isNotNull(), 1).otherwise(0)
+    beside = votes.select("template", "docs", "met", vote.alias("vote"), F.explode(F.array(
         F.struct(F.lit(True).alias("before"), F.col("before").alias("lead")),
         F.struct(F.lit(False).alias("before"), F.col("after").alias("lead")))).alias("s"))
     known = F.col("lead").isNotNull()
     shares = (
-        beside.groupBy("template", "s.before", "s.lead").agg(F.count("*").alias("times"))
-        .groupBy("template", "before").agg(
+        beside.groupBy("template", "docs", "s.before", "s.lead").agg(F.sum("vote").alias("times"), F.sum("met").alias("met"))
+        .groupBy("template", "docs", "before").agg(
             F.max(F.when(known, F.col("times"))).alias("top"), F.sum(F.when(known, F.col("times"))).alias("known"),
-            F.sum("times").alias("votes"))
+            F.sum("times").alias("votes"), F.sum("met").alias("met"))
+        # the passage has the evidence in most documents, not where it stands beside another one by chance
+        .where(F.col("met") * 2 > F.col("docs"))
         # a side that most voters lack (the text begins or ends there) says nothing
         .where(F.col("known") * 2 >= F.col("votes"))
         .groupBy("template")

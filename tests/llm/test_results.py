@@ -248,6 +248,21 @@ def test_copies_of_a_carrier_do_not_outvote_the_others(spark):
     assert _cleaned(spark, rows) == expected
 
 
+
+@pytest.mark.parametrize("carriers", [2, 3])
+def test_evidence_is_that_of_the_passage(spark, carriers):
+    """Six lines of ten words; a short line that two documents share by chance stays."""
+    sentence = _sentences(14)
+    passage, chance, rows, expected = [sentence(10) for _ in range(6)], sentence(4), [], {}
+    for i in range(carriers):
+        own = [sentence(12) for _ in range(9)]
+        if i < 2:
+            own[1] = chance
+        rows.append((i, "\n".join(own[:4] + passage + own[4:])))
+        expected[i] = "\n".join(own)
+    assert _cleaned(spark, rows) == expected
+
+
 def test_packed_sequences_are_full():
     rng = random.Random(4)
     for lengths in ([1], [1024], [1025, 3], [rng.randrange(1, 5000) for _ in range(300)], [700] * 7, []):
