@@ -172,8 +172,11 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
-    """(fp, near): for each fingerprint of ``queries``, the rows of ``prints`` (fp, times) within the radius, itself included."""
+def near_pairs(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """(q, fp, times): each fingerprint of ``queries`` with each of ``prints`` (fp, times) within the radius, itself included.
+
+    One row per pair of fingerprints, however many documents have them.
+    """
     masks = block_masks(radius, blocks)
 
     def keyed(df, name):
@@ -187,4 +190,9 @@ def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, blo
     # a pair counts in the first table that shows it
     first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(_signed(m))) == 0, F.lit(k)) for k, m in enumerate(masks)])
     met = left.join(right, ["table", "key"]).where((F.bit_count(differ) <= radius) & (first == F.col("table")))
-    return met.groupBy("q").agg(F.sum("times").alias("near")).withColumnRenamed("q", "fp")
+    return met.select("q", "fp", "times")
+
+
+def near_counts(prints: DataFrame, queries: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS) -> DataFrame:
+    """(fp, near): for each fingerprint of ``queries``, the rows of ``prints`` (fp, times) within the radius, itself included."""
+    return near_pairs(prints, queries, radius, blocks).groupBy("q").agg(F.sum("times").alias("near")).withColumnRenamed("q", "fp")

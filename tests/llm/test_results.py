@@ -67,6 +67,17 @@ def test_block_tables_miss_nothing(spark):
     assert got == {signed(a): 2 * sum((a ^ b).bit_count() <= 3 for b in set(near)) for a in set(near)}
 
 
+def test_near_pairs_name_the_prints_within_the_radius(spark):
+    rng = random.Random(6)
+    base = [rng.getrandbits(63) for _ in range(20)]
+    near = sorted({b ^ sum(1 << i for i in rng.sample(range(63), k)) for b in base for k in range(5)})
+    prints = spark.createDataFrame([(v, 3) for v in near], "fp long, times long")
+    got = [tuple(r) for r in simhash.near_pairs(prints, prints.select("fp").limit(60)).collect()]
+    asked = {q for q, _, _ in got}
+    assert len(asked) == 60 and len(got) == len(set(got))
+    assert set(got) == {(a, b, 3) for a in asked for b in near if (a ^ b).bit_count() <= 3}
+
+
 def word_sets(texts):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     for doc, text in texts:
