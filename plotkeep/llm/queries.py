@@ -12,12 +12,14 @@ from plotkeep.llm import (
     bitpack,
     chat,
     decontaminate,
+    divergence,
     line_templates,
     merkle,
     packing,
     quality_crf,
     simhash,
     superminhash,
+    token_counts,
     url_templates,
 )
 from plotkeep.llm.scratch import kept
@@ -193,3 +195,50 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_crf.score(docs.select("doc_id", "text"), field).select(
         "doc_id", quality_crf.held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= quality_crf.ACCEPT, 1).otherwise(0).alias("predicted"))
+
+
+@query("op12_token_counts")
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it exceeds 512 tokens."""
+    counts = token_counts.counted(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def _p13(count: str, total: str) -> str:
+    return f"1 + (1000000000 * ({count} + 2)::HUGEINT) // ({total} + 2 * v)"
+
+
+def _f13(p: str, q: str) -> str:
+    return f"(({p} - {q}) * ({p} - {q})) // ({p} + {q})"
+
+
+@query("op13_divergence", rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS r,
+    regexp_extract_all({_LOWER_SQL.format("coalesce(text, '')")}, '{divergence.TERM}') AS w
+  FROM documents),
+t AS (SELECT lang, source, r, unnest(w) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY lang, source, term),
+g AS (
+  SELECT lang, source, coalesce(v, 0) AS v, coalesce(l.total, 0) AS lang_total,
+    coalesce((SELECT sum(n) FROM c WHERE c.lang = s.lang AND c.source = s.source), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN l USING (lang)),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, {_p13("coalesce(c.n, 0)", "g.total")} AS p, {_p13("k.n", "lang_total")} AS q
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+    cast(coalesce((SELECT sum({_f13("x.p", "y.p")}) FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term
+      WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, cast({_f13("p", "q")} AS BIGINT) AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, cast(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+""")
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Differences between the sources of each language, and the terms that mark each source."""
+    return divergence.divergence(read(spark, sf_dir, "documents"))
