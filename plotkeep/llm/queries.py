@@ -16,6 +16,7 @@ from plotkeep.llm import (
     line_templates,
     merkle,
     packing,
+    periodic_runs,
     quality_crf,
     simhash,
     superminhash,
@@ -197,6 +198,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("score") >= quality_crf.ACCEPT, 1).otherwise(0).alias("predicted"))
 
 
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, a tenth of which are given a periodic end, and the texts without their repeats."""
+    return periodic_runs.periodic_runs(read(spark, sf_dir, "documents"), periodic_runs.repeat_tail, with_text=False)
+
+
 @query("op12_token_counts")
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, and whether it exceeds 512 tokens."""
