@@ -7,8 +7,9 @@ correct it together. The joint corrections come from a frequent-pattern tree:
 rows are written as paths of (source, count) in one order of sources, those
 with most terms first, equal paths once with their multiplicity, and paths that
 begin alike share nodes. Every node is corrected against each of its ancestors
-once, however many terms pass through it. A task holds the nodes of one path at
-a time: paths arrive sorted, and a node is settled when the walk leaves it.
+once, however many terms pass through it. Paths are sorted, so those that begin
+alike lie side by side; a task makes a tree of each batch of them and holds one
+level's combinations at a time.
 
 All figures are integers. Terms that too few documents of a language hold are
 left out; what is kept counts in full.
@@ -17,11 +18,12 @@ Cases: null texts, languages and sources are empty strings; sources without
 terms and languages without kept terms have their pairs, at 0 if the language
 keeps none; a language with one source has no pairs; repeated rows count each;
 ties rank by name in byte order; an empty table gives no rows; extra columns do
-not matter; long texts are split into terms by built-in functions.
+not matter; memory in a task follows the longest text.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,26 +32,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plotkeep.llm.scratch import kept
+from plotkeep.llm.text import slices
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
 MIN_DOCS = 10
 TOP_TERMS = 10
-# Pairs of sources that a task sums up before it hands them on.
-OPEN_PAIRS = 1 << 20
+# Terms that a task counts before it hands them on, and combinations of a node and an ancestor it corrects at once.
+OPEN_TERMS = 400_000
+OPEN_COMBINATIONS = 1 << 20
+
+
+# What ends a term becomes a blank, A-Z become a-z; bytes of other characters stay, so a term's bytes are its UTF-8 form.
+_CLEAN = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def _counted(batches) -> Iterator[pa.RecordBatch]:
+    """Counts of terms per language and source, handed on when ``OPEN_TERMS`` are held."""
+    groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for (lang, source), (counts, docs) in groups.items():
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * n, pa.string()), pa.array([source] * n, pa.string()),
+                 pa.array(counts.keys(), pa.binary()).cast(pa.string()),
+                 pa.array(counts.values(), pa.int64()), pa.array([docs[t] for t in counts], pa.int64())],
+                ["lang", "source", "term", "count", "docs"])
+        groups.clear()
+
+    held = 0
+    for batch, texts in slices(batches, "text"):
+        for lang, source, text in zip(batch.column("lang").to_pylist(), batch.column("source").to_pylist(), texts):
+            counts, docs = groups.setdefault((lang, source), (Counter(), Counter()))
+            terms = text.encode("utf-8").translate(_CLEAN).split()
+            held -= len(counts)
+            counts.update(terms)
+            docs.update(set(terms))
+            held += len(counts)
+            if held >= OPEN_TERMS:
+                yield from out()
+                held = 0
+    yield from out()
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, count, docs): occurrences, and documents that hold the term."""
-    terms = F.regexp_extract_all(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), F.lit(TERM), F.lit(0))
-    rows = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), terms.alias("terms"))
-    # each term once as a document's, then every occurrence; both are summed up in the tasks that split the texts
-    firsts = F.transform(F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(1).alias("of_doc")))
-    each = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(0).alias("of_doc")))
-    rows = rows.select("lang", "source", F.explode(F.concat(firsts, each)).alias("t"))
-    return rows.groupBy("lang", "source", "t.term").agg(
-        F.sum(1 - F.col("t.of_doc")).alias("count"), F.sum("t.of_doc").cast("long").alias("docs"))
+    rows = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("source", F.lit("")).alias("source"), "text")
+    counted = rows.mapInArrow(_counted, "lang string, source string, term string, count long, docs long")
+    return counted.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
 
 
 def scaled_share(count: Column, total: Column, terms: Column) -> Column:
@@ -67,73 +99,55 @@ def _difference(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) ** 2 // (p + q)
 
 
-class PathWalk:
-    """Sums of joint corrections over the nodes of a tree whose paths arrive in order.
+def tree_sums(
+    langs: np.ndarray, starts: np.ndarray, nodes: tuple[np.ndarray, np.ndarray, np.ndarray], times: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Joint corrections summed over a tree of sorted paths: language, two source places, value.
 
-    A path is (language, source places, shares, shares of a zero count) and a multiplicity.
+    Path k has the elements ``starts[k]`` to before ``starts[k + 1]`` of ``nodes``: source places, shares,
+    and shares of a zero count; it stands for ``times[k]`` terms.
     """
-
-    def __init__(self) -> None:
-        self.lang: str | None = None
-        self.path: list[tuple[int, int, int]] = []
-        self.times: list[int] = []
-        self.sums: dict[tuple[str, int, int], int] = {}
-
-    def _leave(self, depth: int) -> None:
-        """Settle the nodes below ``depth``: a node with each of its ancestors, once."""
-        while len(self.path) > depth:
-            times = self.times.pop()
-            place, share, zero = self.path.pop()
-            if self.path:
-                places, shares, zeros = np.array(self.path, np.int64).T
-                joint = (_difference(shares, share) - _difference(shares, zero)
-                         - _difference(zeros, share) + _difference(zeros, zero)) * times
-                for other, value in zip(places.tolist(), joint.tolist()):
-                    key = (self.lang, other, place)
-                    self.sums[key] = self.sums.get(key, 0) + value
-                self.times[-1] += times
-
-    def add(self, lang: str, path: list[tuple[int, int, int]], times: int) -> None:
-        shared = 0
-        if lang == self.lang:
-            for old, new in zip(self.path, path):
-                if old != new:
-                    break
-                shared += 1
-        self._leave(shared)
-        self.lang = lang
-        self.times += [0] * (len(path) - shared)
-        self.path += path[shared:]
-        # what passes through a node is added to its parent when the walk leaves it
-        self.times[-1] += times
-
-    def taken(self) -> dict[tuple[str, int, int], int]:
-        """The sums so far; nodes still open are not among them."""
-        sums, self.sums = self.sums, {}
-        return sums
-
-    def close(self) -> None:
-        self._leave(0)
+    place, share, zero = nodes
+    begin, depth = starts[:-1], np.diff(starts)
+    # how many elements a path shares with the one before
+    shared, alike = np.zeros(len(begin), np.int64), np.flatnonzero(langs[1:] == langs[:-1]) + 1
+    for level in range(int(depth.max(initial=0))):
+        alike = alike[(depth[alike] > level) & (depth[alike - 1] > level)]
+        here, last = begin[alike] + level, begin[alike - 1] + level
+        alike = alike[(place[here] == place[last]) & (share[here] == share[last])]
+        shared[alike] = level + 1
+    before = np.concatenate([[0], np.cumsum(times)])
+    for level in range(1, int(depth.max(initial=0))):
+        # a node of this depth begins where a path departs at or above it, and reaches up to the next departure
+        departs = np.flatnonzero(shared <= level)
+        until = np.append(departs[1:], len(begin))
+        is_node = depth[departs] > level
+        paths, through = departs[is_node], before[until[is_node]] - before[departs[is_node]]
+        for at in range(0, len(paths), max(1, OPEN_COMBINATIONS // level)):
+            some, many = paths[at:at + max(1, OPEN_COMBINATIONS // level)], through[at:at + max(1, OPEN_COMBINATIONS // level)]
+            above = begin[some][:, None] + np.arange(level)
+            own = begin[some] + level
+            p, p0, q, q0 = share[above], zero[above], share[own][:, None], zero[own][:, None]
+            joint = (_difference(p, q) - _difference(p, q0) - _difference(p0, q) + _difference(p0, q0)) * many[:, None]
+            one, two = place[above].ravel(), np.repeat(place[own], level)
+            lang, value = np.repeat(langs[some], level), joint.ravel()
+            order = np.lexsort((two, one, lang))
+            lang, one, two, value = lang[order], one[order], two[order], value[order]
+            new = np.flatnonzero(np.concatenate(
+                ([True], (lang[1:] != lang[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1]))))
+            yield lang[new], one[new], two[new], np.add.reduceat(value, new)
 
 
 def _walked(batches) -> Iterator[pa.RecordBatch]:
-    walk = PathWalk()
-
-    def out() -> pa.RecordBatch:
-        sums = walk.taken()
-        langs, one, two = zip(*sums) if sums else ((), (), ())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(langs, pa.string()), pa.array(one, pa.int32()), pa.array(two, pa.int32()), pa.array(list(sums.values()), pa.int64())],
-            ["lang", "one", "two", "value"])
-
     for batch in batches:
-        columns = [batch.column(name).to_pylist() for name in ("lang", "path", "times")]
-        for lang, path, times in zip(*columns):
-            walk.add(lang, [(n["place"], n["share"], n["zero"]) for n in path], times)
-            if len(walk.sums) >= OPEN_PAIRS:
-                yield out()
-    walk.close()
-    yield out()
+        path = batch.column("path")
+        nodes = tuple(path.values.field(name).to_numpy().astype(np.int64) for name in ("place", "share", "zero"))
+        coded = batch.column("lang").dictionary_encode()
+        sums = tree_sums(coded.indices.to_numpy(), path.offsets.to_numpy().astype(np.int64), nodes, batch.column("times").to_numpy())
+        for lang, one, two, value in sums:
+            yield pa.RecordBatch.from_arrays(
+                [coded.dictionary.take(pa.array(lang)), pa.array(one.astype(np.int32)), pa.array(two.astype(np.int32)), pa.array(value)],
+                ["lang", "one", "two", "value"])
 
 
 def joint_corrections(rows: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ def test_pretokens_of_settled_characters_are_the_librarys():
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(list("ab1'sStre .,_\n\t\r  \x85é²½Ⅷ日本، ۱𞤀😀") + ["<|endoftext|>", "'ll", "  "]), max_size=40).map("".join))
 def test_counts_are_the_librarys(text):
-    cutter = token_counts.Pretokenizer(BYTES)
+    cutter = token_counts.pretokenizer(BYTES)
     for frequent in ({}, {"a": 1, " ": 1}):
         assert cutter.counts([text, text], frequent) == cutter.whole([text, text])
 
@@ -220,7 +220,7 @@ def test_divergence_agrees_with_the_definition(spark, docs):
 
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.dictionaries(st.integers(1, 4), st.integers(3, 9), min_size=2), min_size=1, max_size=12))
-def test_path_walk_agrees_with_all_pairs_of_rows(rows):
+def test_tree_agrees_with_all_pairs_of_rows(rows):
     zeros = {1: 2, 2: 1, 3: 5, 4: 4}
     f = lambda a, b: (a - b) ** 2 // (a + b)
     plain = Counter()
@@ -230,11 +230,14 @@ def test_path_walk_agrees_with_all_pairs_of_rows(rows):
                 if one < two:
                     p, q, p0, q0 = row[one], row[two], zeros[one], zeros[two]
                     plain["x", one, two] += f(p, q) - f(p, q0) - f(p0, q) + f(p0, q0)
-    walk = divergence.PathWalk()
-    for path, times in sorted(Counter(tuple((s, n, zeros[s]) for s, n in sorted(row.items())) for row in rows).items()):
-        walk.add("x", list(path), times)
-    walk.close()
-    assert walk.taken() == {k: v for k, v in plain.items()}
+    paths = sorted(Counter(tuple((s, n, zeros[s]) for s, n in sorted(row.items())) for row in rows).items())
+    starts = np.cumsum([0] + [len(p) for p, _ in paths])
+    nodes = tuple(np.array([node[i] for p, _ in paths for node in p], np.int64) for i in range(3))
+    got = Counter()
+    for _, one, two, value in divergence.tree_sums(np.zeros(len(paths), np.int64), starts, nodes, np.array([n for _, n in paths])):
+        for key in zip(one.tolist(), two.tolist(), value.tolist()):
+            got["x", key[0], key[1]] += key[2]
+    assert got == plain
 
 
 def test_shares_are_exact_for_large_counts(spark):
