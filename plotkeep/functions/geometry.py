@@ -205,7 +205,18 @@ def polygons_intersect(a_parts: Column, a_edges: Column, a_box: Column,
         corners = F.transform(parts, lambda part: F.get(F.get(part, F.lit(0)), F.lit(0)))
         return F.exists(corners, lambda corner: edges_contain(other_edges, corner.x, corner.y))
 
-    return meet | corner_inside(a_parts, b_edges) | corner_inside(b_parts, a_edges)
+    def lone(parts: Column) -> Column:
+        """Parts that are points: they have no edge that could meet another."""
+        shells = F.transform(parts, lambda part: F.get(part, F.lit(0)))
+        return F.flatten(F.filter(shells, lambda ring: F.size(ring) == 1))
+
+    def point_on_edge(parts: Column, other_edges: Column) -> Column:
+        return F.exists(lone(parts), lambda p: edges_touch_point(other_edges, p.x, p.y))
+
+    return (
+        meet | corner_inside(a_parts, b_edges) | corner_inside(b_parts, a_edges)
+        | point_on_edge(a_parts, b_edges) | point_on_edge(b_parts, a_edges) | F.arrays_overlap(lone(a_parts), lone(b_parts))
+    )
 
 
 def canonical_ring(ring: Column, clockwise: bool) -> Column:

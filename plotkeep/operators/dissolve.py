@@ -1,127 +1,92 @@
-"""Area of overlapping polygons without counting any ground twice."""
+"""Area of overlapping polygons without counting any ground twice, by a distributed plane sweep."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plotkeep.functions import geometry as G
-
-
-def _cell_runs(edges: Column, side: Column) -> Column:
-    """Runs (row, c0, c1, edge) of grid cells: those inside, and those an edge passes through.
-
-    Every edge is visited for the grid rows it spans, so the number of runs
-    follows the boundary and not the area.
-    """
-    # upright edges: lower end first, with the step in x per unit of y (null when flat)
-    upright = F.transform(
-        edges,
-        lambda e: F.when(
-            e.y1 <= e.y2,
-            F.struct(e.x1.alias("x"), e.x2.alias("xt"), e.y1.alias("y"), e.y2.alias("yt"),
-                     F.try_divide(e.x2 - e.x1, e.y2 - e.y1).alias("m")),
-        ).otherwise(
-            F.struct(e.x2.alias("x"), e.x1.alias("xt"), e.y2.alias("y"), e.y1.alias("yt"),
-                     F.try_divide(e.x1 - e.x2, e.y1 - e.y2).alias("m")),
-        ),
-    )
-
-    def rows(first: Column, last: Column) -> Column:
-        return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-
-    def crossings(e: Column) -> Column:
-        # rows whose centre line y satisfies lower <= y < upper
-        crossed = rows(F.ceil(e.y / side - 0.5), F.ceil(e.yt / side - 0.5) - 1)
-        return F.transform(
-            crossed, lambda r: F.struct(r.alias("row"), (e.x + ((r + 0.5) * side - e.y) * e.m).alias("x"))
-        )
-
-    def inside(found: Column) -> Column:
-        # even-odd: sorted by row and x, each pair of crossings bounds a run of cell centres
-        firsts = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda i: (i % 2 == 0) & (i < F.size(found)))
-
-        def run(i: Column) -> Column:
-            c = F.get(found, i)
-            return F.struct(
-                c.row.alias("row"), F.ceil(c.x / side - 0.5).alias("c0"),
-                (F.ceil(F.get(found, i + 1).x / side - 0.5) - 1).alias("c1"), F.lit(False).alias("edge"),
-            )
-
-        return F.when(F.size(found) > 0, F.transform(firsts, run)).otherwise(
-            F.array().cast("array<struct<row:bigint,c0:bigint,c1:bigint,edge:boolean>>")
-        )
-
-    def touched(e: Column) -> Column:
-        def run(r: Column) -> Column:
-            # where the edge enters and leaves the row; a flat edge is there as a whole
-            x0 = F.coalesce(e.x + (F.greatest(r * side, e.y) - e.y) * e.m, e.x)
-            x1 = F.coalesce(e.x + (F.least((r + 1) * side, e.yt) - e.y) * e.m, e.xt)
-            return F.struct(
-                r.alias("row"), F.floor(F.least(x0, x1) / side).alias("c0"),
-                (F.ceil(F.greatest(x0, x1) / side) - 1).alias("c1"), F.lit(True).alias("edge"),
-            )
-
-        return F.transform(rows(F.floor(e.y / side), F.ceil(e.yt / side) - 1), run)
-
-    def both(upright_edges: Column) -> Column:
-        runs = F.concat(
-            G.let(F.array_sort(F.flatten(F.transform(upright_edges, crossings))), inside),
-            F.flatten(F.transform(upright_edges, touched)),
-        )
-        return F.filter(runs, lambda r: r.c0 <= r.c1)
-
-    return G.let(upright, both)
-
-
-# Columns of cells that one 64-bit mask holds, as a power of two.
-BLOCK_BITS = 6
-
-
-def dissolved_area(df: DataFrame, group: str, cell: float, parts: str = "parts") -> DataFrame:
-    """Per group: raw area sum, dissolved area, and the cells on a boundary.
-
-    Ground is counted in square cells whose centre lies inside a polygon. The
-    dissolved area is off by at most the area of the boundary cells. One scan:
-    each polygon gives its runs of cells and one row with its own area. A run is
-    cut at blocks of 64 columns and carried as one mask per block; masks of the
-    same ground are combined before the shuffle, so a block of a row is one
-    value however many shapes lie on it.
+from plotkeep.functions.sweep import covered_area
+from plotkeep.session import cut_lineage
+
+# Heights are counted in so many steps of a group's extent, and strips are made of steps with about so many edge ends.
+STEPS = 1 << 16
+STRIP_ENDS = 1 << 13
+
+
+def _step(y: Column) -> Column:
+    """The step of a group's extent that a height falls in."""
+    share = F.try_divide(y - F.col("_y0"), F.col("_y1") - F.col("_y0"))
+    return F.least(F.floor(F.coalesce(share, F.lit(0.0)) * STEPS), F.lit(STEPS - 1)).cast("int")
+
+
+def _height(step: Column) -> Column:
+    """Where a step begins: neighbouring strips get the same number."""
+    return F.col("_y0") + (F.col("_y1") - F.col("_y0")) * (step / F.lit(float(STEPS)))
+
+
+def _strips(edges: DataFrame) -> DataFrame:
+    """(group, step, strip, low, high) of the steps in which edges end; the window holds at most ``STEPS`` rows of a group."""
+    ends = edges.select("_group", "_y0", "_y1", F.explode(F.array("_from", "_to")).alias("_step"))
+    counted = ends.groupBy("_group", "_step").agg(
+        F.count(F.lit(1)).alias("_n"), F.first("_y0").alias("_y0"), F.first("_y1").alias("_y1"))
+    group = Window.partitionBy("_group")
+    before = F.sum("_n").over(group.orderBy("_step")) - F.col("_n")
+    counted = counted.withColumn("_strip", F.floor(before / F.lit(STRIP_ENDS)).cast("long"))
+    # a strip reaches from its first step to the next strip's
+    counted = counted.withColumn("_first", F.min("_step").over(Window.partitionBy("_group", "_strip")))
+    after = F.min(F.when(F.col("_first") == F.col("_step"), F.col("_step"))).over(
+        group.orderBy("_step").rowsBetween(1, Window.unboundedFollowing))
+    low = F.when(F.col("_first") > F.min("_step").over(group), _height(F.col("_first")))
+    # seen from the end, a running minimum
+    later = group.orderBy(F.col("_step").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    after = F.min(F.when(F.col("_first") == F.col("_step"), F.col("_step"))).over(later)
+    counted = counted.withColumns({"_low": low, "_next": after}).withColumn("_high", _height(F.col("_next")))
+    counted = counted.withColumn("_strip", F.dense_rank().over(group.orderBy("_strip")) - 1)
+    return counted.select("_group", "_step", "_strip", "_low", "_high")
+
+
+def _swept(table: pa.Table) -> pa.Table:
+    edges = np.column_stack([table.column(c).to_numpy() for c in ("x1", "y1", "x2", "y2")])
+    owner = np.unique(table.column("_shape").to_numpy(), return_inverse=True)[1]
+    low, high = table.column("_low")[0].as_py(), table.column("_high")[0].as_py()
+    area = covered_area(edges, owner, lambda n: n > 0, -np.inf if low is None else low, np.inf if high is None else high)
+    return pa.table({"_group": table.column("_group").slice(0, 1), "_area": pa.array([area], pa.float64())})
+
+
+def dissolved_area(df: DataFrame, group: str, parts: str = "parts") -> DataFrame:
+    """Per group: polygons, the sum of their areas, and the area of their union.
+
+    Equal polygons of a group are swept once. The extent of a group is cut into
+    horizontal strips with about ``STRIP_ENDS`` edge ends each, and every strip is
+    swept exactly in a task of its own, with all edges that reach it. A polygon
+    costs its edges, once for each strip it reaches. Ground is what a polygon's
+    rings cover by the even-odd rule, so holes stay open; a group of null
+    geometries has no row, and a null group is one like others (groups are
+    compared as structs, in which nulls are equal).
     """
-    side = F.lit(float(cell))
-    none = F.lit(None).cast("long")
-    shaped = df.where(F.col(parts).isNotNull()).select(
-        F.col(group), F.col(parts).alias("_p"), G.edges(F.col(parts)).alias("_e")
-    )
-    runs = F.transform(
-        _cell_runs(F.col("_e"), side),
-        lambda r: F.struct(r.row, r.c0, r.c1, r.edge, F.lit(None).cast("double").alias("area")),
-    )
-    own = F.struct(
-        none.alias("row"), none.alias("c0"), none.alias("c1"), F.lit(None).cast("boolean").alias("edge"),
-        G.area(F.col("_p")).alias("area"),
-    )
-    blocks = F.sequence(F.shiftright("c0", BLOCK_BITS), F.shiftright("c1", BLOCK_BITS))
-    last = (1 << BLOCK_BITS) - 1
-    first = F.shiftleft("_block", BLOCK_BITS)
-    low, high = F.greatest(F.col("c0") - first, F.lit(0)), F.least(F.col("c1") - first, F.lit(last))
-    # the bits from low to high
-    mask = F.call_function("shiftleft", F.lit(-1).cast("long"), low.cast("int")).bitwiseAND(
-        F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), (F.lit(last) - high).cast("int")))
-    cells = F.coalesce(F.sum(F.bit_count("_in")), F.lit(0))
-    return (
-        shaped.select(group, F.inline(F.concat(F.array(own), runs)))
-        .select(group, "row", "edge", "area", "c0", "c1", F.explode_outer(blocks).alias("_block"))
-        .select(group, "row", "edge", "area", "_block", mask.alias("_mask"))
-        .groupBy(group, "row", "_block")
-        .agg(
-            F.bit_or(F.when(~F.col("edge"), F.col("_mask"))).alias("_in"),
-            F.bit_or(F.when(F.col("edge"), F.col("_mask"))).alias("_edge"),
-            F.count("area").alias("_n"), F.sum("area").alias("_a"),
-        )
-        .groupBy(group)
-        .agg(
-            F.sum("_n").alias("polygons"), F.sum("_a").alias("raw_area"), (cells * side * side).alias("dissolved_area"),
-            F.coalesce(F.sum(F.bit_count("_edge")), F.lit(0)).alias("boundary_cells"),
-        )
-    )
+    shaped = df.where(F.col(parts).isNotNull()).groupBy(F.struct(F.col(group).alias("of")).alias("_group"), F.col(parts).alias("_p")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    heights = F.transform(G.vertices(F.col("_p")), lambda p: p.y)
+    shaped = shaped.select(
+        "_group", "_n", F.xxhash64("_p").alias("_shape"), G.edges(F.col("_p")).alias("_e"), G.area(F.col("_p")).alias("_a"),
+        F.array_min(heights).alias("_y0"), F.array_max(heights).alias("_y1"))
+    shaped = cut_lineage(shaped, "dissolve")
+    extent = shaped.groupBy("_group").agg(F.min("_y0").alias("_y0"), F.max("_y1").alias("_y1"))
+    placed = shaped.select("_group", "_shape", F.inline("_e")).where("y1 <> y2").join(extent, "_group")
+    placed = placed.withColumns({"_from": _step(F.least("y1", "y2")), "_to": _step(F.greatest("y1", "y2"))})
+    strips = cut_lineage(_strips(placed), "strips")
+    begins = strips.select("_group", F.col("_step").alias("_from"), F.col("_strip").alias("_s0"))
+    ends = strips.select("_group", F.col("_step").alias("_to"), F.col("_strip").alias("_s1"))
+    placed = placed.join(begins, ["_group", "_from"]).join(ends, ["_group", "_to"])
+    bounds = strips.groupBy("_group", "_strip").agg(F.first("_low").alias("_low"), F.first("_high").alias("_high"))
+    pieces = placed.select(
+        "_group", "_shape", "x1", "y1", "x2", "y2", F.explode(F.sequence("_s0", "_s1")).alias("_strip")).join(bounds, ["_group", "_strip"])
+    schema = T.StructType([shaped.schema["_group"], T.StructField("_area", T.DoubleType())])
+    swept = pieces.groupBy("_group", "_strip").applyInArrow(_swept, schema).groupBy("_group").agg(F.sum("_area").alias("_area"))
+    totals = shaped.groupBy("_group").agg(F.sum("_n").alias("polygons"), F.sum(F.col("_a") * F.col("_n")).alias("raw_area"))
+    return totals.join(swept, "_group", "left").select(
+        F.col("_group.of").alias(group), "polygons", "raw_area", F.coalesce("_area", F.lit(0.0)).alias("dissolved_area"))

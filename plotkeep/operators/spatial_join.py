@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plotkeep.functions import geometry as G
+from plotkeep.functions.sweep import shared_area
 from plotkeep.operators.skew import TARGET_ROWS, split_hot_keys
 from plotkeep.session import cut_lineage
 
@@ -98,15 +99,36 @@ def points_in_polygons(
     )
 
 
+def shape_key(parts: str = "parts") -> Column:
+    """Equal geometries have equal keys."""
+    return F.sha2(F.to_json(F.struct(F.col(parts).alias("g"))), 256)
+
+
+def members(df: DataFrame, id_col: str, parts: str = "parts") -> DataFrame:
+    """(shape_key, id) of every row with a geometry: which rows the shape of a pair stands for."""
+    return df.where(F.col(parts).isNotNull()).select(shape_key(parts).alias("shape_key"), F.col(id_col))
+
+
+def row_pairs(pairs: DataFrame, left_members: DataFrame, right_members: DataFrame, target_rows: int = TARGET_ROWS) -> DataFrame:
+    """Pairs of shapes spelled out as pairs of rows. Shapes with very many copies are split on both sides."""
+    left = left_members.withColumnRenamed("shape_key", "left_key")
+    right = right_members.withColumnRenamed("shape_key", "right_key")
+    id_col = [c for c in left.columns if c != "left_key"]
+    left, narrow, keys = split_hot_keys(left, pairs, ["left_key"], id_col, target_rows)
+    half = left.join(narrow, keys).drop("_salt")
+    right, half, keys = split_hot_keys(
+        right, half, ["right_key"], [c for c in right.columns if c != "right_key"], target_rows)
+    return right.join(half, keys).drop("_salt")
+
+
 def collapse_copies(df: DataFrame, id_col: str, parts: str = "parts") -> DataFrame:
     """One row per distinct geometry: (shape_key, parts, n_rows, first_id).
 
     A pile of identical features is joined once instead of row by row.
     """
-    key = F.sha2(F.to_json(F.struct(F.col(parts).alias("g"))), 256)
     return (
         df.where(F.col(parts).isNotNull())
-        .groupBy(key.alias("shape_key"))
+        .groupBy(shape_key(parts).alias("shape_key"))
         .agg(
             F.any_value(parts).alias("parts"),
             F.count(F.lit(1)).alias("n_rows"),
@@ -117,14 +139,15 @@ def collapse_copies(df: DataFrame, id_col: str, parts: str = "parts") -> DataFra
 
 def overlapping_shapes(
     left: DataFrame, right: DataFrame, left_id: str, right_id: str, parts: str = "parts",
-    target_rows: int = TARGET_ROWS,
+    target_rows: int = TARGET_ROWS, measure: bool = False,
 ) -> DataFrame:
     """Pairs of distinct shapes that share at least a point.
 
-    Columns: left/right shape key, first id and row count. Row pairs follow by
-    joining the inputs on the shape key; their number is ``left_rows *
-    right_rows`` and is not spelled out here. A pair is reported only in the
-    cell holding the lower-left corner of the shared box, so it appears once.
+    Columns: left/right shape key, first id and row count, and with ``measure``
+    the ``shared_area`` (0 where only boundaries meet). ``row_pairs`` spells out
+    the rows of a pair from the ``members`` of both sides; their number is
+    ``left_rows * right_rows``. A pair is reported only in the cell holding the
+    lower-left corner of the shared box, so it appears once.
     """
     def prepared(df: DataFrame, id_col: str, side: str) -> DataFrame:
         shapes = collapse_copies(df, id_col, parts)
@@ -154,7 +177,7 @@ def overlapping_shapes(
     a, b, keys = split_hot_keys(a, b, ["_level", "_cx", "_cy"], ["left_key"], target_rows, ["right_key"])
     a_box, b_box = F.col("left_box"), F.col("right_box")
     level = F.col("_level")
-    return (
+    pairs = (
         a.join(b, keys)
         .where(level == F.greatest("left_own_level", "right_own_level"))
         .where(G.boxes_overlap(a_box, b_box))
@@ -166,5 +189,6 @@ def overlapping_shapes(
                 F.col("right_parts"), F.col("right_edges"), b_box,
             )
         )
-        .select("left_key", "left_id", "left_rows", "right_key", "right_id", "right_rows")
     )
+    names = ["left_key", "left_id", "left_rows", "right_key", "right_id", "right_rows"]
+    return pairs.select(*names, *([shared_area("left_parts", "right_parts").alias("shared_area")] if measure else []))

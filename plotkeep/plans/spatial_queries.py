@@ -96,6 +96,43 @@ def spatial_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("left_id", "left_rows", "right_id", "right_rows")
 
 
+@query(
+    "overlay_area",
+    """
+    WITH a AS (SELECT s_suppkey, s_suppkey % 400 AS k, s_suppkey % 3 AS kind, 2.03125 + s_suppkey % 5 / 4 AS r FROM supplier),
+         b AS (SELECT p_partkey, p_partkey % 400 AS k, 0.75 + p_size / 16 AS h FROM part),
+         p AS (SELECT s_suppkey, p_partkey, kind, r, h FROM a JOIN b USING (k))
+    SELECT s_suppkey, p_partkey, round(CASE kind
+             WHEN 0 THEN CASE WHEN r <= h THEN 2 * r * r WHEN r >= 2 * h THEN 4 * h * h
+                         ELSE 4 * h * h - 2 * (2 * h - r) * (2 * h - r) END
+             WHEN 1 THEN 4 * least(h, r) * least(h, r)
+             ELSE 4 * least(h, r) * least(h, r) - r * r END, 6) AS shared_area
+    FROM p WHERE kind < 2 OR h > r / 2
+    """,
+)
+def overlay_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ground that diamonds, squares and squares with a hole share with squares around the same centre, per pair of rows."""
+    def centre(key: Column) -> tuple[Column, Column]:
+        k = key % 400
+        return (k % 20) * F.lit(16.0), F.floor(k / 20) * F.lit(16.0)
+
+    x, y = centre(F.col("s_suppkey"))
+    r, kind = F.lit(2.03125) + F.col("s_suppkey") % 5 / 4, F.col("s_suppkey") % 3
+    diamond = F.array(G.xy(x - r, y), G.xy(x, y - r), G.xy(x + r, y), G.xy(x, y + r), G.xy(x - r, y))
+    square, hole = _closed_box(x - r, y - r, 2 * r), _closed_box(x - r / 2, y - r / 2, r, reverse=True)
+    shape = F.when(kind == 0, F.array(F.array(diamond))).when(kind == 1, F.array(F.array(square))).otherwise(
+        F.array(F.array(square, hole)))
+    left = table(spark, sf_dir, "supplier").select("s_suppkey", shape.alias("parts"))
+    x, y = centre(F.col("p_partkey"))
+    h = F.lit(0.75) + F.col("p_size") / 16
+    right = table(spark, sf_dir, "part").select("p_partkey", G.box_parts(x - h, y - h, x + h, y + h).alias("parts"))
+    pairs = spatial_join.overlapping_shapes(left, right, "s_suppkey", "p_partkey", measure=True)
+    rows = spatial_join.row_pairs(
+        pairs.select("left_key", "right_key", "shared_area"),
+        spatial_join.members(left, "s_suppkey"), spatial_join.members(right, "p_partkey"))
+    return rows.select("s_suppkey", "p_partkey", F.round("shared_area", 6).alias("shared_area"))
+
+
 # part lots in degrees, around the projection's centre
 _LON, _LAT = "-75.3 + (p_partkey % 50) * 0.008", "39.85 + (p_partkey // 50 % 40) * 0.008"
 _DEG = "0.001 + p_size * 0.0001"
@@ -342,21 +379,34 @@ def quality_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
                       1 + l_linenumber % 2 AS h FROM lineitem),
          c AS (SELECT DISTINCT zone, x + i AS cx, y + j AS cy
                FROM b, range(0, 3) r(i), range(0, 2) q(j) WHERE i < w AND j < h),
-         n AS (SELECT zone, cast(count(*) AS DOUBLE) AS dissolved_area FROM c GROUP BY zone)
-    SELECT zone, count(*) AS polygons, cast(sum(w * h) AS DOUBLE) AS raw_area, any_value(dissolved_area) AS dissolved_area,
-           cast(0 AS BIGINT) AS boundary_cells
-    FROM b JOIN n USING (zone) GROUP BY zone
+         s AS (SELECT substr('ANR', 1 + p_partkey % 3, 1) AS zone, 1 + p_size / 64 AS h, (1 + p_size / 64) * 1.5 AS r FROM part),
+         n AS (SELECT zone, cast(count(*) AS DOUBLE) AS ground FROM c GROUP BY zone
+               UNION ALL SELECT zone, sum(2 * r * r + 2 * (2 * h - r) * (2 * h - r)) FROM s GROUP BY zone),
+         a AS (SELECT zone, count(*) AS polygons, cast(sum(w * h) AS DOUBLE) AS raw_area FROM b GROUP BY zone
+               UNION ALL SELECT zone, 2 * count(*), sum(2 * r * r + 4 * h * h) FROM s GROUP BY zone)
+    SELECT zone, cast(sum(polygons) AS BIGINT) AS polygons, round(sum(raw_area), 4) AS raw_area,
+           (SELECT round(sum(ground), 4) FROM n WHERE n.zone = a.zone) AS dissolved_area
+    FROM a GROUP BY zone
     """,
 )
 def dissolved_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes on whole cells, so the cell count is exact and no cell is on a boundary."""
+    """Boxes that overlap each other, and apart from them diamonds whose tips reach out of a box."""
     x, y = (F.col("l_partkey") % 200).cast("double"), (F.col("l_suppkey") % 100).cast("double")
     w, h = F.col("l_linenumber") % 3 + 1, F.col("l_linenumber") % 2 + 1
-    boxes = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", "l_suppkey", "l_linenumber"
-    ).select(
+    boxes = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_partkey", "l_suppkey", "l_linenumber").select(
         F.col("l_returnflag").alias("zone"), G.box_parts(x, y, x + w, y + h).alias("parts")
     )
-    return dissolve.dissolved_area(boxes, "zone", 1.0)
+    cx, cy = F.lit(1000.0) + F.col("p_partkey") % 500 * 8, F.floor(F.col("p_partkey") / 500) * 8.0
+    side = F.lit(1.0) + F.col("p_size") / 64
+    r = side * 1.5
+    diamond = G.ring_parts(G.xy(cx - r, cy), G.xy(cx, cy - r), G.xy(cx + r, cy), G.xy(cx, cy + r), G.xy(cx - r, cy))
+    box = G.box_parts(cx - side, cy - side, cx + side, cy + side)
+    zone = F.substring(F.lit("ANR"), F.col("p_partkey").cast("int") % 3 + 1, F.lit(1))
+    crossed = table(spark, sf_dir, "part").select("p_partkey", "p_size").select(
+        zone.alias("zone"), F.explode(F.array(diamond, box)).alias("parts"))
+    found = dissolve.dissolved_area(boxes.unionByName(crossed), "zone")
+    return found.select(
+        "zone", "polygons", F.round("raw_area", 4).alias("raw_area"), F.round("dissolved_area", 4).alias("dissolved_area"))
 
 
 def lonlat_events(spark: SparkSession, sf_dir: str) -> DataFrame:

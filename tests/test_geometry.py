@@ -2,13 +2,16 @@ import math
 import random
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plotkeep.functions import geometry as G
 from plotkeep.functions import projection as PR
+from plotkeep.functions import sweep
 from plotkeep.functions import wkb as W
+from plotkeep.operators import dissolve
 from plotkeep.operators.cluster import hilbert_sorted, in_window, with_hilbert
 from plotkeep.operators.dissolve import dissolved_area
 from plotkeep.operators.validity import quality_counters, repair_geometries
@@ -222,7 +225,7 @@ def test_quality_counters(spark):
     assert tuple(out) == (len(expected), *(expected.count(k) for k in ("repaired", "unrepaired", "null")))
 
 
-def test_dissolve_against_cell_centres(spark):
+def test_dissolve_against_fine_cells(spark):
     rnd = random.Random(11)
     polygons = []
     for _ in range(25):
@@ -239,26 +242,56 @@ def test_dissolve_against_cell_centres(spark):
                 hits += (y1 > py) != (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1
         return hits % 2 == 1
 
-    side = 0.25
-    expected = {
-        (i % 2, cx, cy)
-        for i, parts in enumerate(polygons)
-        for cx in range(-20, 60) for cy in range(-20, 60)
-        if inside(parts, (cx + 0.5) * side, (cy + 0.5) * side)
-    }
+    side = 0.02
     df = shapes(spark, *polygons).withColumn("zone", F.col("id") % 2)
-    got = {r.zone: r for r in dissolved_area(df, "zone", side).collect()}
+    got = {r.zone: r for r in dissolved_area(df, "zone").collect()}
     for zone in (0, 1):
-        cells = sum(1 for z, _, _ in expected if z == zone)
-        assert got[zone].dissolved_area == pytest.approx(cells * side * side)
+        own = [p for i, p in enumerate(polygons) if i % 2 == zone]
+        cells = sum(any(inside(p, (cx + 0.5) * side, (cy + 0.5) * side) for p in own)
+                    for cx in range(-150, 650, 5) for cy in range(-150, 650, 5))
+        assert got[zone].dissolved_area == pytest.approx(cells * (5 * side) ** 2, rel=0.02)
         assert got[zone].raw_area > got[zone].dissolved_area
-        assert got[zone].boundary_cells > 0
 
 
-def test_dissolve_of_runs_over_many_blocks(spark):
-    boxes = [(-130.0, -2.0, 70.0, 1.0), (-64.0, 0.0, 64.0, 3.0), (63.0, -2.0, 129.0, -1.0)]
+@pytest.mark.parametrize("strip_ends", [8192, 4])
+def test_dissolve_of_large_and_copied_boxes(spark, monkeypatch, strip_ends):
+    monkeypatch.setattr(dissolve, "STRIP_ENDS", strip_ends)
+    boxes = [(-130.0, -2.0, 70.0, 1.0), (-64.0, 0.0, 64.0, 3.0), (63.0, -2.0, 129.0, -1.0), (63.0, -2.0, 129.0, -1.0)]
     ground = {(x, y) for x0, y0, x1, y1 in boxes for x in range(int(x0), int(x1)) for y in range(int(y0), int(y1))}
+    boxes.append((10_000.0, 0.0, 14_000.0, 4_000.0))
     parts = [[[[(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]]] for x0, y0, x1, y1 in boxes]
-    got = dissolved_area(shapes(spark, *parts).withColumn("zone", F.lit("a")), "zone", 1.0).first()
+    df = shapes(spark, *parts, None).withColumn("zone", F.lit(None).cast("string"))
+    got = dissolved_area(df, "zone").first()
     raw = sum((x1 - x0) * (y1 - y0) for x0, y0, x1, y1 in boxes)
-    assert tuple(got) == ("a", 3, raw, float(len(ground)), 0)
+    assert tuple(got) == (None, 5, raw, pytest.approx(len(ground) + 4000.0**2, rel=1e-12))
+
+
+def test_strips_do_not_change_the_sweep(spark, monkeypatch):
+    rnd = random.Random(3)
+    parts = []
+    for _ in range(60):
+        x, y = rnd.uniform(0, 9), rnd.uniform(0, 9)
+        ring = [(x, y), (x + rnd.uniform(1, 5), y + rnd.uniform(-1, 1)), (x + rnd.uniform(-1, 3), y + rnd.uniform(1, 5))]
+        parts.append([[ring + ring[:1]]])
+    df = shapes(spark, *parts).withColumn("zone", F.lit(1))
+    whole = dissolved_area(df, "zone").first().dissolved_area
+    monkeypatch.setattr(dissolve, "STRIP_ENDS", 7)
+    assert dissolved_area(df, "zone").first().dissolved_area == pytest.approx(whole, rel=1e-12)
+    edges = np.array([(*a, *b) for p in parts for a, b in zip(p[0][0], p[0][0][1:])])
+    assert sweep.covered_area(edges, np.repeat(np.arange(60), 3), lambda n: n > 0) == pytest.approx(whole, rel=1e-12)
+    # ground covered once or more, twice or more, ... adds up to all areas
+    levels = sum(sweep.covered_area(edges, np.repeat(np.arange(60), 3), lambda n, k=k: n >= k) for k in range(1, 30))
+    assert levels == pytest.approx(dissolved_area(df, "zone").first().raw_area, rel=1e-9)
+
+
+def test_shared_area_of_pairs(spark):
+    diamond = [[[(-3.0, 0.0), (0.0, -3.0), (3.0, 0.0), (0.0, 3.0), (-3.0, 0.0)]]]
+    box = [[[(-2.0, -2.0), (2.0, -2.0), (2.0, 2.0), (-2.0, 2.0), (-2.0, -2.0)]]]
+    ring = [[SQUARE, HOLE]]
+    away, point = [[FAR]], [[[(1.0, 1.0)]]]
+    cases = [(diamond, box, 14.0), (box, diamond, 14.0), (ring, box, 3.0), (ring, ring, 15.0), (ring, away, 0.0),
+             (ring, point, 0.0), (None, box, None), (box, None, None), ([], box, 0.0), (box + away, away, 0.5)]
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("a", G.PARTS), T.StructField("b", G.PARTS)])
+    df = spark.createDataFrame([(i, a, b) for i, (a, b, _) in enumerate(cases)], schema).repartition(2)
+    got = {r.i: r.v for r in df.select("i", sweep.shared_area("a", "b").alias("v")).collect()}
+    assert got == {i: pytest.approx(v, abs=1e-9) if v is not None else None for i, (_, _, v) in enumerate(cases)}
