@@ -162,7 +162,7 @@ def segments_cross(e: Column, f: Column) -> Column:
     return (t1 < 0) & (t2 < 0)
 
 
-def _edge_boxes_overlap(e: Column, f: Column) -> Column:
+def edge_boxes_overlap(e: Column, f: Column) -> Column:
     return (
         (F.least(e.x1, e.x2) <= F.greatest(f.x1, f.x2))
         & (F.greatest(e.x1, e.x2) >= F.least(f.x1, f.x2))
@@ -175,7 +175,7 @@ def segments_meet(e: Column, f: Column) -> Column:
     """The closed segments share at least a point."""
     t1 = turn(e.x1, e.y1, e.x2, e.y2, f.x1, f.y1) * turn(e.x1, e.y1, e.x2, e.y2, f.x2, f.y2)
     t2 = turn(f.x1, f.y1, f.x2, f.y2, e.x1, e.y1) * turn(f.x1, f.y1, f.x2, f.y2, e.x2, e.y2)
-    return _edge_boxes_overlap(e, f) & (t1 <= 0) & (t2 <= 0)
+    return edge_boxes_overlap(e, f) & (t1 <= 0) & (t2 <= 0)
 
 
 def edges_in_box(edge_list: Column, box: Column) -> Column:

@@ -16,8 +16,10 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Splits of one slab at crossings; rounding can make no more of them worthwhile.
-DEEPEST = 60
+# A crossing closer to a slab's side than this share of its height is taken as lying on it; more splits than these
+# are rounding.
+AT_SIDE = 1e-10
+DEEPEST = 40
 
 Counts = Callable[[np.ndarray], np.ndarray]
 
@@ -38,21 +40,21 @@ def _slab(low: np.ndarray, high: np.ndarray, owner: np.ndarray, height: float, w
     """Covered area of a slab, from the edges' places at its lower and its upper side."""
     order = np.lexsort((high, low))
     a, b = low[order], high[order]
-    if deep < DEEPEST:
-        # neighbours that change places cross inside the slab
-        over = np.flatnonzero(b[:-1] > b[1:])
-        if len(over):
-            gap = a[over + 1] - a[over]
-            at = np.unique(gap / (gap + (b[over] - b[over + 1])))
-            cuts = np.concatenate(([0.0], at[(at > 0) & (at < 1)], [1.0]))
-            if len(cuts) > 2:
-                places = low[:, None] + (high - low)[:, None] * cuts[None, :]
-                return sum(
-                    _slab(places[:, k], places[:, k + 1], owner, height * (cuts[k + 1] - cuts[k]), wanted, deep + 1)
-                    for k in range(len(cuts) - 1))
-            # the crossing is at a side of the slab: order by the middle
-            order = np.argsort(low + high, kind="stable")
-            a, b = low[order], high[order]
+    # neighbours that change places cross inside the slab
+    over = np.flatnonzero(b[:-1] > b[1:])
+    if len(over):
+        gap = a[over + 1] - a[over]
+        at = np.unique(gap / (gap + (b[over] - b[over + 1])))
+        at = at[(at > AT_SIDE) & (at < 1 - AT_SIDE)]
+        if len(at) and deep < DEEPEST:
+            cuts = np.concatenate(([0.0], at, [1.0]))
+            places = low[:, None] + (high - low)[:, None] * cuts[None, :]
+            return sum(
+                _slab(places[:, k], places[:, k + 1], owner, height * (cuts[k + 1] - cuts[k]), wanted, deep + 1)
+                for k in range(len(cuts) - 1))
+        # they cross at a side of the slab, as far as rounding tells: order by the middle
+        order = np.argsort(low + high, kind="stable")
+        a, b = low[order], high[order]
     middle = (a + b) / 2
     counted = wanted(_cover(owner, order)[:-1])
     return float(np.sum(np.diff(middle)[counted]) * height)
@@ -70,6 +72,8 @@ def covered_area(edges: np.ndarray, owner: np.ndarray, wanted: Counts, low: floa
     if not len(edges):
         return 0.0
     x1, y1, x2, y2 = edges.T
+    nearest = x1.min()
+    x1, x2 = x1 - nearest, x2 - nearest  # small numbers keep more digits
     begin, end = np.maximum(y1, low), np.minimum(y2, high)
     heights = np.unique(np.concatenate([begin, end]))
     lean = (x2 - x1) / (y2 - y1)
@@ -93,6 +97,8 @@ def covered_area(edges: np.ndarray, owner: np.ndarray, wanted: Counts, low: floa
 def _edges_of(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Edges of all rings of an Arrow array of geometries, and the row of each."""
     rings, points = parts.values.values, parts.values.values.values
+    if not len(points):  # Arrow arrays without items need not have offsets
+        return np.empty((0, 4)), np.empty(0, np.int64)
     xy = np.column_stack([points.field("x").to_numpy(zero_copy_only=False), points.field("y").to_numpy(zero_copy_only=False)])
     row_ends, part_ends, ring_ends = (np.asarray(a.offsets) for a in (parts, parts.values, rings))
     low, high = ring_ends[part_ends[row_ends[0]]], ring_ends[part_ends[row_ends[-1]]]

@@ -1,9 +1,12 @@
-"""Find invalid geometries and repair the simple cases.
+"""Find invalid geometries and repair them.
 
 The checks are: unclosed ring, collapsed ring (all vertices on a line),
-repeated vertex (only with ``strict``; the simple-features rules allow it) and
-crossing edges. Repairs close, deduplicate, drop collapsed rings and split one
-crossing. Anything else is counted as unrepaired, never as repaired.
+repeated vertex (only with ``strict``; the simple-features rules allow it),
+edges that cross, overlap or touch where they must not, and rings in wrong
+places (a hole outside its shell, a part inside another). Repairs close,
+deduplicate, drop collapsed rings, and redraw what meets itself from its own
+linework. Not found: holes that touch their shell so often that they cut it in
+two. What keeps no area is counted as unrepaired.
 """
 
 from __future__ import annotations
@@ -12,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plotkeep.functions import geometry as G
+from plotkeep.functions import linework
+from plotkeep.session import cut_lineage
 
 
 def _first(ring: Column) -> Column:
@@ -49,97 +54,154 @@ def _is_collapsed(ring: Column) -> Column:
     return F.coalesce(G.let(ring, flat), F.lit(True))
 
 
-def _numbered_edges(part: Column) -> Column:
-    """Edges of a part with their ring and position."""
-    per_ring = F.transform(
-        part,
-        lambda ring, r: F.transform(
-            G.ring_edges(ring),
-            lambda e, i: F.struct(
-                e.x1.alias("x1"), e.y1.alias("y1"), e.x2.alias("x2"), e.y2.alias("y2"),
-                r.alias("r"), i.alias("i"),
-            ),
-        ),
-    )
-    return F.flatten(per_ring)
+# What two edges of a geometry do that they must not: the smaller number counts.
+CROSS, OVERLAP, TOUCH = 1, 2, 3
+CONTACTS = {CROSS: "self_crossing", OVERLAP: "overlapping_edges", TOUCH: "self_touch"}
+# Edges of a geometry up to which they are compared with each other in the row; those of larger ones meet in cells.
+PAIRWISE = 48
 
 
-def _crossings(part: Column) -> Column:
-    """(ring, edge) pairs that cross inside both edges, each pair once."""
-    def found(all_edges: Column) -> Column:
-        def with_later(e: Column) -> Column:
-            later = F.filter(
-                all_edges,
-                lambda f: ((f.r > e.r) | ((f.r == e.r) & (f.i > e.i))) & G.segments_cross(e, f),
-            )
-            return F.transform(later, lambda f: F.struct(e.alias("e"), f.alias("f")))
+def _closed(ring: Column) -> Column:
+    return F.when(_is_open(ring), F.concat(ring, F.array(_first(ring)))).otherwise(ring)
 
-        return F.flatten(F.transform(all_edges, with_later))
 
-    return G.let(_numbered_edges(part), found)
+def _without_repeats(ring: Column) -> Column:
+    return G.let(ring, lambda r: F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, i - 1))))
 
 
-def _any_ring(parts: Column, test) -> Column:
-    return F.exists(parts, lambda part: F.exists(part, test))
+def _tidied(parts: Column) -> Column:
+    """Rings closed and without repeated vertices."""
+    return F.transform(parts, lambda part: F.transform(part, lambda ring: _without_repeats(_closed(ring))))
 
 
-def defect(parts: Column, strict: bool = False) -> Column:
-    """The first defect of a geometry, or null when it passes. Points always pass."""
-    is_point = F.size(G.vertices(parts)) == 1
-    found = F.when(parts.isNull(), "null").when(is_point, None).when(_any_ring(parts, _is_open), "unclosed")
-    if strict:
-        found = found.when(_any_ring(parts, _has_repeat), "repeated_vertex")
-    return found.when(_any_ring(parts, _is_collapsed), "collapsed").when(
-        F.exists(parts, lambda part: F.size(_crossings(part)) > 0), "self_crossing"
+def _numbered_edges(parts: Column) -> Column:
+    """Edges with their ring (counted over all parts), position and the ring's number of edges."""
+    def of_ring(ring: Column, r: Column) -> Column:
+        return G.let(G.ring_edges(ring), lambda edges: F.transform(
+            edges,
+            lambda e, i: F.struct(
+                e.x1.alias("x1"), e.y1.alias("y1"), e.x2.alias("x2"), e.y2.alias("y2"),
+                r.alias("r"), i.alias("i"), F.size(edges).alias("n"),
+            ),
+        ))
+
+    return F.flatten(F.transform(G.rings(parts), of_ring))
+
+
+def _contact(e: Column, f: Column) -> Column:
+    """What ``e`` and the later edge ``f`` do, null if nothing is wrong.
+
+    Rings may touch each other in points; a ring must not touch itself, and
+    neighbours in a ring share one end only.
+    """
+    t1, t2 = G.turn(e.x1, e.y1, e.x2, e.y2, f.x1, f.y1), G.turn(e.x1, e.y1, e.x2, e.y2, f.x2, f.y2)
+    u1, u2 = G.turn(f.x1, f.y1, f.x2, f.y2, e.x1, e.y1), G.turn(f.x1, f.y1, f.x2, f.y2, e.x2, e.y2)
+    beyond = (
+        (F.least(F.greatest(e.x1, e.x2), F.greatest(f.x1, f.x2)) > F.greatest(F.least(e.x1, e.x2), F.least(f.x1, f.x2)))
+        | (F.least(F.greatest(e.y1, e.y2), F.greatest(f.y1, f.y2)) > F.greatest(F.least(e.y1, e.y2), F.least(f.y1, f.y2)))
+    )
+    one_line = (t1 == 0) & (t2 == 0) & (u1 == 0) & (u2 == 0)
+    neighbours = (f.i - e.i == 1) | ((e.i == 0) & (f.i == f.n - 1))
+    return (
+        F.when((t1 * t2 < 0) & (u1 * u2 < 0), CROSS)
+        .when(one_line, F.when(G.segments_meet(e, f), F.when(beyond, OVERLAP).when((e.r == f.r) & ~neighbours, TOUCH)))
+        .when((e.r == f.r) & ~neighbours & G.segments_meet(e, f), TOUCH)
     )
 
 
-def _closed(ring: Column) -> Column:
-    return F.when(_is_open(ring), F.concat(ring, F.array(_first(ring)))).otherwise(ring)
+def _later(e: Column, f: Column) -> Column:
+    return (f.r > e.r) | ((f.r == e.r) & (f.i > e.i))
 
 
-def _without_repeats(ring: Column) -> Column:
-    return G.let(ring, lambda r: F.filter(r, lambda p, i: (i == 0) | (p != F.get(r, i - 1))))
+def _contact_in_row(edges: Column) -> Column:
+    """The worst contact of a short list of edges, null if there is none."""
+    def found(all_edges: Column) -> Column:
+        def with_later(e: Column) -> Column:
+            near = F.filter(all_edges, lambda f: _later(e, f) & G.edge_boxes_overlap(e, f))
+            return F.array_min(F.transform(near, lambda f: _contact(e, f)))
 
+        return F.array_min(F.transform(all_edges, with_later))
 
-def _split_at_crossing(part: Column) -> Column:
-    """The parts a bow-tie ring falls into; other parts are returned as they are."""
-    def split(crossing: Column, ring: Column) -> Column:
-        e, f = crossing.e, crossing.f
-        dx, dy, fx, fy = e.x2 - e.x1, e.y2 - e.y1, f.x2 - f.x1, f.y2 - f.y1
-        t = ((f.x1 - e.x1) * fy - (f.y1 - e.y1) * fx) / (dx * fy - dy * fx)
+    return G.let(edges, found)
 
-        def around(at: Column) -> Column:
-            inner = F.concat(at, F.slice(ring, e.i + 2, f.i - e.i), at)
-            outer = F.concat(F.slice(ring, F.lit(1), e.i + 1), at, F.slice(ring, f.i + 2, F.size(ring) - f.i - 1))
-            return F.array(F.array(inner), F.array(outer))
 
-        return G.let(G.let(t, lambda u: F.array(G.xy(e.x1 + u * dx, e.y1 + u * dy))), around)
+def contacts_by_cell(edges: DataFrame, key: list[str]) -> DataFrame:
+    """(key, contact) of geometries with a wrong contact, from their edges (key, e).
 
-    def choose(found: Column) -> Column:
-        simple = (F.size(found) == 1) & (F.size(part) == 1)
-        parts = G.let(F.get(found, F.lit(0)), lambda crossing: split(crossing, _first(part)))
-        return F.when(simple, parts).otherwise(F.array(part))
+    Edges are cut along a grid of their geometry's own, whose cells are as wide
+    as its mean edge, or as a cell of its box if every edge had one: an edge
+    lies in a few cells and a cell holds a few edges however many there are,
+    unless long edges are crowded.
+    """
+    e = F.col("e")
+    length = F.sqrt(F.pow(e.x2 - e.x1, 2.0) + F.pow(e.y2 - e.y1, 2.0))
+    box = (F.max(F.greatest(e.x1, e.x2)) - F.min(F.least(e.x1, e.x2))) * (F.max(F.greatest(e.y1, e.y2)) - F.min(F.least(e.y1, e.y2)))
+    spread = F.sqrt(box / F.count(F.lit(1)))
+    sides = edges.groupBy(*key).agg(F.least(F.avg(length), F.when(spread > 0, spread)).alias("side"))
+    side = F.col("side")
+    lean = F.try_divide(e.x2 - e.x1, e.y2 - e.y1)
+    low, high = F.least(e.y1, e.y2), F.greatest(e.y1, e.y2)
+
+    def columns(row: Column) -> Column:
+        """The cells of a grid row that an edge reaches, one more on each side for what rounding moves."""
+        x0 = F.coalesce(e.x1 + (F.greatest(row * side, low) - e.y1) * lean, e.x1)
+        x1 = F.coalesce(e.x1 + (F.least((row + 1) * side, high) - e.y1) * lean, e.x2)
+        slack = (F.abs(e.x1) + F.abs(e.x2) + side) * F.lit(1e-12)
+        return F.transform(
+            F.sequence(F.floor((F.least(x0, x1) - slack) / side), F.floor((F.greatest(x0, x1) + slack) / side)),
+            lambda column: F.struct(row.alias("row"), column.alias("column")))
+
+    slack = (F.abs(e.y1) + F.abs(e.y2) + side) * F.lit(1e-12)
+    rows = F.sequence(F.floor((low - slack) / side), F.floor((high + slack) / side))
+    cells = edges.join(sides, key).select(*key, "e", F.explode(F.flatten(F.transform(rows, columns))).alias("cell"))
+    cells = cut_lineage(cells, "cells")
+    pairs = cells.alias("a").join(cells.withColumnRenamed("e", "f").alias("b"), [*key, "cell"])
+    return (
+        pairs.where(_later(F.col("e"), F.col("f")))
+        .select(*key, _contact(F.col("e"), F.col("f")).alias("contact"))
+        .where("contact IS NOT NULL").groupBy(*key).agg(F.min("contact").alias("contact"))
+    )
 
-    return G.let(_crossings(part), choose)
 
+def _solid(parts: Column) -> Column:
+    """Without collapsed rings, and without parts whose shell is one."""
+    none = F.array().cast(G.PARTS.elementType)
+    kept = F.transform(parts, lambda rings: F.when(_is_collapsed(_first(rings)), none).otherwise(
+        F.filter(rings, lambda ring: ~_is_collapsed(ring))))
+    return F.filter(kept, lambda part: F.size(part) > 0)
 
-def repaired(parts: Column) -> Column:
-    """Close, deduplicate, drop collapsed rings and parts, split bow-ties."""
-    def keep_solid(rings: Column) -> Column:
-        return F.when(_is_collapsed(_first(rings)), F.array().cast(G.PARTS.elementType)).otherwise(
-            F.filter(rings, lambda ring: ~_is_collapsed(ring))
-        )
 
-    def clean_part(part: Column) -> Column:
-        return G.let(F.transform(part, lambda ring: _without_repeats(_closed(ring))), keep_solid)
+def _in_ring(parts: Column, strict: bool) -> Column:
+    """The first defect that a ring shows by itself."""
+    def any_ring(test) -> Column:
+        return F.exists(parts, lambda part: F.exists(part, test))
 
-    cleaned = F.filter(F.transform(parts, clean_part), lambda part: F.size(part) > 0)
-    return F.flatten(F.transform(cleaned, _split_at_crossing))
+    found = F.when(parts.isNull(), "null").when(F.size(G.vertices(parts)) == 1, None).when(any_ring(_is_open), "unclosed")
+    if strict:
+        found = found.when(any_ring(_has_repeat), "repeated_vertex")
+    return found.when(any_ring(_is_collapsed), "collapsed")
 
 
 # What a repair adds to each row.
 FLAGS = ("defect", "outcome")
+_WORK = ("_tidy", "_contact", "_by_cell", "_key1", "_key2", "_found", "_area", "_close", "_drawn", "_candidate")
+# Share of a geometry's box by which two sums of areas may differ.
+CLOSE = 1e-9
+
+
+def _with_contacts(df: DataFrame) -> DataFrame:
+    """Adds ``_contact``: the worst contact of the edges of ``_tidy``, null if there is none."""
+    edges = _numbered_edges(F.col("_tidy"))
+    large = F.size(G.vertices(F.col("_tidy"))) > PAIRWISE
+    key = ["_key1", "_key2"]
+    # two hashes and not the geometry itself; copies are checked once
+    df = df.withColumns({"_key1": F.xxhash64("_tidy"), "_key2": F.hash("_tidy")})
+    once = df.where(large).groupBy(*key).agg(F.any_value("_tidy").alias("_tidy"))
+    found = cut_lineage(contacts_by_cell(once.select(*key, F.explode(edges).alias("e")), key), "contacts")
+    # a small table where few geometries are broken, which Spark then sends to the rows
+    df = df.join(found.withColumnRenamed("contact", "_by_cell"), key, "left")
+    in_row = _contact_in_row(F.when(large, None).otherwise(edges))
+    return df.withColumn("_contact", F.when(large, F.col("_by_cell")).otherwise(in_row)).drop("_by_cell")
 
 
 def repair_geometries(df: DataFrame, parts: str = "parts", bbox: str = "bbox", strict: bool = False) -> DataFrame:
@@ -148,24 +210,39 @@ def repair_geometries(df: DataFrame, parts: str = "parts", bbox: str = "bbox", s
     A table that has columns of these names itself is an error: they would be lost.
 
     Adds ``defect`` (what was found), ``outcome`` (valid, null, repaired or
-    unrepaired) and recomputes ``bbox`` for repaired rows when it is present.
+    unrepaired) and recomputes ``bbox`` for repaired rows when it is present. A
+    repaired geometry covers the ground inside an odd number of the old rings;
+    where its area departs from that, the row stays as it was, unrepaired.
     """
-    taken = sorted({*FLAGS, "_candidate"} & set(df.columns))
+    taken = sorted({*FLAGS, *_WORK} & set(df.columns))
     if taken:
         raise ValueError(f"the table already has the columns {', '.join(taken)}")
-    g, found = F.col(parts), F.col("defect")
-    candidate = F.when(found.isNotNull() & (found != "null"), repaired(g))
-    checked = (
-        df.withColumn("defect", defect(g, strict))
-        .withColumn("_candidate", candidate)
-        .withColumn(
-            "outcome",
-            F.when(found == "null", "null")
-            .when(found.isNull(), "valid")
-            .when((F.size("_candidate") > 0) & defect(F.col("_candidate"), strict).isNull(), "repaired")
-            .otherwise("unrepaired"),
-        )
-    )
+    g, tidy, contact, found = F.col(parts), F.col("_tidy"), F.col("_contact"), F.col("defect")
+    is_area = g.isNotNull() & (F.size(G.vertices(g)) > 1)
+    checked = _with_contacts(df.withColumn("_tidy", F.when(is_area, _solid(_tidied(g)))))
+    in_ring = _in_ring(g, strict)
+    several = F.size(G.rings(tidy)) > 1
+    box = G.bbox(tidy)
+    checked = checked.withColumns({
+        "_found": in_ring, "_area": G.area(tidy),
+        "_close": F.coalesce(F.lit(CLOSE) * (box.xmax - box.xmin) * (box.ymax - box.ymin), F.lit(0.0))})
+    # the ground is measured where a repair must keep it, and where rings may lie in wrong places
+    measured = F.when(contact.isNotNull() | F.col("_found").isNotNull() | several, tidy)
+    # a filter on the outcome must stay above this step: pushed below, it could not be evaluated
+    redrawn = linework.redrawn.asNondeterministic()
+    checked = checked.withColumn("_drawn", redrawn(measured, contact.isNotNull(), F.col("_area"), F.col("_close")))
+    drawn = F.col("_drawn.parts")
+    by_contact = F.when(F.lit(False), "")
+    for kind, name in CONTACTS.items():
+        by_contact = by_contact.when(contact == kind, name)
+    misplaced = F.when(contact.isNull() & drawn.isNotNull(), "misplaced_ring")
+    checked = checked.withColumn("defect", F.coalesce("_found", by_contact, misplaced))
+    checked = checked.withColumn("_candidate", F.when(found.isNotNull() & (found != "null"), F.coalesce(drawn, tidy)))
+    kept = F.abs(G.area(F.col("_candidate")) - F.col("_drawn.ground")) <= F.col("_close")
+    checked = checked.withColumn(
+        "outcome",
+        F.when(found == "null", "null").when(found.isNull(), "valid")
+        .when((F.size("_candidate") > 0) & kept, "repaired").otherwise("unrepaired"))
     fixed = F.col("outcome") == "repaired"
     out = checked.withColumn(parts, F.when(fixed, F.col("_candidate")).otherwise(g))
     if bbox in df.columns:
@@ -173,7 +250,7 @@ def repair_geometries(df: DataFrame, parts: str = "parts", bbox: str = "bbox", s
             bbox,
             F.when(F.col("outcome") == "null", None).when(fixed, G.bbox(F.col(parts))).otherwise(F.col(bbox)),
         )
-    return out.drop("_candidate")
+    return out.select(*df.columns, *FLAGS)
 
 
 def quality_counters(checked: DataFrame, *by: str) -> DataFrame:

@@ -357,6 +357,72 @@ def repair_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def broken_lots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polygons that meet themselves in one of nine ways, or are valid though rings touch: see the SQL of ``linework_repair``."""
+    base = table(spark, sf_dir, "part").select("p_partkey", "p_size").selectExpr(
+        "p_partkey", "cast(p_partkey % 50 * 200 AS DOUBLE) AS x", "floor(p_partkey / 50) * 200.0D AS y",
+        "cast(4 + p_size AS DOUBLE) AS s")
+    x, y, s = F.col("x"), F.col("y"), F.col("s")
+
+    def ring(*points: tuple[float, float]) -> Column:
+        return F.array(*[G.xy(x + s * a, y + s * b) for a, b in points])
+
+    def box(x0: float, y0: float, x1: float, y1: float) -> Column:
+        return ring((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))
+
+    def turned(step: int) -> Column:
+        t = [F.radians(F.lit(90.0 + 72.0 * (step * i % 5))) for i in range(5)]
+        return F.array(*[G.xy(x + s * F.cos(a), y + s * F.sin(a)) for a in [*t, t[0]]])
+
+    square = box(0, 0, 1, 1)
+    pocket = ring((0, 0), (1, 0), (1, 1), (0.5, 1), (0.25, 0.5), (0.75, 0.5), (0.5, 1), (0, 1), (0, 0))
+    forms = [
+        F.array(F.array(ring((0, 0), (1, 1), (1, 0), (0, 1), (0, 0)))),
+        F.array(F.array(turned(2))),
+        F.array(F.array(square, box(2, 0, 2.5, 0.5))),
+        F.array(F.array(square, box(0.5, 0.25, 1.5, 0.75))),
+        F.array(F.array(square), F.array(box(0.5, 0.5, 1.5, 1.5))),
+        F.array(F.array(square, box(0, 0.25, 0.5, 0.75))),
+        F.array(F.array(pocket)),
+        F.array(F.array(square), F.array(box(0.25, 0.25, 0.75, 0.75))),
+        # valid: an island in the hole, and a part that touches a corner
+        F.array(F.array(square, box(0.125, 0.125, 0.875, 0.875)), F.array(box(0.25, 0.25, 0.75, 0.75)), F.array(box(1, 1, 1.5, 1.5))),
+        # a triangle across an island, the hole around it and the ground
+        F.array(F.array(box(0, 0, 2, 2), box(0.5, 0.5, 1.5, 1.5)), F.array(box(0.75, 0.75, 1.25, 1.25), ring((1, 1), (1.75, 1), (1.75, 1.125), (1, 1)))),
+    ]
+    parts = F.lit(None).cast(G.PARTS)
+    for k, form in enumerate(forms):
+        parts = F.when(F.col("p_partkey") % len(forms) == k, form).otherwise(parts)
+    return base.select("p_partkey", parts.alias("parts"))
+
+
+@query(
+    "linework_repair",
+    f"""
+    WITH b AS (SELECT p_partkey, p_partkey % 10 AS k, cast(4 + p_size AS DOUBLE) AS s FROM part)
+    SELECT p_partkey,
+           CASE k WHEN 0 THEN 'self_crossing' WHEN 1 THEN 'self_crossing' WHEN 2 THEN 'misplaced_ring' WHEN 3 THEN 'self_crossing'
+                  WHEN 4 THEN 'self_crossing' WHEN 5 THEN 'overlapping_edges' WHEN 6 THEN 'self_touch' WHEN 7 THEN 'misplaced_ring'
+                  WHEN 9 THEN 'self_crossing' END AS defect,
+           CASE k WHEN 8 THEN 'valid' ELSE 'repaired' END AS outcome,
+           round(s * s * CASE k WHEN 0 THEN 0.5
+                  WHEN 1 THEN 5 * sin(radians(36)) * cos(radians(72)) / cos(radians(36))
+                              - 2.5 * pow(cos(radians(72)) / cos(radians(36)), 2) * sin(radians(72))
+                  WHEN 2 THEN 1.25 WHEN 3 THEN 1.0 WHEN 4 THEN 1.5 WHEN 5 THEN 0.75 WHEN 6 THEN 0.875 WHEN 7 THEN 0.75
+                  WHEN 8 THEN 1 - 0.5625 + 0.25 + 0.25
+                  ELSE 3.234375 END, 4) AS area,
+           CASE k WHEN 0 THEN 2 WHEN 1 THEN 5 WHEN 2 THEN 2 WHEN 3 THEN 2 WHEN 4 THEN 2 WHEN 5 THEN 1 WHEN 6 THEN 1 WHEN 7 THEN 1
+                  WHEN 8 THEN 3 END AS n_parts
+    FROM b
+    """,
+)
+def linework_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = validity.repair_geometries(broken_lots(spark, sf_dir))
+    parts = F.when(F.col("p_partkey") % 10 != 9, F.size("parts"))
+    return checked.select(
+        "p_partkey", "defect", "outcome", F.round(G.area(F.col("parts")), 4).alias("area"), parts.alias("n_parts"))
+
+
 @query(
     "quality_counters",
     f"""
