@@ -260,7 +260,7 @@ def train(docs: DataFrame, labels: DataFrame, texts: int = TRAINING_TEXTS) -> Li
 
 def score(docs: DataFrame, field: LineField, column: str = "score") -> DataFrame:
     """All rows and columns with one more, the score of ``text``. Clashing names are an error."""
-    if column in docs.columns:
+    if column.lower() in map(str.lower, docs.columns):
         raise ValueError(f"the table already has a column {column}")
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
 
@@ -275,6 +275,6 @@ def score(docs: DataFrame, field: LineField, column: str = "score") -> DataFrame
 def accepted(docs: DataFrame, field: LineField, threshold: float = ACCEPT) -> DataFrame:
     """Rows whose score reaches the threshold, with the columns they came with."""
     column = "score"
-    while column in docs.columns:
+    while column in map(str.lower, docs.columns):
         column += "_"
     return score(docs, field, column).where(F.col(column) >= threshold).drop(column)

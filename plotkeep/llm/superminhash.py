@@ -271,5 +271,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` without the documents that are in the group of a smaller id. Equal rows share their fate."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    # each side's column by its frame: ``docs`` may have one of the same name
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
