@@ -63,6 +63,11 @@ def _text_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def let(value: Column, fn) -> Column:
+    """Bind a value for a lambda's body, where it would be computed for every element."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def _leading(tokens: Column) -> Column:
     return F.array(*[F.get(tokens, F.lit(i)) for i in range(DEPTH)])
 
@@ -97,9 +102,22 @@ def leaf_templates(docs: DataFrame, lines: DataFrame) -> DataFrame:
         variants.groupBy("leaf").agg(F.count("*").alias("variants")).where(F.col("variants") >= MIN_VARIANTS),
         "leaves",
     )
-    tokens = docs.select(F.explode(_text_lines(F.col("text"))).alias("text")).select(line_tokens(F.col("text")).alias("tokens"))
-    tokens = tokens.where(F.size("tokens") > DEPTH).select("tokens", _leaf(F.col("tokens")).alias("leaf"))
-    in_leaf = tokens.join(sized(leaves), "leaf").select("leaf", _line(F.col("tokens")).alias("line"), F.posexplode("tokens").alias("pos", "token"))
+    # each different line is read from one place; few documents hold one
+    places = (
+        lines.where(F.col("n") > DEPTH).join(sized(leaves), "leaf", "left_semi")
+        .groupBy("leaf", "line").agg(F.min(F.struct("doc_id", "copy", "no")).alias("place"))
+        .groupBy(F.col("place.doc_id").alias("_id"), F.col("place.copy").alias("_copy"))
+        .agg(F.collect_list(F.struct("leaf", "line", F.col("place.no").alias("no"))).alias("held"))
+    )
+    places = kept(places, "places")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("copy"), "text")
+    here = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("copy") == F.col("_copy"))
+    # two numbers a row go to the texts, so that only the texts that hold a place are shuffled
+    texts = texts.join(sized(places.select("_id", "_copy")), here, "left_semi").join(places, here)
+    own = let(_text_lines(F.col("text")), lambda all_lines: F.transform(
+        "held", lambda h: F.struct(h.leaf.alias("leaf"), h.line.alias("line"), F.get(all_lines, h.no).alias("text"))))
+    tokens = texts.select(F.inline(own)).select("leaf", "line", line_tokens(F.col("text")).alias("tokens"))
+    in_leaf = tokens.select("leaf", "line", F.posexplode("tokens").alias("pos", "token"))
     cells = kept(
         in_leaf.select("leaf", "line", "pos", F.xxhash64("token").alias("token")).distinct(), "cells"
     )
@@ -160,17 +178,25 @@ def _surroundings(lines: DataFrame, halves: list[int]) -> DataFrame:
     place = F.lit(0).cast("int")
     for k, half in enumerate(halves):
         place = F.when(F.col("half") == half, F.lit(k)).otherwise(place)
-    for name, order in (("before", F.col("no").asc()), ("after", F.col("no").desc())):
-        past = doc.orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        line = F.struct("lead", "n", "end")
-        nearest = [F.last(F.when(F.col("reach") <= half, line), ignorenulls=True).over(past) for half in halves]
+    line = F.struct("no", "lead", "n", "end")
+    sides = (("before", F.col("no").asc()), ("after", F.col("no").desc()))
+    past = {name: doc.orderBy(order).rowsBetween(Window.unboundedPreceding, -1) for name, order in sides}
+    # all but a third of the lines reach so many documents
+    lines = lines.withColumn("common", F.percentile("reach", F.lit(1 - WHOLE)).over(doc))
+    # a line that reaches no other document is outside of every passage; the rest is looked through for each half
+    for name, _ in sides:
+        lines = lines.withColumn(f"own_{name}", F.last(F.when(F.col("reach") == 1, line), ignorenulls=True).over(past[name]))
+    lines = lines.where(F.col("reach") > 1)
+    for name, _ in sides:
+        nearest = [F.last(F.when(F.col("reach") <= half, line), ignorenulls=True).over(past[name]) for half in halves]
         # nothing recurs where there are no halves
         lines = lines.withColumn(name, F.get(F.array(*nearest), place) if nearest else F.when(F.lit(False), line))
+        own, found = F.col(f"own_{name}"), F.col(name)
+        nearer = found["no"] > own["no"] if name == "before" else found["no"] < own["no"]
+        lines = lines.withColumn(name, F.when(own.isNull() | nearer, found).otherwise(own)).drop(f"own_{name}")
     begin = F.coalesce("before.end", F.lit(0))
     tokens = F.coalesce(F.col("after.end") - F.col("after.n"), "size") - begin
-    lines = lines.withColumns({"tokens": tokens, "before": F.col("before.lead"), "after": F.col("after.lead")})
-    # all but a third of the lines reach so many documents
-    return lines.withColumn("common", F.percentile("reach", F.lit(1 - WHOLE)).over(doc))
+    return lines.withColumns({"tokens": tokens, "before": F.col("before.lead"), "after": F.col("after.lead")})
 
 
 def recurring(lines: DataFrame) -> DataFrame:
@@ -236,7 +262,9 @@ def without_recurring_lines(docs: DataFrame) -> DataFrame:
     hits = hits.select(F.col("doc_id").alias("_hit_id"), F.col("copy").alias("_hit_copy"), "dropped")
     both = row.join(hits, F.col("_id").eqNullSafe(F.col("_hit_id")) & (F.col("_copy") == F.col("_hit_copy")), "left")
     lines = _text_lines(F.col("_row.text"))
-    clean = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("dropped", i)), "\n")
+    # array_except looks places up by hash
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "dropped")
+    clean = let(lines, lambda all_lines: F.array_join(F.transform(places, lambda i: F.get(all_lines, i)), "\n"))
     return both.select(
         "_row",
         F.when(F.col("dropped").isNull(), F.col("_row.text")).otherwise(clean).alias("text"),
