@@ -139,9 +139,9 @@ def test_chat_finds_templates_that_rewrite_history():
 
 
 def test_stages_with_clashing_columns(docs, items):
-    for name in ("_gone", "gone", "Score", "SCORE_", "_row", "_Copy", "held", "place"):
-        odd = docs.select("doc_id", "text", F.lit("x").alias(name))
-        assert superminhash.one_of_each_group(odd).columns == odd.columns
-        assert line_templates.dedup_lines(odd).count() == len(ROWS)
-        assert quality_crf.accepted(odd, quality_crf.neutral_field(), 0.0).columns == odd.columns
-        assert decontaminate.clean_documents(odd, items).count() == len(ROWS) - 2
+    names = ("_gone", "gone", "Score", "SCORE_", "_row", "_Copy", "held", "place")
+    odd = docs.select("doc_id", "text", *[F.lit("x").alias(name) for name in names])
+    assert superminhash.one_of_each_group(odd).columns == odd.columns
+    assert line_templates.dedup_lines(odd).count() == len(ROWS)
+    assert quality_crf.accepted(odd, quality_crf.neutral_field(), 0.0).columns == odd.columns
+    assert decontaminate.clean_documents(odd, items).count() == len(ROWS) - 2
