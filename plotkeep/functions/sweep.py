@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A crossing closer to a slab's side than this share of its height is taken as lying on it; more splits than these
-# are rounding.
-AT_SIDE = 1e-10
+# The order of edges is read at this share of a slab's height from its sides. A crossing nearer to one moves no more ground
+# than the square of the share; more splits than these are rounding.
+AT_SIDE = 1e-7
 DEEPEST = 40
 
 Counts = Callable[[np.ndarray], np.ndarray]
@@ -38,23 +38,23 @@ def _cover(owner: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 def _slab(low: np.ndarray, high: np.ndarray, owner: np.ndarray, height: float, wanted: Counts, deep: int = 0) -> float:
     """Covered area of a slab, from the edges' places at its lower and its upper side."""
-    order = np.lexsort((high, low))
-    a, b = low[order], high[order]
+    # seen a little inside, edges that meet on a side of the slab stand in their order between the sides
+    inset = (high - low) * AT_SIDE
+    order = np.lexsort((high - inset, low + inset))
+    a, b = (low + inset)[order], (high - inset)[order]
     # neighbours that change places cross inside the slab
     over = np.flatnonzero(b[:-1] > b[1:])
-    if len(over):
+    if len(over) and deep < DEEPEST:
         gap = a[over + 1] - a[over]
-        at = np.unique(gap / (gap + (b[over] - b[over + 1])))
-        at = at[(at > AT_SIDE) & (at < 1 - AT_SIDE)]
-        if len(at) and deep < DEEPEST:
-            cuts = np.concatenate(([0.0], at, [1.0]))
-            places = low[:, None] + (high - low)[:, None] * cuts[None, :]
-            return sum(
-                _slab(places[:, k], places[:, k + 1], owner, height * (cuts[k + 1] - cuts[k]), wanted, deep + 1)
-                for k in range(len(cuts) - 1))
-        # they cross at a side of the slab, as far as rounding tells: order by the middle
+        at = AT_SIDE + (1 - 2 * AT_SIDE) * np.unique(gap / (gap + (b[over] - b[over + 1])))
+        cuts = np.concatenate(([0.0], at, [1.0]))
+        places = low[:, None] + (high - low)[:, None] * cuts[None, :]
+        return sum(
+            _slab(places[:, k], places[:, k + 1], owner, height * (cuts[k + 1] - cuts[k]), wanted, deep + 1)
+            for k in range(len(cuts) - 1))
+    if len(over):  # only rounding is left to part them
         order = np.argsort(low + high, kind="stable")
-        a, b = low[order], high[order]
+    a, b = low[order], high[order]
     middle = (a + b) / 2
     counted = wanted(_cover(owner, order)[:-1])
     return float(np.sum(np.diff(middle)[counted]) * height)

@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from plotkeep.functions import geometry as G
 from plotkeep.operators.skew import split_hot_keys
-from plotkeep.operators.spatial_join import overlapping_shapes, points_in_polygons
+from plotkeep.operators.spatial_join import members, overlapping_shapes, points_in_polygons, row_pairs
 from plotkeep.operators.tiles import tile_counts, tile_features
 
 SHAPES = T.StructType([T.StructField("pid", T.LongType()), T.StructField("parts", G.PARTS)])
@@ -155,3 +155,16 @@ def test_tiles_against_brute_force(spark):
         kept.setdefault((r.zoom, r.tile_x, r.tile_y), []).append(r.id)
     assert {k: sorted(v) for k, v in kept.items()} == {
         k: sorted(sorted(v, key=rank)[:30]) for k, v in expected.items()}
+
+
+def test_points_that_touch(spark):
+    square = [[[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0), (0.0, 4.0), (0.0, 0.0)]]]
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("parts", G.PARTS)])
+    left = spark.createDataFrame([(1, square), (2, [[[(9.0, 9.0)]]]), (3, [[[(9.0, 9.0)]]])], schema)
+    right = spark.createDataFrame(
+        [(10, [[[(4.0, 2.0)]]]), (11, [[[(9.0, 9.0)]]]), (12, [[[(4.5, 2.0)]]]), (13, [[[(1.0, 1.0)]]])], schema)
+    pairs = overlapping_shapes(left, right, "id", "id", measure=True)
+    assert {(r.left_id, r.right_id, r.shared_area) for r in pairs.collect()} == {(1, 10, 0.0), (1, 13, 0.0), (2, 11, 0.0)}
+    rows = row_pairs(pairs.select("left_key", "right_key"), members(left, "id").withColumnRenamed("id", "l"),
+                     members(right, "id").withColumnRenamed("id", "r"))
+    assert {(r.l, r.r) for r in rows.collect()} == {(1, 10), (1, 13), (2, 11), (3, 11)}
