@@ -4,7 +4,8 @@ Byte-pair encoders of words never merge across a blank or line feed that
 follows other text. A text is cut there, every distinct piece is encoded
 once in a worker by the library, and the ids are put together again in numpy. The
 pieces are found by hash and compared byte by byte, so the ids are those of the
-whole text (``tests/llm`` compares them). Texts with other white space, and
+whole text (``tests/llm`` compares them). Texts with other white space or with
+the string of an added token, which the library takes as that token, and
 vocabularies for which a cut would show (``by_piece=False``), are encoded whole.
 """
 
@@ -64,8 +65,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.by_piece = by_piece
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        # a string with a gap in it could come about where pieces are joined
+        self.by_piece = by_piece and not any(" " in a or "\n" in a for a in self.added)
         self.size = self.tokenizer.get_vocab_size()
         self.forget()
 
@@ -157,10 +159,10 @@ class Encoder:
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids (unsigned 32 bit) of each text, without special tokens."""
+        """Ids (unsigned 32 bit) of each text. No special token is put around it; those it spells out are read as such."""
         if not self.by_piece:
             return self.whole(texts)
-        odd = [bool(OTHER_SPACE.search(t)) for t in texts]
+        odd = [bool(OTHER_SPACE.search(t)) or any(a in t for a in self.added) for t in texts]
         whole = iter(self.whole([t for t, x in zip(texts, odd) if x]))
         cut = iter(self._by_piece([t for t, x in zip(texts, odd) if not x]))
         return [next(whole) if x else next(cut) for x in odd]

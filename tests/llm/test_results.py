@@ -296,7 +296,6 @@ def test_packed_sequences_are_full():
 def test_op5_and_op8(spark, texts):
     for name, vocabulary, end in (("op5_bitpack", "word_bpe_49k.json", 1), ("op8_cost_packing", "byte_bpe_50k.json", 0)):
         whole = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-        whole.encode_special_tokens = True
         ids = {d: np.array(whole.encode(t, add_special_tokens=False).ids + [end], "<u4") for d, t in texts}
         at, start = 0, {}
         for d, _ in texts:
@@ -328,6 +327,17 @@ def test_pieces_give_the_ids_of_whole_texts(vocabulary):
     assert all(np.array_equal(a, b) for a, b in zip(encoder.encode(texts), encoder.whole(texts)))
 
 
+@pytest.mark.parametrize("vocabulary", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_inside_texts_are_read_as_the_library_does(vocabulary):
+    rng = random.Random(3)
+    words = ["a", " b", "end", " of ", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "\n"]
+    texts = ["end <|endoftext|> of", "<|endoftext|>", ""]
+    texts += ["".join(rng.choice(words) for _ in range(rng.randrange(9))) for _ in range(500)]
+    plain = Tokenizer.from_file(public_tokenizers.path(vocabulary))
+    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [a.tolist() for a in tokens.Encoder(public_tokenizers.path(vocabulary)).encode(texts)] == expected
+
+
 @needs_tables
 def test_quality_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
