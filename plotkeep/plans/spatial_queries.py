@@ -9,6 +9,7 @@ from plotkeep.functions import geometry as G
 from plotkeep.functions import projection as PR
 from plotkeep.functions import wkb as W
 from plotkeep.operators import cluster, dissolve, spatial_join, tiles, validity
+from plotkeep.operators import tile_cover as cover
 from plotkeep.plans.registry import query, table
 from plotkeep.session import scratch_path
 
@@ -538,3 +539,53 @@ def wkb_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("decoded").isNotNull(), F.size(G.vertices(F.col("decoded")))).alias("vertices"),
         F.octet_length("geometry").alias("wkb_bytes"), (F.col("decoded") == F.col("parts")).alias("same"),
     )
+
+
+# the districts on a fine grid of the unit square; every number is a whole multiple of a power of two
+_WORLD = """SELECT c_custkey, c_custkey % 3 AS shape, ((c_custkey * 7) % 450 + 0.28125) / 512 AS x0,
+                   ((c_custkey * 13) % 450 + 0.40625) / 512 AS y0,
+                   CASE WHEN c_custkey % 100 = 0 THEN 40.0 ELSE 1.0 + c_custkey % 4 END / 512 AS s FROM customer"""
+_COVER_ZOOM = 10
+
+
+def world_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Squares, triangles and squares with a hole, in world coordinates."""
+    number = F.col("c_custkey")
+    base = table(spark, sf_dir, "customer").select(
+        number, ((number * 7 % 450 + 0.28125) / 512).cast("double").alias("x"),
+        ((number * 13 % 450 + 0.40625) / 512).cast("double").alias("y"),
+        (F.when(number % 100 == 0, 40.0).otherwise(1.0 + number % 4) / 512).alias("s"))
+    x, y, s = F.col("x"), F.col("y"), F.col("s")
+    square = _closed_box(x, y, s)
+    triangle = F.array(G.xy(x, y), G.xy(x + s, y), G.xy(x, y + s), G.xy(x, y))
+    hole = _closed_box(x + s / 4, y + s / 4, s / 2, reverse=True)
+    parts = (
+        F.when(number % 3 == 0, F.array(F.array(square))).when(number % 3 == 1, F.array(F.array(triangle)))
+        .otherwise(F.array(F.array(square, hole)))
+    )
+    return base.select("c_custkey", parts.alias("parts"))
+
+
+@query(
+    "tile_cover",
+    f"""
+    WITH d AS (SELECT c_custkey, shape, cast(x0 AS DOUBLE) AS x0, cast(y0 AS DOUBLE) AS y0, cast(s AS DOUBLE) AS s
+               FROM ({_WORLD})),
+         z AS (SELECT *, pow(2, -zoom) AS w FROM d, (SELECT cast(range AS INT) AS zoom FROM range(0, {_COVER_ZOOM + 1}))),
+         c AS (SELECT *, unnest(range(cast(floor(x0 / w) AS BIGINT), cast(floor((x0 + s) / w) AS BIGINT) + 1)) AS tile_x FROM z),
+         t AS (SELECT *, unnest(range(cast(floor(y0 / w) AS BIGINT), cast(floor((y0 + s) / w) AS BIGINT) + 1)) AS tile_y FROM c),
+         k AS (SELECT *, tile_x * w - x0 AS a, (tile_x + 1) * w - x0 AS b, tile_y * w - y0 AS e, (tile_y + 1) * w - y0 AS f FROM t),
+         j AS (SELECT c_custkey, zoom, tile_x, tile_y,
+                 CASE shape WHEN 1 THEN greatest(a, 0) + greatest(e, 0) < s
+                            WHEN 2 THEN NOT (a >= s / 4 AND b <= 3 * s / 4 AND e >= s / 4 AND f <= 3 * s / 4) ELSE true END AS shares,
+                 a >= 0 AND e >= 0 AND CASE shape WHEN 1 THEN b + f <= s WHEN 2 THEN b <= s AND f <= s
+                            AND NOT (b > s / 4 AND a < 3 * s / 4 AND f > s / 4 AND e < 3 * s / 4) ELSE b <= s AND f <= s END AS whole
+               FROM k)
+    SELECT j.c_custkey, j.zoom, j.tile_x, j.tile_y, j.whole FROM j
+    LEFT JOIN j p ON p.c_custkey = j.c_custkey AND p.zoom = j.zoom - 1 AND p.tile_x = j.tile_x // 2 AND p.tile_y = j.tile_y // 2
+    WHERE j.shares AND NOT coalesce(p.whole, false) AND (j.whole OR j.zoom = {_COVER_ZOOM})
+    """,
+)
+def tile_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles of every district: whole ones as coarse as can be, those on the outline at the deepest zoom."""
+    return cover.tile_cover(world_districts(spark, sf_dir), "c_custkey", max_zoom=_COVER_ZOOM)
