@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,19 +28,23 @@ def sync_gate(published: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _relative(links: DataFrame, light: bool) -> DataFrame:
-    """Links into the tree. ``light`` exempts data suffixes, whose bytes live elsewhere."""
+    """Links into the tree. ``light`` exempts assets with a data suffix, whose bytes live elsewhere.
+
+    What is an asset is told by ``source``, as ``document_links`` gives it; a link to a data file is no asset.
+    """
     href = F.col("href")
     relative = links.where((href != "") & ~P.is_remote_link(href))
-    if light:
-        for suffix in LINK_DATA_SUFFIXES:
-            relative = relative.where(~F.lower(href).endswith(suffix))
+    if light and "source" in links.columns:
+        is_data = reduce(or_, [F.lower(href).endswith(suffix) for suffix in LINK_DATA_SUFFIXES])
+        is_asset = F.coalesce(F.col("source").startswith("asset "), F.lit(False))
+        relative = relative.where(~(is_asset & is_data))
     return relative
 
 
 def unresolved_links(links: DataFrame, inventory: DataFrame, light: bool = False) -> DataFrame:
     """(target, referring) of relative links without a file.
 
-    links(doc_dir, href), inventory(path). Links are reduced to distinct
+    links(doc_dir, href, and source where ``light`` is asked for), inventory(path). Links are reduced to distinct
     targets first, so one popular target is one row.
     """
     # resolve distinct (folder, link) pairs, not every occurrence

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from plotkeep.operators.profile import class_index, distinct_value_counts, field_list
+from plotkeep.operators.profile import class_index, distinct_value_counts
 
 RULES_SCHEMA = (
     "style string, rule_no int, kind string, column string, "
@@ -38,17 +39,39 @@ def _finding(df: DataFrame, finding: str, detail: Column, n: Column) -> DataFram
     return df.select(*_RULE, F.lit(finding).alias("finding"), detail.alias("detail"), n.cast("long").alias("n"))
 
 
+def _paths(schema: T.StructType) -> dict[str, Column]:
+    """Every field by its own name. Of several of one name, the least nested counts."""
+    found: dict[str, Column] = {}
+    level = [(field, F.col(f"`{field.name}`")) for field in schema.fields]
+    while level:
+        for field, column in level:
+            found.setdefault(field.name, column)
+        level = [
+            (inner, column.getField(inner.name))
+            for field, column in level if isinstance(field.dataType, T.StructType) for inner in field.dataType.fields
+        ]
+    return found
+
+
+def _flat(df: DataFrame, names: list[str]) -> DataFrame:
+    """The named fields that a table has, nested ones among them, as its columns."""
+    paths = _paths(df.schema)
+    return df.select(*[paths[name].alias(name) for name in names if name in paths])
+
+
 def legend_drift(rules: DataFrame, new: DataFrame, previous: DataFrame | None = None) -> DataFrame:
     """Findings: column_gone, empty_branch, empty_class and new_value.
 
+    A styled column may be a field of a struct and is found by its own name.
     Values that already fell to the fallback before are left alone. All
     styled columns are profiled in one scan per table; the joins work on
     distinct values.
     """
     styled = [r[0] for r in rules.select("column").distinct().collect()]  # one entry per styled column
-    present = {path.rsplit(".", 1)[-1] for path, _ in field_list(new.schema)}
-    here = [c for c in styled if c in new.columns]
-    gone = rules.where(~F.col("column").isin(sorted(present)))
+    new = _flat(new, styled)
+    previous = None if previous is None else _flat(previous, styled)
+    here = new.columns
+    gone = rules.where(~F.col("column").isin(here)) if here else rules
     findings = _finding(gone, "column_gone", F.lit("the column is gone from the new data"), F.lit(None))
     if not here:
         return findings

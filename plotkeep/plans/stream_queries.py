@@ -75,31 +75,28 @@ def stream_edit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "stream_extract_consistency",
     f"""
-    WITH e AS (SELECT event_type AS collection, cast(ts AS DATE) AS day, hour(ts) AS h, count(*) OVER (
-                 PARTITION BY event_type, cast(ts AS DATE)) AS n FROM events),
-         r AS (SELECT collection, day, n + CASE WHEN day(day) % 5 = 0 AND h >= 12 THEN 1 ELSE 0 END AS reported FROM e)
-    SELECT collection, strftime(day, '%Y-%m-%d') AS extract_day, min(reported) AS count_low, max(reported) AS count_high,
+    WITH x AS (SELECT event_type AS collection, cast(ts - INTERVAL 6 HOUR AS DATE) AS day, ts FROM events),
+         e AS (SELECT *, count(*) OVER (PARTITION BY collection, day) AS n FROM x),
+         r AS (SELECT *, n + CASE WHEN day(day) % 5 = 0 AND hour(ts) >= 12 THEN 1 ELSE 0 END AS reported FROM e)
+    SELECT collection, strftime(day, '%Y-%m-%d') AS extract, min(reported) AS count_low, max(reported) AS count_high,
            count(*) AS received, min(reported) = max(reported) AND max(reported) = count(*) AS keep
-    FROM r WHERE day + INTERVAL 1 DAY <= {_CLOSED} GROUP BY collection, day
+    FROM r GROUP BY collection, day HAVING max(ts) + INTERVAL 1 DAY <= {_CLOSED}
     """,
 )
 def stream_extract_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One extract per event type and day; on every fifth day of the month the count moves at noon."""
-    totals = table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("day")).agg(
-        F.count(F.lit(1)).alias("total")
-    )
-    stream = event_stream(spark, sf_dir).withColumn("day", F.to_date("ts")).join(totals, ["event_type", "day"])
+    """One extract per event type, from six to six over midnight; on every fifth day of the month the count moves at noon."""
+    day = F.to_date(F.col("ts") - F.expr("INTERVAL 6 HOURS"))
+    totals = table(spark, sf_dir, "events").groupBy("event_type", day.alias("day")).agg(F.count(F.lit(1)).alias("total"))
+    stream = event_stream(spark, sf_dir).withColumn("day", day).join(totals, ["event_type", "day"])
     moved = (F.dayofmonth("day") % 5 == 0) & (F.hour("at") >= 12)
     pages = stream.select(
-        F.col("event_type").alias("collection"), F.col("at").alias("read"), F.lit(1).alias("page_rows"),
+        F.col("event_type").alias("collection"), F.date_format("day", "yyyy-MM-dd").alias("extract"),
+        F.col("at").alias("read"), F.lit(1).alias("page_rows"),
         (F.col("total") + F.when(moved, 1).otherwise(0)).alias("reported"),
     )
     root = scratch_path(spark, "consistency")
     checked = jobs.drain(jobs.extract_consistency(pages), f"{root}/out", f"{root}/checkpoint")
-    return checked.select(
-        "collection", F.date_format("extract_start", "yyyy-MM-dd").alias("extract_day"),
-        "count_low", "count_high", "received", "keep",
-    )
+    return checked.select("collection", "extract", "count_low", "count_high", "received", "keep")
 
 
 @query(

@@ -116,22 +116,24 @@ def edit_rate(edits: DataFrame, width: str = "7 days", delay: str = "1 day") ->
     )
 
 
-def extract_consistency(pages: DataFrame, width: str = "1 day", delay: str = "1 day") -> DataFrame:
+def extract_consistency(pages: DataFrame, silence: str = "1 day", delay: str = "1 day") -> DataFrame:
     """Did the source hold still while it was read?
 
-    pages(collection, read timestamp, page_rows, reported). An extract whose
-    reported count moved, or differs from the rows received, is discarded.
+    pages(collection, extract, read timestamp, page_rows, reported). An extract is told by its id, whatever
+    days it touches and however many there are in a day, and has ended once no page of it came for
+    ``silence``. One whose reported count moved, or differs from the rows received, is discarded; so are both
+    halves of one that paused for longer. Pages without an id are one extract of their collection.
     """
     return (
         pages.withWatermark("read", delay)
-        .groupBy(F.window("read", width).alias("w"), "collection")
+        .groupBy(F.session_window("read", silence).alias("w"), "collection", "extract")
         .agg(
             F.min("reported").alias("count_low"),
             F.max("reported").alias("count_high"),
             F.sum("page_rows").alias("received"),
         )
         .select(
-            "collection", F.col("w.start").alias("extract_start"), "count_low", "count_high", "received",
+            "collection", "extract", F.col("w.start").alias("extract_start"), "count_low", "count_high", "received",
             ((F.col("count_low") == F.col("count_high")) & (F.col("count_high") == F.col("received"))).alias("keep"),
         )
     )

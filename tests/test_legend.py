@@ -72,3 +72,14 @@ def test_rule_extraction(spark, rows):
         (1, "step", "b", [], [10.0, 20.5]),
         (2, "match", "n", [(1.0, None), (0.0, None)], []),
     ]
+
+
+def test_a_nested_column_is_found_by_its_own_name(spark, rules):
+    flat = data(spark, [55, 30, 20], [2.0, 8.0, 0.5])
+    nested = flat.selectExpr("named_struct('inner', named_struct('grade', grade)) AS outer", "width")
+    assert findings(rules, nested) == findings(rules, flat) != []
+    before = data(spark, *BEFORE)
+    assert findings(rules, nested, before) == findings(rules, flat, before)
+    assert findings(rules, flat, nested) == findings(rules, flat, flat)
+    shadowed = flat.selectExpr("named_struct('grade', -1L) AS first", "grade", "width")
+    assert findings(rules, shadowed) == findings(rules, flat)

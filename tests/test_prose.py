@@ -71,7 +71,13 @@ def test_links(spark, rows):
     ], "doc_dir string, href string")
     inventory = spark.createDataFrame([("a/b/x.json",), ("a/x.json",), ("y.json",), ("root.json",)], "path string")
     assert rows(gates.unresolved_links(links, inventory)) == [("../y.json", 1), ("a/b/gone.json", 3), ("data.PARQUET", 1)]
-    assert rows(gates.unresolved_links(links, inventory, light=True)) == [("../y.json", 1), ("a/b/gone.json", 3)]
+    # a link to a data file must resolve in either mode; only an asset of that kind is exempt
+    assert rows(gates.unresolved_links(links, inventory, light=True)) == rows(gates.unresolved_links(links, inventory))
+    mixed = spark.createDataFrame([
+        ("", "one.PARQUET", "asset data"), ("", "two.parquet", "rel:item"), ("", "three.json", "asset data"), ("", "four.zip", None),
+    ], "doc_dir string, href string, source string")
+    assert rows(gates.unresolved_links(mixed, inventory, light=True)) == [("four.zip", 1), ("three.json", 1), ("two.parquet", 1)]
+    assert gates.unresolved_links(mixed, inventory).count() == 4
 
 
 def test_broken_references_name_their_documents(spark, rows):

@@ -54,15 +54,20 @@ def test_edit_rate_drops_late_rows(spark, tmp_path):
 
 def test_extract_consistency(spark, tmp_path):
     landed = str(tmp_path / "in")
-    schema = "collection string, read timestamp, page_rows int, reported int"
+    schema = "collection string, extract string, read timestamp, page_rows int, reported int"
     at = lambda n, h: START + timedelta(days=n, hours=h)
     land(spark, landed, "a", [
-        ("still", at(0, 1), 10, 15), ("still", at(0, 2), 5, 15),
-        ("moved", at(0, 1), 10, 15), ("moved", at(0, 2), 5, 16),
-        ("short", at(0, 1), 10, 15), ("later", at(9, 1), 1, 1),
+        ("still", "a", at(0, 1), 10, 15), ("still", "a", at(0, 2), 5, 15),
+        ("moved", "a", at(0, 1), 10, 15), ("moved", "a", at(0, 2), 5, 16),
+        ("short", "a", at(0, 1), 10, 15), ("later", "a", at(9, 1), 1, 1),
+        ("night", "a", at(0, 23), 10, 15), ("night", "a", at(1, 1), 5, 15),
+        ("twice", "a", at(0, 1), 15, 15), ("twice", "b", at(0, 2), 10, 16), ("twice", "b", at(0, 3), 6, 16),
+        ("no id", None, at(0, 1), 7, 7),
     ], schema)
     out = jobs.drain(jobs.extract_consistency(stream(spark, landed, schema)), str(tmp_path / "out"), str(tmp_path / "cp"))
-    assert {r.collection: r.keep for r in out.collect()} == {"still": True, "moved": False, "short": False}
+    assert sorted((r.collection, r.extract or "", r.keep) for r in out.collect()) == [
+        ("moved", "a", False), ("night", "a", True), ("no id", "", True), ("short", "a", False), ("still", "a", True),
+        ("twice", "a", True), ("twice", "b", True)]
 
 
 def test_page_ingest_appends_once(spark, tmp_path):
