@@ -40,6 +40,56 @@ def content_hash(
     return hashed.groupBy(*by).agg(content_digest(F.col("_h")).alias(out))
 
 
+def changed_rows(old: DataFrame, new: DataFrame, diff: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that left and rows that came, from the keys of ``version_diff``. A null key is a key like others."""
+    def of(rows: DataFrame, one_sided: str) -> DataFrame:
+        named = [F.col(k).alias(f"_k{i}") for i, k in enumerate(key)]
+        keys = diff.where(F.col("change").isin(one_sided, "changed")).select(*named)
+        same = [rows[k].eqNullSafe(keys[f"_k{i}"]) for i, k in enumerate(key)]
+        return rows.join(keys, same, "left_semi")
+
+    return of(old, "removed"), of(new, "added")
+
+
+def advance_hash(
+    previous: DataFrame,
+    removed: DataFrame,
+    added: DataFrame,
+    by: Sequence[str] = (),
+    columns: Sequence[str] | None = None,
+    portable: bool = False,
+    scale: int = 6,
+    parts: str | None = None,
+    out: str = "content_hash",
+) -> DataFrame:
+    """The content hash of a version from its predecessor's and the rows that left and came.
+
+    ``previous`` is what ``content_hash`` gave with the same arguments; the result equals
+    what it gives for the new version, as sums of row hashes can be taken back. Only the
+    rows that changed are read. A repeated row is taken or added as often as it is there.
+    A group that has no rows left has no hash; a whole table that is empty has ``0:0``.
+    Both sides must have the same columns; a version with other columns is hashed anew.
+    """
+    names = [c for c in (columns or added.columns) if c not in by]
+    types = [[df.schema[c].dataType for c in (*by, *names)] for df in (removed, added)]
+    if types[0] != types[1]:
+        raise ValueError("rows of both versions must have the same columns")
+
+    def change(df: DataFrame, sign: int) -> DataFrame:
+        digest = F.split(out, ":")
+        return content_hash(df.select(*by, *names), by, columns, portable, scale, parts, out).select(
+            *by, (digest[0].cast("decimal(38,0)") * sign).cast("decimal(38,0)").alias("_sum"),
+            (digest[1].cast("long") * sign).alias("_n"))
+
+    digest = F.split(out, ":")
+    known = previous.select(*by, digest[0].cast("decimal(38,0)").alias("_sum"), digest[1].cast("long").alias("_n"))
+    total = known.union(change(removed, -1)).union(change(added, 1)).groupBy(*by).agg(
+        F.coalesce(F.sum("_sum").cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")).alias("_sum"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"))
+    left = total.where("_n <> 0 or _sum <> 0") if by else total
+    return left.select(*by, F.concat(F.col("_sum").cast("string"), F.lit(":"), F.col("_n").cast("string")).alias(out))
+
+
 def version_diff(old: DataFrame, new: DataFrame, key: Sequence[str], parts: str | None = None) -> DataFrame:
     """(key, change) of rows added, removed or changed between two versions.
 

@@ -432,6 +432,32 @@ def no_op_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content.no_op_checks(hashed(current), hashed(extracted))
 
 
+@query(
+    "advanced_hash",
+    f"""
+    WITH v2 AS (
+      SELECT c_custkey, c_name, c_acctbal + CASE WHEN c_custkey % 10 = 0 THEN 1 ELSE 0 END AS c_acctbal, c_mktsegment, c_nationkey
+      FROM customer WHERE c_custkey % 17 <> 0 AND c_nationkey <> 3
+      UNION ALL SELECT c_custkey, c_name, c_acctbal, c_mktsegment, c_nationkey FROM customer
+                WHERE c_custkey % 41 = 0 AND c_custkey % 17 <> 0 AND c_nationkey <> 3
+      UNION ALL SELECT c_custkey + 100000000, c_name, c_acctbal, c_mktsegment, 1000 FROM customer WHERE c_custkey % 50 = 0)
+    SELECT c_nationkey, {_CUSTOMER_HASH} AS content_hash FROM v2 GROUP BY c_nationkey
+    """,
+)
+def advanced_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashes per nation kept up by what version two edits, removes, repeats and adds; one nation goes, one comes."""
+    columns = ["c_custkey", "c_name", "c_acctbal", "c_mktsegment", "c_nationkey"]
+    old = table(spark, sf_dir, "customer").select(columns)
+    edited = F.col("c_acctbal") + F.when(F.col("c_custkey") % 10 == 0, 1).otherwise(0)
+    left = old.where("c_custkey % 17 <> 0 and c_nationkey <> 3")
+    came = old.where("c_custkey % 50 = 0").withColumns(
+        {"c_custkey": F.col("c_custkey") + 100000000, "c_nationkey": F.lit(1000).cast(old.schema["c_nationkey"].dataType)})
+    new = left.withColumn("c_acctbal", edited).union(left.where("c_custkey % 41 = 0")).union(came)
+    before = content.content_hash(old, by=["c_nationkey"], portable=True)
+    diff = content.version_diff(old, new, ["c_custkey"])
+    return content.advance_hash(before, *content.changed_rows(old, new, diff, ["c_custkey"]), by=["c_nationkey"], portable=True)
+
+
 @query(
     "version_diff",
     """

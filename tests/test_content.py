@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plotkeep.functions.geometry import PARTS
-from plotkeep.operators.content import content_hash, no_op_checks, version_diff
+from plotkeep.operators.content import advance_hash, changed_rows, content_hash, no_op_checks, version_diff
 
 SCHEMA = "id int, name string, v double, tags array<int>, s struct<a:int,b:string>, m map<string,int>"
 
@@ -122,3 +122,34 @@ def test_version_diff_against_multisets(spark, rows):
     )
     df = lambda data: spark.createDataFrame(data, "k int, v int")
     assert sorted(tuple(r) for r in version_diff(df(old), df(new), ["k"]).collect()) == expected
+
+
+def test_hash_kept_up_by_differences(spark, rows):
+    schema = "id long, name string, size double"
+    old = [(i, f"n{i % 4}", i / 3) for i in range(40)] + [(7, "n3", 7 / 3)] * 2 + [(None, "n1", 0.5), (50, None, None)]
+    changes = {
+        "edit": [(i, n, -1.0 if i == 5 else s) for i, n, s in old],
+        "remove": old[3:],
+        "repeat": old + old[:4] + [old[-1]],
+        "one copy less": old[:-3] + old[-2:],
+        "null key": [r for r in old if r[0] is not None] + [(None, "n1", 0.75), (None, "n9", 1.0)],
+        "one group gone": [r for r in old if r[1] != "n2"],
+        "all gone": [],
+        "same": old[::-1],
+    }
+    before = spark.createDataFrame(old, schema)
+    for what, data in changes.items():
+        after = spark.createDataFrame(data, schema)
+        left, came = changed_rows(before, after, version_diff(before, after, ["id"]), ["id"])
+        for by, portable in (([], False), (["name"], True)):
+            kept_up = advance_hash(content_hash(before, by, portable=portable), left, came, by, portable=portable)
+            assert rows(kept_up) == rows(content_hash(after, by, portable=portable)), (what, by)
+        assert what != "same" or left.count() + came.count() == 0
+    first = advance_hash(content_hash(before.limit(0)), before.limit(0), before)  # from an empty version
+    assert rows(first) == rows(content_hash(before))
+
+
+def test_a_hash_is_not_kept_up_over_other_columns(spark):
+    one = spark.createDataFrame([(1, 2)], "id int, v int")
+    with pytest.raises(ValueError):
+        advance_hash(content_hash(one), one, one.withColumn("v", F.col("v").cast("long")))
