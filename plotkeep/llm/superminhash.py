@@ -8,8 +8,9 @@ of independent hashes. The orders are the lines ``a + j*b`` modulo the prime
 ``SLOTS``: like random orders, they give any two slots each pair of different
 ranks equally often, and they need no state per shingle.
 
-Sets that are equal (copies) are one class, shown by its smallest id. Classes
-that share a band are linked to one of them, the hub, after comparing whole
+Sets that are equal (copies) are one class. Sets of up to ``SMALL`` shingles
+also have bands of single shingles, the first of each in the order of their
+hashes: small similar sets always share one of these. Classes that share a band are linked to one of them, the hub, after comparing whole
 sets. Where a band still holds several components after that, its classes are
 joined by their rarest shingles (similar sets share one early enough), so no
 link between different components is lost; inside a component no more pairs
@@ -17,8 +18,8 @@ are needed. No step pairs a group with itself.
 
 Cases: a text without words (null, empty, white space) is linked with nothing;
 fewer words than a shingle make one shingle of them all; equal rows
-share a group, and a row that repeats a doc_id with another text has the group
-of its own text; rows with a null doc_id are linked with nothing and kept; extra
+share a group and their fate, and a row that repeats a doc_id with another text
+has the group of its own text and is kept or not by itself; rows with a null doc_id are linked with nothing and kept; extra
 columns pass through.
 """
 
@@ -40,6 +41,8 @@ BANDS = SLOTS // BAND
 # Links are sets with 100 * intersection >= PERCENT * union.
 PERCENT = 75
 HUB_ROUNDS = 1
+# Signatures of smaller sets vary too much to be trusted alone.
+SMALL = 16
 # Sizes of sets whose ratio is below this are one class.
 SIZE_RATIO = 1.05
 
@@ -117,32 +120,52 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64), pa.int64()))
 
 
+def _small_keys(value: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and owners of the first shingles of small sets: all but those that a similar set may lack, and one more."""
+    size = np.diff(bounds)
+    owner = np.repeat(np.arange(len(size)), size)
+    first = np.where(size <= SMALL, size - -(-size * PERCENT // 100) + 1, 0)
+    taken = np.arange(len(value)) - bounds[owner] < first[owner]
+    return mix(value[taken] ^ _SPREAD[45]), owner[taken]
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, name0, name1, bands) of every row: set size, the set's name, band keys (none for an empty set)."""
+    """(doc_id, digest, n, name0, name1, bands) of every row: the text's digest, set size, the set's name, band keys.
+
+    An empty set has no band keys.
+    """
     def run(batches):
         for batch, texts in slices(batches, "text"):
             value, bounds = shingle_sets(texts)
             size = np.diff(bounds)
             names = _set_name(value, bounds)
             keys = band_keys(signatures(value, bounds))[size > 0]
-            ends = np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))])
+            small, of = _small_keys(value, bounds)
+            owner = np.concatenate([np.repeat(np.flatnonzero(size > 0), BANDS), of])
+            order = np.argsort(owner, kind="stable")
+            ends = np.searchsorted(owner[order], np.arange(len(texts) + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").cast(pa.int64()), pa.array(size, pa.int64()), pa.array(names[:, 0].view(np.int64)),
-                 pa.array(names[:, 1].view(np.int64)), _lists(keys.ravel(), ends)],
-                ["doc_id", "n", "name0", "name1", "bands"],
+                [batch.column("doc_id").cast(pa.int64()), batch.column("digest"), pa.array(size, pa.int64()),
+                 pa.array(names[:, 0].view(np.int64)), pa.array(names[:, 1].view(np.int64)),
+                 _lists(np.concatenate([keys.ravel(), small])[order], ends)],
+                ["doc_id", "digest", "n", "name0", "name1", "bands"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, name0 long, name1 long, bands array<long>")
+    return docs.select("doc_id", "text", F.md5("text").alias("digest")).mapInArrow(
+        run, "doc_id long, digest string, n long, name0 long, name1 long, bands array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(id, shingles) of the given rows."""
+    """(id, name0, name1, shingles) of the given rows."""
     def run(batches):
         for batch, texts in slices(batches, "text"):
             value, bounds = shingle_sets(texts)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), _lists(value, bounds)], ["id", "shingles"])
+            names = _set_name(value, bounds).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(names[:, 0]), pa.array(names[:, 1]), _lists(value, bounds)],
+                ["id", "name0", "name1", "shingles"])
 
-    return docs.mapInArrow(run, "id long, shingles array<long>")
+    return docs.select("id", "text").mapInArrow(run, "id long, name0 long, name1 long, shingles array<long>")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -216,13 +239,30 @@ def _prefix_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
+def _class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(id, shingles) of ``classes`` (id, first, name0, name1), read from one of the rows with the id ``first``."""
+    key = ["first", "name0", "name1"]
+    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    firsts = classes.select(F.col("first").alias("id")).distinct()
+    # rows of one id may have several texts, or one text several times
+    found = _sets(source.join(firsts, "id", "left_semi")).groupBy(F.col("id").alias("first"), "name0", "name1").agg(
+        F.first("shingles").alias("shingles"))
+    return found.join(classes.select("id", *key), key).select("id", "shingles")
+
+
+def groups(docs: DataFrame) -> DataFrame:
+    """(doc_id, digest, n, name0, name1, head) of every row of ``docs`` (doc_id, text).
+
+    ``head`` (first, name0, name1) is the smallest doc_id of the row's group and the set
+    that stands for the group, null for a text without words or a row without a doc_id.
+    """
     signs = kept(signed(docs), "signs")
     classes = kept(
         signs.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
         .groupBy("name0", "name1", "n")
-        .agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands")),
+        .agg(F.min("doc_id").alias("first"), F.min_by("bands", "doc_id").alias("bands"))
+        # a doc_id may have several texts, so it cannot name a class; written once, these ids stay
+        .withColumn("id", F.monotonically_increasing_id()),
         "classes",
     )
     members = classes.select("id", "n", F.explode("bands").alias("key"))
@@ -230,8 +270,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.count("*").alias("times"), F.min(F.struct("id", "n")).alias("hub")).where("times > 1")
     members = kept(members.join(shared.select("key", "hub"), "key"), "members")
     needed = members.select("id").distinct()
-    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    sets = kept(_sets(source.join(needed, "id", "left_semi")), "sets")
+    sets = kept(_class_sets(docs, classes.join(needed, "id", "left_semi")), "sets")
 
     # the hub that most of a class's bands name
     pairs = (
@@ -259,18 +298,28 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = links.union(_similar(_prefix_pairs(mixed, sets), sets))
     labels = kept(components(links), "labels")
 
-    grouped = classes.drop("bands").join(labels, "id", "left").select(
-        "name0", "name1", "n", F.coalesce("component", "id").alias("component"))
-    linked = F.when(F.col("n") > 0, F.col("component"))
+    own = F.struct("first", "name0", "name1")
+    tied = classes.select("id", own.alias("own")).join(labels, "id")
+    heads = tied.groupBy("component").agg(F.min("own").alias("head"))
+    heads = tied.select("id", "component").join(heads, "component").select("id", "head")
+    named = classes.join(heads, "id", "left").select("name0", "name1", "n", F.coalesce("head", own).alias("head"))
+    return signs.drop("bands").join(named, ["name0", "name1", "n"], "left").select(
+        "doc_id", "digest", "n", "name0", "name1", F.when(F.col("doc_id").isNotNull(), F.col("head")).alias("head"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs`` (doc_id, text)."""
     return (
-        signs.drop("bands").join(grouped, ["name0", "name1", "n"], "left")
-        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(linked, F.col("doc_id")).alias("component_id"))
+        groups(docs)
+        .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("head.first", "doc_id").alias("component_id"))
         .withColumn("kept", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)))
     )
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """Rows of ``docs`` without the documents that are in the group of a smaller id. Equal rows share their fate."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone")).distinct()
+    """Rows of ``docs`` without those whose group is shown by another id or set. Equal rows share their fate."""
+    shown = (F.col("doc_id") == F.col("head.first")) & (F.col("name0") == F.col("head.name0")) & (
+        F.col("name1") == F.col("head.name1"))
+    gone = groups(docs).where(~shown).select(F.col("doc_id").alias("gone"), "digest").distinct()
     # each side's column by its frame: ``docs`` may have one of the same name
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    return docs.join(gone, (docs["doc_id"] == gone["gone"]) & (F.md5(docs["text"]) == gone["digest"]), "left_anti")

@@ -5,6 +5,7 @@ import os
 import random
 import re
 import zlib
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import duckdb
@@ -13,7 +14,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from plotkeep.llm import bitpack, components, line_templates, packing, quality_crf, simhash, superminhash, tokens
+from plotkeep.llm import bitpack, components, line_templates, packing, quality_crf, simhash, superminhash, tokens, url_templates
 from plotkeep.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -142,6 +143,87 @@ def test_prefix_pairs_find_what_the_hubs_have_not_linked(spark):
                      if 100 * len(exact[a] & exact[b]) >= 75 * len(exact[a] | exact[b])}
 
 
+def test_rows_of_one_id_keep_their_texts(spark):
+    one, two = "a b c d e f g", "q r s t u v w"
+    rows = [(0, one), (1, one), (1, two), (3, two), (4, one + " x"), (None, two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, superminhash.one_of_each_group(docs).collect()), key=repr) == [(0, one), (1, two), (None, two)]
+    got = {(r.doc_id, r.component_id) for r in superminhash.near_duplicates(docs).collect()}
+    assert got == {(0, 0), (1, 0), (1, 1), (3, 1), (4, 0), (None, None)}
+
+
+def test_small_similar_sets_always_share_a_key():
+    rng = random.Random(5)
+    for _ in range(3000):
+        size = rng.randint(1, superminhash.SMALL)
+        one = rng.sample(range(10**6), size)
+        two = [x for x in one if rng.random() < 0.9] + rng.sample(range(10**6, 2 * 10**6), rng.randint(0, 2))
+        two = two[: superminhash.SMALL] or [1]
+        value = np.array(sorted(set(one)) + sorted(set(two)), np.uint64)
+        keys, owner = superminhash._small_keys(value, np.array([0, len(set(one)), len(value)]))
+        common = len(set(one) & set(two))
+        if 100 * common >= 75 * len(set(one) | set(two)):
+            assert set(keys[owner == 0]) & set(keys[owner == 1])
+
+
+def tree_of(urls):
+    """Template of every path of one host by walking the tree of its segments."""
+    found = {}
+
+    def walk(members, level, prefix):
+        for path in [p for p in members if len(p) <= level]:
+            found[path] = prefix
+        members = [p for p in members if len(p) > level]
+        seen = Counter()
+        for p in members:
+            seen[p[level]] += urls[p]
+        branches = defaultdict(list)
+        for p in members:
+            branches[p[level] if seen[p[level]] >= url_templates.SUPPORT else "*"].append(p)
+        for segment, inside in branches.items():
+            walk(inside, level + 1, f"{prefix}/{segment}")
+
+    walk(list(urls), 0, "")
+    return found
+
+
+def test_path_templates_same_as_a_walk(spark):
+    rng = random.Random(3)
+    urls = Counter()
+    for _ in range(1500):
+        depth = rng.choice([0, 1, 2, 3, 6, 9])
+        urls[tuple(rng.choice(["a", "b", f"s{rng.randrange(12)}", str(rng.randrange(10**6))]) for _ in range(depth))] += 1
+    rows = [("h", "".join(f"/{s}" for s in p), n, 0, 0) for p, n in urls.items()] + [("i", "/a*b", 30, 0, 0)]
+    paths = spark.createDataFrame(rows, "host string, path string, n long, labelled long, good long")
+    got = {(r.host, r.path): r.template for r in url_templates.path_templates(paths).collect()}
+    assert got == {("i", "/a*b"): "/a%2Ab"} | {
+        ("h", "".join(f"/{s}" for s in p)): t for p, t in tree_of(urls).items()}
+
+
+@pytest.mark.parametrize("sections", [5, 20, 60])
+def test_one_bad_section_is_found_at_any_size_and_depth(spark, sections):
+    rows = [(f"s://{host}/{start}s{k}/{n}", int(k > 0)) for k in range(sections) for n in range(100)
+            for host, start in (("flat", ""), ("deep", "a/b/c/d/e/"))]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, label int")
+    got = url_templates.judged(pages, []).select("host", "path", "verdict", "template", "purity").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.verdict == ("block" if "/s0/" in r.path else "allow")
+        assert r.template.endswith("/s0/*") == ("/s0/" in r.path)
+    if sections > 5:  # the good ones do not differ from what all have in common
+        assert {r.template for r in got if "/s0/" not in r.path} == {"/?/*", "/a/b/c/d/e/?/*"}
+        share = (sections - 1) * 100
+        host = (share + 5 * (sections - 1) / sections) / (sections * 100 + 5)
+        assert all(r.purity == pytest.approx((share + 5 * host) / (share + 5)) for r in got if "/s0/" not in r.path)
+
+
+def test_alike_sections_merge_from_the_deepest_level_up(spark):
+    rows = [(f"s://h/{a}/{b}/{n}", int(n % 4 > 0)) for a in "xyz" for b in "uvw" for n in range(40)]
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, label int")
+    got = {(r.template, round(r.purity, 9)) for r in url_templates.judged(pages, []).collect()}
+    assert len(got) == 1 and {t for t, _ in got} == {"/?/?/*"}
+
+
 def test_superminhash_estimates_similarity():
     one = " ".join(f"a{i}" for i in range(400))
     two = " ".join(f"a{i}" if i < 320 else f"b{i}" for i in range(400))
