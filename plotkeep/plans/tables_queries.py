@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from plotkeep.functions import clean as C
 from plotkeep.operators import content, gates, keys, legend, objects, profile
 from plotkeep.plans.registry import query, sql_content_hash, sql_row_text, table
+from plotkeep.session import scratch_path
 from plotkeep.sources import documents as D
 from plotkeep.sources import pages as P
+from plotkeep.sources.inventory import list_files
 
 ORPHAN_CUSTOMER = "CASE WHEN o_orderkey % 19 = 0 THEN o_custkey + 1000000 ELSE o_custkey END"
 
@@ -594,6 +596,31 @@ def path_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "inventory_listing",
+    """
+    SELECT '_assets/orders/year=' || year(o_orderdate) || '/month=' || month(o_orderdate) AS folder,
+           cast(1 AS BIGINT) AS files, true AS filled
+    FROM orders GROUP BY year(o_orderdate), month(o_orderdate)
+    UNION ALL SELECT 'customers/segment=' || c_mktsegment, cast(1 AS BIGINT), true FROM customer GROUP BY c_mktsegment
+    """,
+)
+def inventory_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data files per folder of a published tree; what is staged below a dot folder is not listed."""
+    root = scratch_path(spark, "published")
+    months = table(spark, sf_dir, "orders").withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
+    segments = table(spark, sf_dir, "customer").withColumn("segment", F.col("c_mktsegment"))
+    for name, rows, by in (
+        ("_assets/orders", months, ["year", "month"]), ("customers", segments, ["segment"]), (".staging/orders", months, ["year"]),
+    ):
+        # all rows of a folder in one task, so one file each
+        rows.repartition(*by).write.partitionBy(*by).parquet(f"{root}/{name}")
+    listed = list_files(spark, root).where(C.is_data_object(F.col("path")))
+    folder = F.regexp_extract("path", "^(.*)/[^/]+$", 1)
+    return listed.groupBy(folder.alias("folder")).agg(
+        F.count(F.lit(1)).alias("files"), F.bool_and(F.col("size") > 0).alias("filled"))
+
+
 @query(
     "accepted_findings",
     """

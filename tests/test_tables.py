@@ -184,6 +184,24 @@ def test_inventory_lists_every_data_file(spark, tmp_path):
         ("base/a/roads.parquet", 5), ("base/tiles.PMTILES", 5)]
 
 
+def test_listing_holds_underscore_folders_and_no_dot_names(spark, tmp_path):
+    from plotkeep.sources.inventory import list_files
+
+    names = ("_assets/deep/x y/roads.parquet", "_SUCCESS", "a/é.md", "a/.crc", ".git/config", "a/.hidden/x.parquet", "a/b/c/d/e/empty")
+    for rel in names:
+        (tmp_path / rel).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / rel).write_text("" if rel.endswith("empty") else "hello")
+    (tmp_path / "hollow").mkdir()
+    expected = [("_SUCCESS", 5), ("_assets/deep/x y/roads.parquet", 5), ("a/b/c/d/e/empty", 0), ("a/é.md", 5)]
+    for root in (str(tmp_path), f"{tmp_path}/", f"file:{tmp_path}"):
+        listed = list_files(spark, root)
+        assert rows_of(listed.select("path", "size")) == expected
+    assert listed.where("modified IS NULL").count() == 0
+    assert list_files(spark, str(tmp_path / "hollow")).count() == 0
+    with pytest.raises(Exception, match="nowhere"):
+        list_files(spark, str(tmp_path / "nowhere"))
+
+
 def rows_of(df):
     return sorted(tuple(r) for r in df.collect())
 
