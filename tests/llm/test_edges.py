@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, repeated rows, empty tables, and extra columns with names the operators use inside."""
 
+import corpus_pipeline
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -145,3 +146,22 @@ def test_stages_with_clashing_columns(docs, items):
     assert line_templates.dedup_lines(odd).count() == len(ROWS)
     assert quality_crf.accepted(odd, quality_crf.neutral_field(), 0.0).columns == odd.columns
     assert decontaminate.clean_documents(odd, items).count() == len(ROWS) - 2
+
+
+@pytest.mark.parametrize("rows", [ROWS, []], ids=["odd rows", "no rows"])
+def test_pipeline(spark, items, tmp_path, rows):
+    sf = str(tmp_path)
+    names = ("_gone", "Score", "_row", "digest", "Head", "name0", "fixed")
+    docs = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "lang", *[F.lit("x").alias(name) for name in names])
+    docs.write.parquet(f"{sf}/documents.parquet")
+    items.write.parquet(f"{sf}/benchmark.parquet")
+    spark.createDataFrame([(4, 1), (6, 1), (None, 0)], "doc_id long, quality int").write.parquet(f"{sf}/labels.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = spark.read.parquet(f"{sf}/documents.parquet").transform(lambda d, stage=stage: stage(spark, d, sf))
+        assert out.columns == docs.columns, name
+        assert out.exceptAll(docs).count() == 0, name
+    pieces = corpus_pipeline.run(spark, sf)
+    # each document is packed whole, and the one that holds benchmark words is not there
+    whole = pieces.groupBy("doc_id", "doc_tokens").agg(F.sum("length").alias("ids"), F.count_if(F.col("start") == 0).alias("n"))
+    assert whole.where(F.col("ids") != F.col("doc_tokens") * F.col("n")).count() == 0
+    assert {r.doc_id for r in whole.collect()} <= {2, 3, 4, 5, 6, None}
