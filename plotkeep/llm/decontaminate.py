@@ -51,13 +51,48 @@ def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return cut.groupBy("n", "words").agg(F.collect_set("item").alias("items"))
 
 
+def _by_row(found: DataFrame) -> DataFrame:
+    """Markers (n = 0) and matches, per distinct row."""
+    return found.groupBy("doc_id", "copy").agg(
+        F.max("size").cast("long").alias("n_words"),
+        F.count_if(F.col("n") == 0).alias("copies"),
+        F.array_sort(F.collect_set(F.when(F.col("n") > 0, F.struct("start", "n")))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+    )
+
+
+def _shuffled_matches(rows: DataFrame, windows: DataFrame, lengths: list[int]) -> DataFrame:
+    """(doc_id, copy, size, start, n, items) for benchmarks too large to send around: a marker row per row, and the matches.
+
+    Places travel as hashes; words move once, and only those of texts that have a match to confirm.
+    """
+    gram = F.coalesce(*[F.when(F.col("n") == n, _gram(F.col("words"), F.lit(0), n)) for n in lengths])
+    known = windows.select("n", gram.alias("gram"), F.array_join("words", " ").alias("wanted"), "items")
+    tries = F.flatten(F.transform(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array(*[
+        F.struct(i.alias("start"), F.lit(n).alias("n"), _gram(F.col("words"), i, n).alias("gram")) for n in lengths])))
+    at = rows.where(F.size("words") > 0).select("doc_id", "copy", F.inline(tries))
+    near = at.join(known, ["n", "gram"]).drop("gram").distinct()
+
+    def same(a: DataFrame, b: DataFrame) -> Column:
+        return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["copy"] == b["copy"])
+
+    of = near.select("doc_id", "copy").distinct()
+    texts = rows.join(of, same(rows, of), "left_semi").groupBy("doc_id", "copy").agg(F.first("words").alias("words"))
+    found = near.join(texts, same(near, texts)).where(F.array_join(F.slice("words", F.col("start") + 1, F.col("n")), " ") == F.col("wanted"))
+    found = found.select(near["doc_id"], near["copy"], F.size("words").alias("size"), "start", "n", "items")
+    return found.union(rows.select(
+        "doc_id", "copy", F.size("words").alias("size"), F.lit(-1).alias("start"), F.lit(0).alias("n"),
+        F.array().cast("array<string>").alias("items")))
+
+
 def document_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, copy, copies, n_words, spans, items): per distinct row its confirmed windows as (start, words)."""
     windows = benchmark_windows(items, window)
     sizes = windows.groupBy("n").count().collect()  # at most ``window`` rows
     lengths = sorted(r.n for r in sizes)
-    few = sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS
-    small = F.broadcast if few else (lambda df: df)
+    rows = docs.select("doc_id", F.xxhash64("text").alias("copy"), words_of(F.col("text")).alias("words"))
+    if sum(r["count"] for r in sizes) > BROADCAST_WINDOWS:
+        return _by_row(_shuffled_matches(rows, windows, lengths))
     lead = min([2, *lengths])
 
     # every document has one row that matches (place -1), so that its word count arrives too
@@ -74,28 +109,18 @@ def document_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     known = known.union(none)
     heads = known.select("head").distinct()
 
-    rows = docs.select("doc_id", F.xxhash64("text").alias("copy"), words_of(F.col("text")).alias("words"))
     at = rows.select("doc_id", "copy", "words", F.posexplode(F.concat(F.array(F.lit("")), "words")).alias("place", "word"))
     at = at.withColumn("start", F.col("place") - 1).withColumn(
         "head", F.when(F.col("place") == 0, F.lit(0).cast("long")).otherwise(_gram(F.col("words"), F.col("start"), lead)))
-    at = at.join(small(heads), "head", "left_semi")
+    at = at.join(F.broadcast(heads), "head", "left_semi")
     grams = F.array(*[F.struct(F.lit(n).alias("n"), _gram(F.col("words"), F.col("start"), n).alias("gram")) for n in lengths])
     tries = F.when(F.col("place") == 0, F.array(sentinel)).otherwise(grams if lengths else F.array(sentinel))
     at = at.select("doc_id", "copy", "words", "start", F.explode(tries).alias("t")).select(
         "doc_id", "copy", "words", "start", F.col("t.n").alias("n"), F.col("t.gram").alias("gram"))
-    found = at.join(small(known.drop("head")), ["n", "gram"]).where(
+    found = at.join(F.broadcast(known.drop("head")), ["n", "gram"]).where(
         (F.col("n") == 0) | (F.array_join(F.slice("words", F.greatest(F.col("start"), F.lit(0)) + 1, F.col("n")), " ") == F.col("wanted"))
     )
-    return (
-        found.select("doc_id", "copy", F.size("words").alias("size"), "start", "n", "items")
-        .groupBy("doc_id", "copy")
-        .agg(
-            F.max("size").cast("long").alias("n_words"),
-            F.count_if(F.col("n") == 0).alias("copies"),
-            F.array_sort(F.collect_set(F.when(F.col("n") > 0, F.struct("start", "n")))).alias("spans"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-        )
-    )
+    return _by_row(found.select("doc_id", "copy", F.size("words").alias("size"), "start", "n", "items"))
 
 
 def covered(spans: Column) -> Column:

@@ -59,6 +59,20 @@ def test_decontaminate(docs, none, items):
     assert cut.where("doc_id = 4").first().text == LONG
 
 
+def test_large_benchmarks_are_joined_with_equal_results(spark, docs, none, monkeypatch):
+    words = " ".join(f"w{i % 40}" for i in range(200))
+    more = spark.createDataFrame([(7, words), (7, words), (7, "other"), (None, words), (8, "Two three!")], "doc_id long, text string")
+    rows = docs.select("doc_id", "text").union(more)
+    items = spark.createDataFrame(
+        [("a", "two three"), ("b", "w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13"), ("c", "one two three four five"), ("d", None), ("e", "end")],
+        "item_id string, text string")
+    sent = sorted(map(repr, decontaminate.contamination(rows, items).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert sorted(map(repr, decontaminate.contamination(rows, items).collect())) == sent and len(sent) == len(ROWS) + 5
+    assert decontaminate.contamination(none, items).count() == 0
+    assert decontaminate.clean_documents(docs, items).columns == docs.columns
+
+
 def test_line_templates(docs, none):
     out = line_templates.dedup_lines(docs)
     assert out.columns == docs.columns and out.count() == len(ROWS)
