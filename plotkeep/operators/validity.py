@@ -189,15 +189,30 @@ _WORK = ("_tidy", "_contact", "_by_cell", "_key1", "_key2", "_found", "_area", "
 CLOSE = 1e-9
 
 
-def _with_contacts(df: DataFrame) -> DataFrame:
-    """Adds ``_contact``: the worst contact of the edges of ``_tidy``, null if there is none."""
+def _dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over the shuffle partitions: each is costly, and a small file would be read by few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _tidy_of(parts: str) -> Column:
+    g = F.col(parts)
+    return F.when(g.isNotNull() & (F.size(G.vertices(g)) > 1), _solid(_tidied(g)))
+
+
+def _with_contacts(df: DataFrame, parts: str) -> DataFrame:
+    """Adds ``_tidy`` and ``_contact``: the worst contact of its edges, null if there is none."""
     edges = _numbered_edges(F.col("_tidy"))
     large = F.size(G.vertices(F.col("_tidy"))) > PAIRWISE
     key = ["_key1", "_key2"]
     # two hashes and not the geometry itself; copies are checked once
-    df = df.withColumns({"_key1": F.xxhash64("_tidy"), "_key2": F.hash("_tidy")})
-    once = df.where(large).groupBy(*key).agg(F.any_value("_tidy").alias("_tidy"))
+    keys = {"_key1": F.xxhash64("_tidy"), "_key2": F.hash("_tidy")}
+    # tidying closes a ring by at most one vertex, so small shapes are left out before it
+    g = F.col(parts)
+    rows = _dealt(df.where(F.size(G.vertices(g)) + F.size(G.rings(g)) > PAIRWISE).select(parts))
+    once = rows.withColumn("_tidy", _tidy_of(parts)).where(large).withColumns(keys).groupBy(*key).agg(
+        F.any_value("_tidy").alias("_tidy"))
     found = cut_lineage(contacts_by_cell(once.select(*key, F.explode(edges).alias("e")), key), "contacts")
+    df = _dealt(df).withColumn("_tidy", _tidy_of(parts)).withColumns(keys)
     # a small table where few geometries are broken, which Spark then sends to the rows
     df = df.join(found.withColumnRenamed("contact", "_by_cell"), key, "left")
     in_row = _contact_in_row(F.when(large, None).otherwise(edges))
@@ -218,8 +233,7 @@ def repair_geometries(df: DataFrame, parts: str = "parts", bbox: str = "bbox", s
     if taken:
         raise ValueError(f"the table already has the columns {', '.join(taken)}")
     g, tidy, contact, found = F.col(parts), F.col("_tidy"), F.col("_contact"), F.col("defect")
-    is_area = g.isNotNull() & (F.size(G.vertices(g)) > 1)
-    checked = _with_contacts(df.withColumn("_tidy", F.when(is_area, _solid(_tidied(g)))))
+    checked = _with_contacts(df, parts)
     in_ring = _in_ring(g, strict)
     several = F.size(G.rings(tidy)) > 1
     box = G.bbox(tidy)

@@ -293,6 +293,14 @@ def test_repeated_vertices_are_a_defect_only_when_strict(spark):
     assert (strict.outcome, len(strict.parts[0][0])) == ("repaired", 5)
 
 
+def test_repair_deals_the_rows_of_one_task(spark):
+    df = shapes(spark, *[d[0] for d in DEFECTS.values()] * 4).coalesce(1)
+    out = repair_geometries(df)
+    tasks = out.select("id", "outcome", F.spark_partition_id().alias("task")).collect()
+    assert len({r.task for r in tasks}) == 4
+    assert [r.outcome for r in sorted(tasks)] == [d[1] for d in DEFECTS.values()] * 4
+
+
 def test_quality_counters(spark):
     out = quality_counters(repair_geometries(shapes(spark, *[d[0] for d in DEFECTS.values()]))).first()
     expected = [d[1] for d in DEFECTS.values()]
@@ -358,6 +366,30 @@ def test_strips_do_not_change_the_sweep(spark, monkeypatch):
     assert levels == pytest.approx(dissolved_area(df, "zone").first().raw_area, rel=1e-9)
 
 
+@pytest.mark.parametrize("at_once", [1 << 18, 5])
+def test_groups_are_swept_side_by_side(monkeypatch, at_once):
+    monkeypatch.setattr(sweep, "AT_ONCE", at_once)
+    rnd = np.random.default_rng(5)
+    corners = rnd.random((40, 3, 2)) * 4 + rnd.random((40, 1, 2)) * 8
+    corners[::2] = np.round(corners[::2])  # shared heights, equal and flat edges
+    edges = np.concatenate([corners, np.roll(corners, -1, 1)], 2).reshape(-1, 4)
+    owner, group = np.repeat(np.arange(40), 3), np.repeat(np.arange(40) // 8 * 2, 3)  # every second group is empty
+    got = sweep.covered_areas(edges, owner, group, 10, lambda n: n > 1)
+    alone = [sweep.covered_area(edges[group == k], owner[group == k], lambda n: n > 1) for k in range(10)]
+    assert got == pytest.approx(alone, rel=1e-12)
+    # by cells: how often the triangles of a group cover a fine grid of points
+    x, y = np.meshgrid(np.arange(0, 12, 0.02) + 0.00713, np.arange(0, 12, 0.02) + 0.00317)
+    for k in (0, 4):
+        covers = 0
+        for t in range(k * 4, k * 4 + 8):
+            hits = 0
+            for x1, y1, x2, y2 in edges[owner == t]:
+                if y1 != y2:
+                    hits = hits + (((y1 > y) != (y2 > y)) & (x < (x2 - x1) * (y - y1) / (y2 - y1) + x1))
+            covers = covers + hits % 2
+        assert got[k] == pytest.approx(np.count_nonzero(covers > 1) * 0.02**2, abs=0.05)
+
+
 def test_shared_area_of_pairs(spark):
     diamond = [[[(-3.0, 0.0), (0.0, -3.0), (3.0, 0.0), (0.0, 3.0), (-3.0, 0.0)]]]
     box = [[[(-2.0, -2.0), (2.0, -2.0), (2.0, 2.0), (-2.0, 2.0), (-2.0, -2.0)]]]
