@@ -1,4 +1,4 @@
-"""Spread hot join keys over several tasks."""
+"""Spread rows and hot join keys over several tasks."""
 
 from __future__ import annotations
 
@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 TARGET_ROWS = 1_000_000
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt evenly over the shuffle partitions, for costly work on each: a small file would be read by few tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _parts(df: DataFrame, keys: list[str], target_rows: int, name: str) -> DataFrame:
     """Keys with more than ``target_rows`` rows and the number of parts they are cut into."""
     return df.groupBy(*keys).count().where(F.col("count") > target_rows).select(

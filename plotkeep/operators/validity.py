@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from plotkeep.functions import geometry as G
 from plotkeep.functions import linework
+from plotkeep.operators.skew import dealt
 from plotkeep.session import cut_lineage
 
 
@@ -189,11 +190,6 @@ _WORK = ("_tidy", "_contact", "_by_cell", "_key1", "_key2", "_found", "_area", "
 CLOSE = 1e-9
 
 
-def _dealt(df: DataFrame) -> DataFrame:
-    """Rows dealt evenly over the shuffle partitions: each is costly, and a small file would be read by few tasks."""
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
 def _tidy_of(parts: str) -> Column:
     g = F.col(parts)
     return F.when(g.isNotNull() & (F.size(G.vertices(g)) > 1), _solid(_tidied(g)))
@@ -208,11 +204,11 @@ def _with_contacts(df: DataFrame, parts: str) -> DataFrame:
     keys = {"_key1": F.xxhash64("_tidy"), "_key2": F.hash("_tidy")}
     # tidying closes a ring by at most one vertex, so small shapes are left out before it
     g = F.col(parts)
-    rows = _dealt(df.where(F.size(G.vertices(g)) + F.size(G.rings(g)) > PAIRWISE).select(parts))
+    rows = dealt(df.where(F.size(G.vertices(g)) + F.size(G.rings(g)) > PAIRWISE).select(parts))
     once = rows.withColumn("_tidy", _tidy_of(parts)).where(large).withColumns(keys).groupBy(*key).agg(
         F.any_value("_tidy").alias("_tidy"))
     found = cut_lineage(contacts_by_cell(once.select(*key, F.explode(edges).alias("e")), key), "contacts")
-    df = _dealt(df).withColumn("_tidy", _tidy_of(parts)).withColumns(keys)
+    df = dealt(df).withColumn("_tidy", _tidy_of(parts)).withColumns(keys)
     # a small table where few geometries are broken, which Spark then sends to the rows
     df = df.join(found.withColumnRenamed("contact", "_by_cell"), key, "left")
     in_row = _contact_in_row(F.when(large, None).otherwise(edges))

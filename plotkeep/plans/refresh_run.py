@@ -17,6 +17,7 @@ from plotkeep.operators.content import content_hash
 from plotkeep.operators.gates import sync_gate
 from plotkeep.operators.legend import legend_drift
 from plotkeep.operators.refresh import due_decisions
+from plotkeep.operators.skew import dealt
 from plotkeep.operators.validity import quality_counters, repair_geometries
 from plotkeep.operators.versions import MANIFEST_SCHEMA, newest, next_labels, stamp_check
 from plotkeep.session import cut_lineage
@@ -66,7 +67,7 @@ def _prepared(extract: Extract) -> tuple[DataFrame, DataFrame | None, list[str]]
     names = [c for c in extract.rows.columns if c != "bbox"]
     attributes = F.struct(*[c for c in names if c != column])
     parts = W.from_wkb(F.col(column)) if extract.geometry else F.col(column)
-    rows = extract.rows.select(attributes.alias("row"), F.col(column).alias("source"), parts.alias("parts"))
+    rows = dealt(extract.rows).select(attributes.alias("row"), F.col(column).alias("source"), parts.alias("parts"))
     if extract.web_mercator:
         rows = rows.withColumn("parts", G.map_points(F.col("parts"), mercator_to_lonlat))
     # every check names the shape many times; written down, it is decoded and projected once
@@ -75,18 +76,22 @@ def _prepared(extract: Extract) -> tuple[DataFrame, DataFrame | None, list[str]]
     # range partitioning reads its input twice, so the repair is written down first
     files = max(1, -(-extract.count_before // ROWS_PER_FILE))
     altered = F.lit(extract.geometry is None or extract.web_mercator) | (F.col("outcome") == "repaired")
+    # and the bytes are made before it: the sorted rows are in few tasks
+    shape = F.col("parts")
+    if extract.geometry:
+        shape = F.coalesce(W.to_wkb(F.when(altered, shape)), F.when(~altered, F.col("source")))
     checked = cut_lineage(checked.select(
-        "row", F.when(altered, F.col("parts")).alias("parts"), F.when(~altered, F.col("source")).alias("source"),
-        "bbox", "outcome", F.col("row")[extract.id_col].alias("id")), "repaired")
+        "row", shape.alias("shape"), "bbox", "outcome", F.col("row")[extract.id_col].alias("id")), "repaired")
     ordered = hilbert_sorted(checked, "id", partitions=files)
-    shape = F.coalesce(W.to_wkb("parts"), F.col("source")) if extract.geometry else F.col("parts")
-    published = [shape.alias(c) if c == column else F.col("row")[c].alias(c) for c in names]
+    published = [F.col("shape").alias(c) if c == column else F.col("row")[c].alias(c) for c in names]
     copies = [file.rsplit("/", 1)[0] for df in (rows, checked) for file in df.inputFiles()[:1]]
     return ordered.select(*published, "bbox"), checked, copies
 
 
 def _content(extract: Extract, data: DataFrame) -> str:
     """Hash of the published rows, over canonical shapes."""
+    if extract.geometry or extract.parts:
+        data = dealt(data)  # a version has few files
     if extract.geometry:
         data = data.withColumn(extract.geometry, W.from_wkb(F.col(extract.geometry)))
     return content_hash(data, parts=extract.geometry or extract.parts).first().content_hash
