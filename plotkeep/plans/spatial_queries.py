@@ -10,8 +10,9 @@ from plotkeep.functions import projection as PR
 from plotkeep.functions import wkb as W
 from plotkeep.operators import cluster, dissolve, spatial_join, tiles, validity
 from plotkeep.operators import tile_cover as cover
+from plotkeep.operators.skew import dealt
 from plotkeep.plans.registry import query, table
-from plotkeep.session import scratch_path
+from plotkeep.session import cut_lineage, scratch_path
 
 
 def event_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +33,8 @@ _SIDE = "CASE WHEN c_custkey % 100 = 0 THEN 40.0 ELSE 1.0 + c_custkey % 4 END"
 
 
 def customer_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = table(spark, sf_dir, "customer").selectExpr(
+    # districts are made, read and hashed row by row, and a small file would be read by few tasks
+    base = dealt(table(spark, sf_dir, "customer").select("c_custkey")).selectExpr(
         "c_custkey", f"cast({_X0} AS DOUBLE) AS x0", f"cast({_Y0} AS DOUBLE) AS y0", f"cast({_SIDE} AS DOUBLE) AS s"
     )
     x, y, s = F.col("x0"), F.col("y0"), F.col("s")
@@ -61,13 +63,14 @@ def customer_districts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def spatial_pip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events per district they fall in."""
-    pairs = spatial_join.points_in_polygons(
-        event_points(spark, sf_dir), customer_districts(spark, sf_dir), "event_id"
-    )
-    return pairs.groupBy("c_custkey").agg(
-        F.count(F.lit(1)).alias("points"), F.sum("event_id").alias("id_sum")
-    )
+    """Events per district they fall in; districts of one shape are met once, and each row of theirs has its totals."""
+    districts = customer_districts(spark, sf_dir)
+    # read several times by the join: levels, hot cells, rows
+    shapes = cut_lineage(spatial_join.collapse_copies(districts, "c_custkey").select("shape_key", "parts"), "districts")
+    pairs = spatial_join.points_in_polygons(event_points(spark, sf_dir), shapes, "event_id")
+    totals = pairs.groupBy("shape_key").agg(F.count(F.lit(1)).alias("points"), F.sum("event_id").alias("id_sum"))
+    rows = spatial_join.members(districts, "c_custkey").join(totals, "shape_key")
+    return rows.groupBy("c_custkey").agg(F.sum("points").alias("points"), F.sum("id_sum").alias("id_sum"))
 
 
 @query(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plotkeep.functions import geometry as G
+from plotkeep.operators import spatial_join
 from plotkeep.operators.skew import split_hot_keys
 from plotkeep.operators.spatial_join import members, overlapping_shapes, points_in_polygons, row_pairs
 from plotkeep.operators.tiles import tile_counts, tile_features
@@ -168,3 +169,27 @@ def test_points_that_touch(spark):
     rows = row_pairs(pairs.select("left_key", "right_key"), members(left, "id").withColumnRenamed("id", "l"),
                      members(right, "id").withColumnRenamed("id", "r"))
     assert {(r.l, r.r) for r in rows.collect()} == {(1, 10), (1, 13), (2, 11), (3, 11)}
+
+
+def test_districts_of_one_shape_are_met_once(spark, tmp_path, monkeypatch):
+    from plotkeep.plans import spatial_queries
+
+    # keys 1500 apart have one district
+    keys = [k + 1500 * i for k in (0, 1, 2, 100) for i in range(5)] + [0, None]
+    spark.createDataFrame([(k,) for k in keys], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    events = [(i, float(i % 60) / 2, i % 45) for i in range(2000)] + [(7, None, 1)]
+    spark.createDataFrame(events, "event_id long, value double, user_id long").write.parquet(f"{tmp_path}/events.parquet")
+    alone = spatial_join.points_in_polygons(
+        spatial_queries.event_points(spark, str(tmp_path)), spatial_queries.customer_districts(spark, str(tmp_path)), "event_id")
+    expected = {r.c_custkey: (r.n, r.s) for r in alone.groupBy("c_custkey").agg(
+        F.count("*").alias("n"), F.sum("event_id").alias("s")).collect()}
+    met, join = [], spatial_join.points_in_polygons
+
+    def counted(points, polygons, *args):
+        met.append(polygons.count())
+        return join(points, polygons, *args)
+
+    monkeypatch.setattr(spatial_join, "points_in_polygons", counted)
+    got = spatial_queries.spatial_pip(spark, str(tmp_path)).collect()
+    assert {r.c_custkey: (r.points, r.id_sum) for r in got} == expected and len(got) == len(expected) > 10
+    assert met[0] <= 5
