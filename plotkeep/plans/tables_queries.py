@@ -321,7 +321,7 @@ def content_hash_fast(spark: SparkSession, sf_dir: str) -> DataFrame:
         one = rows.join(F.broadcast(least), F.col(key) == F.col("_least"))  # the rows of the smallest key
         nulled = rows.join(F.broadcast(least), F.col(key) == F.col("_least"), "left").withColumn(
             key, F.when(F.col("_least").isNull(), F.col(key))).drop("_least")
-        forms = [rows, rows.repartition(3, rows.columns[1]), rows.union(one.drop("_least")), nulled]
+        forms = [rows, rows.repartition(*rows.columns), rows.union(one.drop("_least")), nulled]
         hashed = None
         for i, df in enumerate(forms):
             hash_row = content.content_hash(df).select(F.lit(name).alias("table_name"), F.lit(i).alias("form"), "content_hash")

@@ -264,3 +264,28 @@ def test_daily_runs(spark, tmp_path):
     assert day(4, {"a": 3, "b": 3, "broken": 1}, 5)["b"] == ("skipped", "source unchanged since 2026-10-03T07:00:00Z")
     got = day(9, {"a": 3, "b": 8, "broken": 1}, 6)
     assert got["a"] == ("ok", "version 2026-10-09: 6 rows") and got["b"] == ("ok", "version 2026-10-09: 6 rows")
+
+
+def test_tables_are_dealt_anew_over_all_shuffle_partitions(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from plotkeep.plans import tables_queries
+
+    # one value in the second column of every row
+    spark.range(400).selectExpr("id", "'same' AS name", "id * 2 AS v").write.parquet(f"{tmp_path}/region.parquet")
+    monkeypatch.setattr(tables_queries, "ALL_TABLES", ("region",))
+    used, deal = [], DataFrame.repartition
+
+    def watched(self, *args):
+        out = deal(self, *args)
+        used.extend(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        return out
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    monkeypatch.setattr(DataFrame, "repartition", watched)
+    try:
+        got = tables_queries.content_hash_fast(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [tuple(r) for r in got] == [("region", 400, True, True, True)]
+    assert len(used) == 4 and max(used) < 200
