@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 AT_SIDE = 1e-7
 DEEPEST = 40
 # Edges of slabs, of one group or several, that are sorted together.
-AT_ONCE = 1 << 18
+AT_ONCE = 1 << 14
 
 Counts = Callable[[np.ndarray], np.ndarray]
 

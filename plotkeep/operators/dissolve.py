@@ -86,7 +86,9 @@ def dissolved_area(df: DataFrame, group: str, parts: str = "parts") -> DataFrame
     pieces = placed.select(
         "_group", "_shape", "x1", "y1", "x2", "y2", F.explode(F.sequence("_s0", "_s1")).alias("_strip")).join(bounds, ["_group", "_strip"])
     schema = T.StructType([shaped.schema["_group"], T.StructField("_area", T.DoubleType())])
-    swept = pieces.groupBy("_group", "_strip").applyInArrow(_swept, schema).groupBy("_group").agg(F.sum("_area").alias("_area"))
+    # named, or the tasks of an earlier join by group, as few as there are groups, would sweep all strips
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    swept = pieces.repartition(tasks, "_group", "_strip").groupBy("_group", "_strip").applyInArrow(_swept, schema).groupBy("_group").agg(F.sum("_area").alias("_area"))
     totals = shaped.groupBy("_group").agg(F.sum("_n").alias("polygons"), F.sum(F.col("_a") * F.col("_n")).alias("raw_area"))
     return totals.join(swept, "_group", "left").select(
         F.col("_group.of").alias(group), "polygons", "raw_area", F.coalesce("_area", F.lit(0.0)).alias("dissolved_area"))

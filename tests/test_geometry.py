@@ -390,6 +390,16 @@ def test_groups_are_swept_side_by_side(monkeypatch, at_once):
         assert got[k] == pytest.approx(np.count_nonzero(covers > 1) * 0.02**2, abs=0.05)
 
 
+def test_strips_of_one_group_are_swept_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(dissolve, "STRIP_ENDS", 16)
+    parts = [[[[(i, i), (i + 1.5, i), (i + 1.5, i + 1.5), (i, i + 1.5), (i, i)]]] for i in np.arange(0.0, 200.0).tolist()]
+    df = shapes(spark, *parts).withColumn("zone", F.lit("a"))
+    plan = dissolved_area(df, "zone")
+    assert plan.first().dissolved_area == pytest.approx(200 * 2.25 - 199 * 0.25)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_group" in text and "REPARTITION_BY_NUM" in text
+
+
 def test_shared_area_of_pairs(spark):
     diamond = [[[(-3.0, 0.0), (0.0, -3.0), (3.0, 0.0), (0.0, 3.0), (-3.0, 0.0)]]]
     box = [[[(-2.0, -2.0), (2.0, -2.0), (2.0, 2.0), (-2.0, 2.0), (-2.0, -2.0)]]]
