@@ -11,10 +11,15 @@ ranks equally often, and they need no state per shingle.
 Sets that are equal (copies) are one class. Sets of up to ``SMALL`` shingles
 also have bands of single shingles, the first of each in the order of their
 hashes: small similar sets always share one of these. Classes that share a band are linked to one of them, the hub, after comparing whole
-sets. Where a band still holds several components after that, its classes are
+sets, and, where a band still holds several components, to its most central
+class, whose shingles are the most frequent: in a group of copies of one text
+with edits, that is the one with the fewest edits, to which nearly all that have
+a link at all have one. Where a band holds several components even then, its classes are
 joined by their rarest shingles (similar sets share one early enough), so no
 link between different components is lost; inside a component no more pairs
-are needed. No step pairs a group with itself.
+are needed. The join makes a pair only if the parity bits of the two sets differ in no
+more places than similar sets may, so edits of one text that are too far apart make no
+rows of it. No step pairs a group with itself.
 
 Cases: a text without words (null, empty, white space) is linked with nothing;
 fewer words than a shingle make one shingle of them all; equal rows
@@ -40,7 +45,8 @@ BAND = 4
 BANDS = SLOTS // BAND
 # Links are sets with 100 * intersection >= PERCENT * union.
 PERCENT = 75
-HUB_ROUNDS = 1
+# Words of 64 parity bits of a set.
+PARITY = 8
 # Signatures of smaller sets vary too much to be trusted alone.
 SMALL = 16
 # Sizes of sets whose ratio is below this are one class.
@@ -116,6 +122,15 @@ def _set_name(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def _parity_bits(value: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """[set, PARITY] words: each shingle turns one bit of its set, so two sets differ in as many shingles as bits, or more."""
+    owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    place = mix(value ^ _SPREAD[50]) % U64(64 * PARITY)
+    out = np.zeros((len(bounds) - 1) * PARITY, U64)
+    np.bitwise_xor.at(out, owner * PARITY + (place // U64(64)).astype(np.int64), U64(1) << place % U64(64))
+    return out.reshape(-1, PARITY)
+
+
 def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values.view(np.int64), pa.int64()))
 
@@ -156,16 +171,21 @@ def signed(docs: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame) -> DataFrame:
-    """(id, name0, name1, shingles) of the given rows."""
+    """(id, name0, name1, shingles, bits) of the given rows."""
+    words = [f"w{k}" for k in range(PARITY)]
+
     def run(batches):
         for batch, texts in slices(batches, "text"):
             value, bounds = shingle_sets(texts)
             names = _set_name(value, bounds).view(np.int64)
+            parity = np.ascontiguousarray(_parity_bits(value, bounds).T).view(np.int64)
+            bits = pa.StructArray.from_arrays([pa.array(word) for word in parity], words)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(names[:, 0]), pa.array(names[:, 1]), _lists(value, bounds)],
-                ["id", "name0", "name1", "shingles"])
+                [batch.column("id"), pa.array(names[:, 0]), pa.array(names[:, 1]), _lists(value, bounds), bits],
+                ["id", "name0", "name1", "shingles", "bits"])
 
-    return docs.select("id", "text").mapInArrow(run, "id long, name0 long, name1 long, shingles array<long>")
+    return docs.select("id", "text").mapInArrow(
+        run, f"id long, name0 long, name1 long, shingles array<long>, bits struct<{', '.join(f'{w}: long' for w in words)}>")
 
 
 def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -192,28 +212,52 @@ def _size_class(n):
     return F.floor(F.log(n) / F.log(F.lit(SIZE_RATIO)))
 
 
-def _prefix_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
+def _bits_fit(one, two, n, m):
+    """As similar sets differ in ``(n + m) * (100 - PERCENT) / (100 + PERCENT)`` shingles at most."""
+    apart = sum((F.bit_count(one[f"w{k}"].bitwiseXOR(two[f"w{k}"])) for k in range(PARITY)), F.lit(0))
+    return apart * (100 + PERCENT) <= (n + m) * (100 - PERCENT)
+
+
+def _ordered(ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, n, bits, alone, order, central) of the sets ``ids``: how many shingles no other of them has, and the rest, rare first.
+
+    ``central`` is the greater, the more frequent all its shingles are.
+    """
+    cells = sets.join(ids, "id").select("id", F.explode("shingles").alias("shingle"))
+    spread = cells.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    order = cells.join(spread, "shingle").groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("times", "shingle"))).alias("order"), F.sum(F.log("times")).alias("logs"))
+    n = F.size("shingles").cast("long")
+    # those that share no shingle are linked with none
+    return sets.join(order, "id").select(
+        "id", n.alias("n"), "bits", (n - F.size("order")).alias("alone"), "order.shingle", (F.col("logs") / n).alias("central")
+    ).withColumnRenamed("shingle", "order")
+
+
+def _prefix_pairs(mixed: DataFrame, sets: DataFrame, ordered: DataFrame | None = None) -> DataFrame:
     """Pairs of different components that share one of their rarest shingles early enough.
 
     Sets of sizes n and m are similar from ``75 * (n + m) / 175`` common elements on. In
     any common order, here rare shingles first, the first common one is then at most that
     many places before the end of either. Every set lists its shingles up to that place for
     each class of partner sizes. In a list, members of its largest component meet only the
-    others, so a group whose sets are linked already is not paired with itself.
+    others, so a group whose sets are linked already is not paired with itself. What two
+    similar sets do not share is bounded as well, and so are the parity bits that differ.
+    ``ordered`` is the order of at least these sets, if there is one already.
     """
     ids = mixed.select("id", "component").distinct()
-    cells = sets.join(ids, "id").select("id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    spread = cells.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
-    ordered = cells.join(spread, "shingle", "left").groupBy("id", "component", "n").agg(
-        F.array_sort(F.collect_list(F.struct(F.coalesce("times", F.lit(1)).alias("times"), "shingle"))).alias("order"))
+    if ordered is None:
+        ordered = _ordered(ids.select("id").distinct(), sets)
     n = F.col("n")
     least, most = F.ceil(n * PERCENT / 100), F.floor(n * 100 / PERCENT)
-    head = F.slice("order", 1, (n - least + 1).cast("int"))
-    listed = ordered.select("id", "component", "n", F.posexplode(head).alias("place", "h")).where("h.times > 1").select(
-        "id", "component", "n", "place", F.col("h.shingle").alias("shingle"),
+    head = F.slice("order", 1, F.greatest(n - least + 1 - F.col("alone"), F.lit(0)).cast("int"))
+    listed = ordered.join(ids, "id").select(
+        "id", "component", "n", "alone", least.alias("least"), most.alias("most"), F.posexplode(head).alias("at", "shingle"))
+    listed = listed.select(
+        "id", "component", "n", (F.col("alone") + F.col("at")).alias("place"), "shingle", "least",
         _size_class(n).alias("own"), F.explode(F.sequence(_size_class(least), _size_class(most))).alias("partner"))
-    smallest = F.greatest(least, F.floor(F.pow(F.lit(SIZE_RATIO), F.col("partner")) - 1e-6))
-    listed = kept(listed.where((n - F.col("place")) * (100 + PERCENT) >= PERCENT * (n + smallest)), "listed")
+    smallest = F.greatest(F.col("least"), F.floor(F.pow(F.lit(SIZE_RATIO), F.col("partner")) - 1e-6))
+    listed = kept(listed.where((n - F.col("place")) * (100 + PERCENT) >= PERCENT * (n + smallest)).drop("least"), "listed")
     key = ["shingle", "lower", "upper"]
     listed = listed.withColumns({"lower": F.least("own", "partner"), "upper": F.greatest("own", "partner")})
     main = (
@@ -221,10 +265,11 @@ def _prefix_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
         .groupBy(*key).agg(F.max_by("component", F.struct("members", "component")).alias("main"), F.count("*").alias("parts"))
         .where("parts > 1").drop("parts")
     )
-    one = listed.join(main, key).select(*key, "main", F.col("id").alias("a"), "component", "n", "place", "own")
+    one = listed.join(main, key).join(ordered.select("id", "bits"), "id").select(
+        *key, "main", F.col("id").alias("a"), "component", "n", "place", "own", "bits")
     two = one.where(F.col("component") != F.col("main")).select(
         *key, F.col("a").alias("b"), F.col("component").alias("component_b"), F.col("n").alias("m"),
-        F.col("place").alias("place_b"), F.col("own").alias("own_b"))
+        F.col("place").alias("place_b"), F.col("own").alias("own_b"), F.col("bits").alias("bits_b"))
     common = F.least(n - F.col("place"), F.col("m") - F.col("place_b"))
     return (
         one.join(two, key)
@@ -234,20 +279,21 @@ def _prefix_pairs(mixed: DataFrame, sets: DataFrame) -> DataFrame:
             # each lists the shingle for the other's class
             & (F.least("own", "own_b") == F.col("lower")) & (F.greatest("own", "own_b") == F.col("upper"))
             & _size_fits(n, F.col("m")) & (common * (100 + PERCENT) >= PERCENT * (n + F.col("m")))
+            & _bits_fit(F.col("bits"), F.col("bits_b"), n, F.col("m"))
         )
         .select("a", "b").distinct()
     )
 
 
 def _class_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(id, shingles) of ``classes`` (id, first, name0, name1), read from one of the rows with the id ``first``."""
+    """(id, shingles, bits) of ``classes`` (id, first, name0, name1), read from one of the rows with the id ``first``."""
     key = ["first", "name0", "name1"]
     source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     firsts = classes.select(F.col("first").alias("id")).distinct()
     # rows of one id may have several texts, or one text several times
     found = _sets(source.join(firsts, "id", "left_semi")).groupBy(F.col("id").alias("first"), "name0", "name1").agg(
-        F.first("shingles").alias("shingles"))
-    return found.join(classes.select("id", *key), key).select("id", "shingles")
+        F.first(F.struct("shingles", "bits")).alias("set"))
+    return found.join(classes.select("id", *key), key).select("id", "set.shingles", "set.bits")
 
 
 def groups(docs: DataFrame) -> DataFrame:
@@ -283,19 +329,19 @@ def groups(docs: DataFrame) -> DataFrame:
     members = members.drop("hub")
     links = kept(links, "similar")
     labels = kept(components(links), "labels")
-    for turn in range(HUB_ROUNDS):
-        mixed = _mixed(members, labels)
-        hubs = mixed.groupBy("key").agg(
-            F.min_by(F.struct("id", "n", "component"), F.xxhash64(F.lit(turn), "id")).alias("hub"))
-        pairs = (
-            mixed.join(hubs, "key")
-            .where((F.col("component") != F.col("hub.component")) & _size_fits(F.col("n"), F.col("hub.n")))
-            .select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct()
-        )
-        links = kept(links.union(_similar(pairs, sets)), "similar")
-        labels = kept(components(links), "labels")
     mixed = kept(_mixed(members, labels), "mixed")
-    links = links.union(_similar(_prefix_pairs(mixed, sets), sets))
+    ordered = kept(_ordered(mixed.select("id").distinct(), sets), "ordered")
+    hubs = mixed.join(ordered.select("id", "central"), "id").groupBy("key").agg(
+        F.max_by(F.struct("id", "n", "component"), F.struct("central", "id")).alias("hub"))
+    pairs = (
+        mixed.join(hubs, "key")
+        .where((F.col("component") != F.col("hub.component")) & _size_fits(F.col("n"), F.col("hub.n")))
+        .select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct()
+    )
+    links = kept(links.union(_similar(pairs, sets)), "similar")
+    labels = kept(components(links), "labels")
+    mixed = kept(_mixed(members, labels), "mixed")
+    links = links.union(_similar(_prefix_pairs(mixed, sets, ordered), sets))
     labels = kept(components(links), "labels")
 
     own = F.struct("first", "name0", "name1")

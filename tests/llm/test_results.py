@@ -143,6 +143,38 @@ def test_prefix_pairs_find_what_the_hubs_have_not_linked(spark):
                      if 100 * len(exact[a] & exact[b]) >= 75 * len(exact[a] | exact[b])}
 
 
+def test_edits_too_far_apart_make_no_pairs(spark, monkeypatch):
+    """Many edits of one text, few of them alike: pairs to confirm follow the sets, not their square."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        words = [f"w{k}" for k in range(150)]
+        for place in rng.sample(range(150), rng.choice([1, 3, 4, 5, 6])):
+            words[place] = f"x{i}y{place}"
+        rows.append((i, " ".join(words)))
+    asked, similar = [], superminhash._similar
+
+    def spy(pairs, sets):
+        asked.append(pairs.count())
+        return similar(pairs, sets)
+
+    monkeypatch.setattr(superminhash, "_similar", spy)
+    got = superminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == groups(dict(word_sets(rows)))
+    assert asked[-1] <= len(rows), asked
+
+
+def test_parity_bits_differ_in_no_more_places_than_the_sets():
+    rng = random.Random(5)
+    for size in (1, 20, 300, 3000):
+        one = {rng.randrange(1 << 64) for _ in range(size)}
+        two = {*rng.sample(sorted(one), size - size // 4), *(rng.randrange(1 << 64) for _ in range(size // 5))}
+        value, ends = np.array([*sorted(one), *sorted(two)], np.uint64), np.cumsum([0, len(one), len(two), 0])
+        bits = superminhash._parity_bits(value, ends)
+        apart = sum((a ^ b).bit_count() for a, b in zip(bits[0].tolist(), bits[1].tolist()))
+        assert apart <= len(one ^ two) and apart % 2 == len(one ^ two) % 2 and not bits[2].any()
+
+
 def test_rows_of_one_id_keep_their_texts(spark):
     one, two = "a b c d e f g", "q r s t u v w"
     rows = [(0, one), (1, one), (1, two), (3, two), (4, one + " x"), (None, two)]
