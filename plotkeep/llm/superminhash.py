@@ -18,8 +18,8 @@ a link at all have one. Where a band holds several components even then, its cla
 joined by their rarest shingles (similar sets share one early enough), so no
 link between different components is lost; inside a component no more pairs
 are needed. The join makes a pair only if the parity bits of the two sets differ in no
-more places than similar sets may, so edits of one text that are too far apart make no
-rows of it. No step pairs a group with itself.
+more places than similar sets may, so edits of one text that are too far apart make few
+rows of it, though it compares them. No step pairs a linked group with itself.
 
 Cases: a text without words (null, empty, white space) is linked with nothing;
 fewer words than a shingle make one shingle of them all; equal rows

@@ -144,7 +144,7 @@ def test_prefix_pairs_find_what_the_hubs_have_not_linked(spark):
 
 
 def test_edits_too_far_apart_make_no_pairs(spark, monkeypatch):
-    """Many edits of one text, few of them alike: pairs to confirm follow the sets, not their square."""
+    """Many edits of one text, few of them alike: few of their pairs are left to confirm."""
     rng = random.Random(3)
     rows = []
     for i in range(150):
